@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kotonoha.operators.filters import filter_tokens
+from kotonoha.plans.layout import salted_join
 from kotonoha.plans.numbering import number_rows
 from kotonoha.schemas import require_columns
 
@@ -135,15 +136,14 @@ def id_range(tokens: DataFrame, *, id_col: str = "doc_id") -> DataFrame:
 def tf_idf(matrix: DataFrame, *, id_col: str = "doc_id", word_col: str = "word") -> DataFrame:
     """``[doc_id, word, count, tfidf]`` with idf = ln((1 + N) / (1 + df)) + 1.
 
-    The document count and document frequencies come from the coordinate
-    matrix; its pre-aggregated rows make a word at most as frequent as there
-    are documents, and AQE splits such words in the join.
+    Document count and document frequencies come from the matrix itself. A word
+    found in every document is spread over several tasks by a salt.
     """
     per_word = matrix.groupBy(word_col).agg(F.count(F.lit(1)).alias("_df"))
     n_docs = matrix.groupBy(id_col).agg(F.count(F.lit(1))).agg(F.count(F.lit(1)).alias("_n"))
     idf = per_word.select(
         word_col, (F.log((n_docs.scalar() + 1) / (F.col("_df") + 1)) + 1).alias("_idf")
     )
-    return matrix.join(idf, word_col).select(
+    return salted_join(matrix, idf, word_col, spread_by=[id_col]).select(
         id_col, word_col, "count", (F.col("count") * F.col("_idf")).alias("tfidf")
     )
