@@ -54,16 +54,15 @@ def with_tokens(body: str, source: str = "documents", id_col: str = "doc_id") ->
 # Part-of-speech names of the derived variants, given to script tokens so that
 # every branch of the variants is taken.
 def variant_input(spark: SparkSession, folder: str) -> DataFrame:
-    tokens = doc_tokens(spark, folder, word_form="normalized")
-    surface = F.get_json_object("token_info", "$.surface")
-    capital = surface.rlike(r"^\p{Lu}")
+    tokens = doc_tokens(spark, folder)
+    word = F.col("word")
     pos = (
-        F.when(F.col("pos") == "symbol", F.when(F.col("word") == "-", F.lit("感動詞")).otherwise(F.lit("補助記号")))
+        F.when(F.col("pos") == "symbol", F.when(word == "-", F.lit("感動詞")).otherwise(F.lit("補助記号")))
         .when(F.col("pos") == "number", F.lit("名詞"))
-        .when(capital, F.lit("動詞"))
+        .when(word.rlike(r"^\p{Lu}"), F.lit("動詞"))
         .otherwise(F.lit("名詞"))
     )
-    return tokens.withColumn("pos", pos)
+    return tokens.select("doc_id", "token_id", F.lower("word").alias("word"), pos.alias("pos"), "token_info")
 
 
 SQL_VARIANT_INPUT = f"""

@@ -44,7 +44,8 @@ def is_noise(col: Column) -> Column:
 
 
 def mask_numbers(col: Column) -> Column:
-    return F.when(is_number(col), F.lit(NUMBER_MASK)).otherwise(col)
+    """One replacement, so that a derived word is computed once."""
+    return F.regexp_replace(col, NUMBER_PATTERN, NUMBER_MASK)
 
 
 def cut_points(text: str, max_length: int) -> Iterator[int]:

@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
-import traceback
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kotonoha.operators.tokenize import contract_rows, result_batch, result_schema
-from kotonoha.schemas import TOKEN_COLUMNS, TOKEN_STRUCT, require_columns
+from kotonoha.operators.tokenize import (
+    collect_parts,
+    contract_frame,
+    frame_columns,
+    result_batch,
+    result_schema,
+)
+from kotonoha.schemas import TOKEN_COLUMNS, require_columns
 
 # --------------------------------------------------------------------------
 # declarative form: DataFrame -> DataFrame
@@ -124,11 +131,9 @@ def derive_lists(
     if not callable(transform):
         raise TypeError("transform must be callable")
     require_columns(lists, ["doc_id", "tokens"], "derive_lists")
-    fields = [f.name for f in TOKEN_STRUCT]
-
-    def attempt(rows: list[tuple]) -> dict:
-        flat = [(d, *[t[f] for f in fields]) for d, ts in rows for t in ts or []]
-        frame = transform(pd.DataFrame(flat, columns=["doc_id", *fields]))
+    def attempt(parts: list[tuple]) -> pd.DataFrame:
+        given = pd.concat([frame for _, frame in parts], ignore_index=True)
+        frame = transform(given)
         if frame is None:
             frame = pd.DataFrame(columns=TOKEN_COLUMNS)
         if isinstance(frame, pd.DataFrame):
@@ -137,26 +142,27 @@ def derive_lists(
                     raise ValueError(f"transform output has no {name!r} column")
                 if frame[name].isna().any():
                     raise ValueError(f"transform output has a NULL {name}")
-        return contract_rows(frame, {d for d, _ in rows})
+        return contract_frame(frame, {d for d, _ in parts})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
-            found, errors = {}, {}
-            for begin in range(0, len(rows), max_docs):
-                part = rows[begin : begin + max_docs]
-                try:
-                    found.update(attempt(part))
-                except Exception:
-                    for row in part:
-                        try:
-                            found.update(attempt([row]))
-                        except Exception:
-                            found[row[0]] = None
-                            errors[row[0]] = traceback.format_exc()
-            yield result_batch(
-                batch, [found[d] for d, _ in rows], [errors.get(d) for d, _ in rows]
-            )
+            rows = list(_document_frames(batch))
+            places = range(len(rows))
+            parts = [list(places[b : b + max_docs]) for b in range(0, len(rows), max_docs)]
+            done, errors = collect_parts(rows, parts, attempt)
+            yield result_batch(batch, *frame_columns(len(rows), done), errors)
 
     source = lists.select("doc_id", "tokens", *carry)
     return source.mapInArrow(run, result_schema(source))
+
+
+def _document_frames(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """(doc_id, token frame) of every row, cut from one flat frame."""
+    ids = batch.column(0).to_pylist()
+    lists = batch.column(1)
+    counts = np.asarray(pc.fill_null(pc.list_value_length(lists), 0))
+    flat = pa.RecordBatch.from_struct_array(lists.flatten()).to_pandas()
+    flat.insert(0, "doc_id", np.repeat(batch.column(0).to_pandas().to_numpy(), counts))
+    ends = np.cumsum(counts)
+    for doc_id, begin, end in zip(ids, ends - counts, ends):
+        yield doc_id, flat.iloc[begin:end]

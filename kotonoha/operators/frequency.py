@@ -139,8 +139,11 @@ def tf_idf(matrix: DataFrame, *, id_col: str = "doc_id", word_col: str = "word")
     Document count and document frequencies come from the matrix itself. A word
     found in every document is spread over several tasks by a salt.
     """
-    per_word = matrix.groupBy(word_col).agg(F.count(F.lit(1)).alias("_df"))
-    n_docs = matrix.groupBy(id_col).agg(F.count(F.lit(1))).agg(F.count(F.lit(1)).alias("_n"))
+    # Counting by the count column keeps all three reads of the matrix the same
+    # plan, so its shuffle is computed once and reused.
+    cells = F.count_if(F.col("count") > 0)
+    per_word = matrix.groupBy(word_col).agg(cells.alias("_df"))
+    n_docs = matrix.groupBy(id_col).agg(cells.alias("_n")).agg(F.count_if(F.col("_n") > 0))
     idf = per_word.select(
         word_col, (F.log((n_docs.scalar() + 1) / (F.col("_df") + 1)) + 1).alias("_idf")
     )

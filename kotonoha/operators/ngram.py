@@ -6,10 +6,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kotonoha.operators.frequency import _ranked
-from kotonoha.plans.layout import TOKENS_PER_BLOCK, block_of
+from kotonoha.operators.reader import word_blocks
+from kotonoha.plans.layout import TOKENS_PER_BLOCK
 from kotonoha.schemas import require_columns
 
 
+# Longest n-gram written as a plain concatenation of its words.
+DIRECT_WORDS = 8
+
+
 def array_ngrams(words: Column, n: int) -> Column:
     """All contiguous n-grams of a word array, joined by one space."""
     if n < 1:
@@ -20,22 +25,15 @@ def array_ngrams(words: Column, n: int) -> Column:
     starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - n + 1)).otherwise(
         F.array().cast("array<int>")
     )
-    return F.transform(starts, lambda i: F.concat_ws(" ", F.slice(words, i, n)))
 
+    def joined(i: Column) -> Column:
+        if n > DIRECT_WORDS:
+            return F.concat_ws(" ", F.slice(words, i, n))
+        # Picking the words one by one copies nothing.
+        parts = [F.get(words, i + (k - 1)) for k in range(n)]
+        return F.concat(*[x for p in parts for x in (F.lit(" "), p)][1:])
 
-def _word_blocks(
-    tokens: DataFrame, id_col: str, order_col: str, word_col: str, block_size: int
-) -> DataFrame:
-    """``[id, _block, _words]``: words in order, at most ``block_size`` per row."""
-    clean = tokens.where(F.col(word_col).isNotNull()).select(
-        id_col,
-        block_of(F.col(order_col), block_size).alias("_block"),
-        F.col(order_col).alias("_at"),
-        F.col(word_col).alias("_word"),
-    )
-    return clean.groupBy(id_col, "_block").agg(
-        F.sort_array(F.collect_list(F.struct("_at", "_word")))["_word"].alias("_words")
-    )
+    return F.transform(starts, joined)
 
 
 def ngram_rows(
@@ -60,7 +58,9 @@ def ngram_rows(
         return tokens.where(F.col(word_col).isNotNull()).select(
             id_col, F.col(word_col).alias("ngram")
         )
-    blocks = _word_blocks(tokens, id_col, order_col, word_col, block_size)
+    blocks = word_blocks(
+        tokens, id_col=id_col, order_col=order_col, word_col=word_col, block_size=block_size
+    )
     inside = blocks.select(id_col, F.explode(array_ngrams(F.col("_words"), n)).alias("ngram"))
 
     size = F.size("_words")

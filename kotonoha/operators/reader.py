@@ -16,20 +16,32 @@ def _in_order(items: Column, field: str) -> Column:
     return F.sort_array(items)[field]
 
 
-def _blocks(
-    tokens: DataFrame, id_col: str, order_col: str, word_col: str, block_size: int
+def word_blocks(
+    tokens: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    order_col: str = "token_id",
+    word_col: str = "word",
+    block_size: int = TOKENS_PER_BLOCK,
 ) -> DataFrame:
-    """Sorted words per (document, block): bounded groups whatever the document."""
-    return (
-        tokens.where(F.col(word_col).isNotNull())
-        .groupBy(id_col, block_of(F.col(order_col), block_size).alias("_block"))
-        .agg(
-            _in_order(
-                F.collect_list(F.struct(F.col(order_col).alias("_at"), F.col(word_col).alias("_w"))),
-                "_w",
-            ).alias("_words")
-        )
+    """``[id, _block, _words]``: words in order, NULL words dropped.
+
+    A (document, block of positions) group has at most ``block_size`` rows,
+    whatever the document. NULL words are skipped by the collecting aggregate
+    rather than by a filter, which would compute a derived word twice.
+    """
+    items = tokens.select(
+        id_col,
+        block_of(F.col(order_col), block_size).alias("_block"),
+        F.when(
+            F.col(word_col).isNotNull(),
+            F.struct(F.col(order_col).alias("_at"), F.col(word_col).alias("_w")),
+        ).alias("_item"),
+    )
+    blocks = items.groupBy(id_col, "_block").agg(
+        _in_order(F.collect_list("_item"), "_w").alias("_words")
     )
+    return blocks.where(F.size("_words") > 0)
 
 
 def word_lists(
@@ -47,7 +59,9 @@ def word_lists(
     document together, since a row per document is the result asked for.
     """
     require_columns(tokens, [id_col, order_col, word_col], "word_lists")
-    blocks = _blocks(tokens, id_col, order_col, word_col, block_size)
+    blocks = word_blocks(
+        tokens, id_col=id_col, order_col=order_col, word_col=word_col, block_size=block_size
+    )
     return blocks.groupBy(id_col).agg(
         F.flatten(_in_order(F.collect_list(F.struct("_block", "_words")), "_words")).alias("words")
     )
@@ -57,9 +71,13 @@ def collect_tokens(
     tokens: DataFrame, *, block_size: int = TOKENS_PER_BLOCK
 ) -> DataFrame:
     """``[doc_id, tokens]``: the whole token rows of a document as one sorted list."""
-    item = F.struct(*[f.name for f in TOKEN_STRUCT])
-    blocks = tokens.groupBy("doc_id", block_of(F.col("token_id"), block_size).alias("_block")).agg(
-        F.sort_array(F.collect_list(item)).alias("_items")
+    items = tokens.select(
+        "doc_id",
+        block_of(F.col("token_id"), block_size).alias("_block"),
+        F.struct(*[f.name for f in TOKEN_STRUCT]).alias("_item"),
+    )
+    blocks = items.groupBy("doc_id", "_block").agg(
+        F.sort_array(F.collect_list("_item")).alias("_items")
     )
     joined = F.flatten(_in_order(F.collect_list(F.struct("_block", "_items")), "_items"))
     return blocks.groupBy("doc_id").agg(joined.cast(TOKEN_LIST).alias("tokens"))
@@ -87,9 +105,9 @@ def tokens_to_text(
         strict=strict,
         word_col=word_col,
     )
-    blocks = _blocks(kept, id_col, order_col, word_col, block_size).select(
-        id_col, "_block", F.concat_ws(sep, "_words").alias("_part")
-    )
+    blocks = word_blocks(
+        kept, id_col=id_col, order_col=order_col, word_col=word_col, block_size=block_size
+    ).select(id_col, "_block", F.concat_ws(sep, "_words").alias("_part"))
     parts = _in_order(F.collect_list(F.struct("_block", "_part")), "_part")
     return blocks.groupBy(id_col).agg(F.concat_ws(sep, parts).alias("text"))
 
