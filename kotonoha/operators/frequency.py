@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kotonoha.operators.filters import filter_tokens
-from kotonoha.plans.layout import salted_join
 from kotonoha.plans.numbering import number_rows
 from kotonoha.schemas import require_columns
 
@@ -136,8 +135,9 @@ def id_range(tokens: DataFrame, *, id_col: str = "doc_id") -> DataFrame:
 def tf_idf(matrix: DataFrame, *, id_col: str = "doc_id", word_col: str = "word") -> DataFrame:
     """``[doc_id, word, count, tfidf]`` with idf = ln((1 + N) / (1 + df)) + 1.
 
-    Document count and document frequencies come from the matrix itself. A word
-    found in every document is spread over several tasks by a salt.
+    Document count and document frequencies come from the matrix itself, whose
+    rows are already one per (document, word). A word found in every document
+    is a hot key of the join, which adaptive execution splits.
     """
     # Counting by the count column keeps all three reads of the matrix the same
     # plan, so its shuffle is computed once and reused.
@@ -147,6 +147,6 @@ def tf_idf(matrix: DataFrame, *, id_col: str = "doc_id", word_col: str = "word")
     idf = per_word.select(
         word_col, (F.log((n_docs.scalar() + 1) / (F.col("_df") + 1)) + 1).alias("_idf")
     )
-    return salted_join(matrix, idf, word_col, spread_by=[id_col]).select(
+    return matrix.join(idf, word_col).select(
         id_col, word_col, "count", (F.col("count") * F.col("_idf")).alias("tfidf")
     )

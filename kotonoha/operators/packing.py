@@ -31,6 +31,14 @@ _REPORT = (
 )
 
 
+_REPORT_COLUMNS = ["key", "slice", "n", "sums", "closed", "open_docs", "open_chars"]
+
+
+def _plain_keys(keys) -> pd.Series:
+    """Keys as Python strings with None for a missing one."""
+    return pd.Series([None if pd.isna(k) else k for k in keys], dtype=object)
+
+
 def _next_starts(sums: np.ndarray, max_chars: int, max_docs: int) -> np.ndarray:
     """For a group starting at each row, the row that starts the next group."""
     n = len(sums) - 1
@@ -80,7 +88,8 @@ def _fold(reports: pd.DataFrame, max_chars: int, max_docs: int) -> pd.DataFrame:
         else:
             groups += int(r.closed[p]) + (1 if docs else 0)
             docs, chars = int(r.open_docs[p]), int(r.open_chars[p])
-    return pd.DataFrame(rows, columns=["key", "slice", "docs", "chars", "groups"])
+    out = pd.DataFrame(rows, columns=["key", "slice", "docs", "chars", "groups"])
+    return out.assign(key=_plain_keys(out["key"]))
 
 
 def pack_documents(
@@ -112,7 +121,8 @@ def pack_documents(
         # The checkpoint keeps a slice in one task, already in order.
         for key_value, slice_id, part in _runs(batches):
             found = _report(part["size"].to_numpy(), max_chars, max_docs)
-            yield pd.DataFrame([{"key": key_value, "slice": slice_id, **found}])
+            row = pd.DataFrame([{"slice": slice_id, **found}])
+            yield row.assign(key=_plain_keys([key_value]))[_REPORT_COLUMNS]
 
     reports = sliced.mapInPandas(report, _REPORT)
     arrivals = reports.groupBy("key").applyInPandas(
@@ -146,7 +156,8 @@ def pack_documents(
                 place = following[place]
             # With nothing open on arrival, the first start is group 0.
             group = groups_in + np.cumsum(begins) - (0 if docs_in else 1)
-            yield part[["key", "id", "size"]].assign(group_id=group)
+            rows = part[["key", "id", "size"]].assign(group_id=group)
+            yield rows.assign(key=_plain_keys(rows["key"]))
 
     id_type = docs.schema[id_col].dataType.simpleString()
     out = ready.mapInPandas(assign, f"key string, id {id_type}, size long, group_id long")

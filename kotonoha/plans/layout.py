@@ -64,26 +64,3 @@ def block_of(position: Column, size: int = TOKENS_PER_BLOCK) -> Column:
     """Block number of a token position inside its document."""
     return F.floor(position / F.lit(size)).cast("long")
 
-
-# Copies of the small side in a salted join: a key's rows go to this many tasks.
-JOIN_SALTS = 16
-
-
-def salted_join(
-    big: DataFrame,
-    small: DataFrame,
-    key: str,
-    *,
-    spread_by: list[str],
-    how: str = "inner",
-    salts: int = JOIN_SALTS,
-) -> DataFrame:
-    """Equi-join on one column that stays even when one key holds most rows.
-
-    Rows of ``big`` get a salt from ``spread_by`` (columns that tell a key's
-    rows apart); each row of ``small`` is repeated once per salt. A small side
-    below the broadcast threshold is still broadcast by Spark.
-    """
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
-    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return big.withColumn("_salt", salt).join(copies, [key, "_salt"], how).drop("_salt")

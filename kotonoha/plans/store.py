@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kotonoha.operators.derived import derive_lists, derive_tokens, token_problems
+from kotonoha.operators.derived import derive_lists, fit_schema, token_problems
 from kotonoha.operators.reader import CorpusReader, collect_tokens
 from kotonoha.operators.tokenize import explode_lists, tokenize_lists
 from kotonoha.plans import status
@@ -404,9 +404,11 @@ class CorpusStore:
         """A new work whose tokens are a transform of this work's tokens.
 
         A DataFrame transform stays a Spark plan; with ``pandas`` the function
-        gets token frames of whole documents. Every document with a text is
+        gets token frames of whole documents, without a shuffle. Every document with a text is
         marked done unless its output breaks the token rules.
         """
+        if not callable(transform):
+            raise TypeError("transform must be callable")
         target = self._work(name)
         run_id = max([0, *target.runs()]) + 1
         versions = self.fetch_status().where("fetch_ok").select("doc_id", "text_version")
@@ -414,14 +416,7 @@ class CorpusStore:
             lists = versions.join(self.token_lists(), "doc_id", "left")
             rows = derive_lists(lists, transform, carry=("text_version",))
         else:
-            accepted, verdict = derive_tokens(self.tokens(), versions, transform)
-            lists = collect_tokens(accepted)
-            rows = (
-                verdict.select("doc_id", "error")
-                .join(lists, "doc_id", "left")
-                .withColumn("tokens", F.coalesce("tokens", F.array().cast(TOKEN_LIST)))
-                .join(versions, "doc_id")
-            )
+            rows = self._derive_plan(transform, versions)
         derived = self.with_work(name)
         # A rebuilt work hides what an older build left for failing documents.
         if target.runs():
@@ -430,6 +425,33 @@ class CorpusStore:
         self._append_lists(rows, target, run_id)
         return derived
 
+    def _derive_plan(self, transform: Callable, versions: DataFrame) -> DataFrame:
+        """``[doc_id, tokens, error, text_version]`` of a DataFrame transform.
+
+        The output is regrouped once and the token rules are read off the
+        lists. Rows of unknown documents find no partner and disappear.
+        """
+        result = transform(self.tokens())
+        empty = F.array().cast(TOKEN_LIST)
+        if result is None:
+            return versions.withColumn("tokens", empty).withColumn("error", F.lit(None).cast("string"))
+        lists = collect_tokens(fit_schema(result))
+        tokens = F.coalesce("tokens", empty)
+        ids = F.col("tokens.token_id")
+        no_id = F.exists(ids, lambda i: i.isNull())
+        no_word = F.exists("tokens.word", lambda w: w.isNull())
+        repeated = F.size(F.array_distinct(ids)) < F.size(ids)
+        error = F.concat_ws(
+            ", ",
+            F.when(repeated, F.lit("duplicate")),
+            F.when(no_id, F.lit("null_key")),
+            F.when(no_word, F.lit("null_word")),
+        )
+        joined = versions.join(lists, "doc_id", "left").withColumn("tokens", tokens)
+        return joined.select(
+            "doc_id", "tokens", F.nullif(error, F.lit("")).alias("error"), "text_version"
+        )
+
     # -- maintenance ------------------------------------------------------------------
 
     def compact(self) -> None:

@@ -1,0 +1,139 @@
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+import kotonoha as k
+from kotonoha.operators.graph import edge_widths, edges, merge_edges, node_degrees
+from tests.conftest import rows_of
+
+ROWS = [
+    (1, 0, "a", "n"), (1, 1, "b", "v"), (1, 2, "a", "n"), (1, 3, None, "n"),
+    (2, 0, "b", None), (2, 1, "c", "n"),
+]
+
+
+def test_frequencies(tokens):
+    table = tokens(ROWS)
+    assert rows_of(k.term_frequency(table)) == [("a", 2), ("b", 2), ("c", 1)]
+    assert rows_of(k.term_frequency(table, pos="n")) == [("a", 2), ("c", 1)]
+    assert rows_of(k.term_frequency(table, top_k=1)) == [("a", 2)]
+    assert rows_of(k.pos_distribution(table)) == [("n", 4), (None, 1), ("v", 1)]
+    assert rows_of(k.pos_distribution(table, keep_null=False)) == [("n", 4), ("v", 1)]
+
+
+def test_matrix_laws(tokens):
+    table = tokens(ROWS)
+    matrix = k.document_word_counts(table)
+    assert rows_of(k.column_sums(matrix), "word") == rows_of(k.term_frequency(table), "word")
+    assert rows_of(k.count_ngrams(table, n=1), "ngram") == rows_of(k.term_frequency(table), "word")
+    assert rows_of(k.vocabulary_index(table), "word_id") == [("a", 2, 0), ("b", 2, 1), ("c", 1, 2)]
+    assert rows_of(k.vocabulary(table, min_count=2), "word") == [("a", 2), ("b", 2)]
+    assert rows_of(k.corpus_size(table)) == [(2, 5, 3)]
+    assert rows_of(k.corpus_size(tokens([]))) == [(0, 0, 0)]
+
+
+def test_cloud_weights(tokens):
+    table = tokens(ROWS)
+    assert rows_of(k.cloud_weights(table, stopwords="a")) == [("b", 2, 1.0), ("c", 1, 0.5)]
+    with pytest.raises(ValueError):
+        k.cloud_weights(table, stopwords=["a", "b", "c"])
+
+
+def test_id_range_of_empty_table(tokens):
+    assert rows_of(k.id_range(tokens(ROWS))) == [(1, 2)]
+    assert rows_of(k.id_range(tokens([]))) == []
+
+
+def test_tf_idf_of_a_common_word_is_its_count(tokens):
+    weights = {(r[0], r[1]): r[3] for r in rows_of(k.tf_idf(k.document_word_counts(tokens(ROWS))))}
+    assert weights[(1, "b")] == weights[(2, "b")] == 1.0
+    assert weights[(1, "a")] > 2.0
+
+
+# -- n-grams --------------------------------------------------------------------
+
+
+def test_documented_bigrams(spark, tokens):
+    words = ["今日", "は", "良い", "天気", "です"]
+    rows = [(1, i, w, "x") for i, w in enumerate(words)]
+    wanted = ["今日 は", "は 良い", "良い 天気", "天気 です"]
+    assert sorted(r[1] for r in rows_of(k.ngram_rows(tokens(rows), 2))) == sorted(wanted)
+    lists = spark.createDataFrame([(1, words)], "doc_id long, words array<string>")
+    assert [r[1] for r in rows_of(k.ngram_rows_of_lists(lists, 2))] == wanted
+
+
+def brute(docs, n):
+    out = Counter()
+    for words in docs.values():
+        kept = [w for w in words if w is not None]
+        out.update(" ".join(kept[i : i + n]) for i in range(len(kept) - n + 1))
+    return out
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 9])
+def test_ngrams_against_brute_force(spark, tokens, n):
+    rng = random.Random(n)
+    docs = {
+        d: [rng.choice(["a", "b", "c", "d", None]) for _ in range(rng.choice([0, 1, 3, 40]))]
+        for d in range(12)
+    }
+    docs[99] = [rng.choice("ab") for _ in range(400)]  # most tokens in one document
+    # Positions with gaps, so that whole blocks may be missing.
+    rows = [(d, i * 3 + (50 if i > 20 else 0), w, "x") for d, ws in docs.items() for i, w in enumerate(ws)]
+    rng.shuffle(rows)
+    for block in (1, 2, 7, 1 << 15):
+        found = k.count_ngrams(tokens(rows), n=n, block_size=block, ordered=False)
+        assert dict(rows_of(found)) == brute(docs, n)
+    lists = spark.createDataFrame(list(docs.items()), "doc_id long, words array<string>")
+    assert dict(rows_of(k.count_ngrams_of_lists(lists, n=n, ordered=False))) == brute(docs, n)
+
+
+def test_ngram_options(tokens):
+    rows = [(1, i, w, "x") for i, w in enumerate("abab")] + [(2, 0, "a", "x")]
+    assert rows_of(k.count_ngrams(tokens(rows))) == [("a b", 2), ("b a", 1)]
+    assert rows_of(k.count_ngrams(tokens(rows), min_count=2)) == [("a b", 2)]
+    assert rows_of(k.count_ngrams(tokens(rows), top_k=1)) == [("a b", 2)]
+    empty = k.count_ngrams(tokens([(1, 0, "a", "x")]))
+    assert empty.columns == ["ngram", "count"] and empty.count() == 0
+    with pytest.raises(KeyError):
+        k.count_ngrams(tokens(rows).drop("word"))
+    with pytest.raises(ValueError):
+        k.count_ngrams_of_lists(k.word_lists(tokens(rows)), n=0)
+
+
+def test_word_with_a_space_coincides(spark):
+    lists = spark.createDataFrame([(1, ["a b", "c"]), (2, ["a", "b c"])], "doc_id long, words array<string>")
+    assert rows_of(k.count_ngrams_of_lists(lists)) == [("a b c", 2)]
+
+
+# -- graph -------------------------------------------------------------------------
+
+
+def grams(spark, rows):
+    return spark.createDataFrame(rows, "ngram string, count long")
+
+
+def test_edges_merge_widths_degrees(spark):
+    ranked = grams(spark, [("a b", 8), ("b a", 4), ("c c", 2), ("a c d", 1), ("late x", 0)])
+    listed = edges(ranked, head=4)
+    assert rows_of(listed, "rank") == [
+        (1, "a", "b", 8), (2, "b", "a", 4), (3, "c", "c", 2), (4, "a", "c d", 1),
+    ]
+    merged = merge_edges(listed)
+    assert rows_of(merged, "source", "target") == [("a", "b", 4), ("a", "c d", 1), ("c", "c", 2)]
+    assert rows_of(merge_edges(listed, merge="sum"), "source", "target")[0] == ("a", "b", 12)
+    widths = {r[:2]: r[3] for r in rows_of(edge_widths(merged))}
+    assert widths == {("a", "b"): 5.0, ("a", "c d"): 2.0, ("c", "c"): 3.0}
+    assert rows_of(node_degrees(merged), "word") == [("a", 2), ("b", 1), ("c", 2), ("c d", 1)]
+
+
+def test_edge_errors(spark):
+    with pytest.raises(ValueError):
+        edges(grams(spark, [("a", 1)]))
+    with pytest.raises(ValueError):
+        edges(grams(spark, [("a b", 1)]).drop("count"))
+    with pytest.raises(ValueError):
+        merge_edges(edges(grams(spark, [("a b", 1)])), merge="other")
+    assert rows_of(edges(grams(spark, [("a", 2), ("a b", 1)])).select(F.count("target")))[0][0] == 1
