@@ -67,7 +67,8 @@ def script_form(surface: Column, form: str) -> Column:
 
 
 def script_info(surface: Column, pos: Column) -> Column:
-    return F.to_json(
+    """token_info as JSON text; only a symbol can need escaping."""
+    escaped = F.to_json(
         F.struct(
             surface.alias("surface"),
             surface.alias("dictionary_form"),
@@ -75,6 +76,11 @@ def script_info(surface: Column, pos: Column) -> Column:
             F.array(pos).alias("pos_detail"),
         )
     )
+    parts = [
+        F.lit('{"surface":"'), surface, F.lit('","dictionary_form":"'), surface,
+        F.lit('","normalized_form":"'), F.lower(surface), F.lit('","pos_detail":["'), pos, F.lit('"]}'),
+    ]
+    return F.when(pos == POS_SYMBOL, escaped).otherwise(F.concat(*parts))
 
 
 def form_from_info(info: Column, word: Column, word_form: str) -> Column:

@@ -33,10 +33,34 @@ from kotonoha.sources.content import content_pairs
 
 # Up to this many selected files are read by name; more are read with their root.
 NAMED_FILES = 50_000
+# Up to this many (doc_id, run_id) keys are broadcast to leave rows out or in.
+BROADCAST_KEYS = 500_000
 
 _GLOB_CHARACTERS = re.compile(r"([\[\]{}*?\\])")
 
 
+def pick_rows(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows whose (doc_id, run_id) is in ``keys``, moving no row where avoidable.
+
+    The rows are wide (texts, token lists) and the keys thin, so keys are
+    counted first. Runs without a wanted row are not read. If few of the other
+    rows are unwanted, or few are wanted, those keys are broadcast; only a large
+    mixture is shuffled.
+    """
+    on = ["doc_id", "run_id"]
+    runs = sorted(r["run_id"] for r in keys.select("run_id").distinct().collect())
+    rows = rows.where(F.col("run_id").isin(runs))
+    unwanted = rows.select(*on).join(keys, on, "left_anti")
+    n_unwanted = unwanted.limit(BROADCAST_KEYS + 1).count()
+    if n_unwanted == 0:
+        return rows
+    if n_unwanted <= BROADCAST_KEYS:
+        return rows.join(F.broadcast(unwanted), on, "left_anti")
+    if keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
+        return rows.join(F.broadcast(keys.select(*on)), on, "left_semi")
+    return rows.join(keys, on, "left_semi")
+
+
 class LogTable:
     """One append-only table of ``run_id=<k>`` directories with generations."""
 
@@ -120,24 +144,29 @@ class CorpusStore:
     def tokenize_status(self) -> DataFrame:
         return status.tokenize_status(self.work_table.read(), self.fetch_status())
 
-    def texts(self) -> DataFrame:
-        """``[doc_id, char_count, text, text_version]`` of every fetched document."""
-        current = self.fetch_status().where("fetch_ok").select(
-            "doc_id", F.col("text_version").alias("run_id")
-        )
-        rows = self.fetch_table.read().where("event = 'fetched'")
-        return rows.join(current, ["doc_id", "run_id"]).select(
-            "doc_id", "char_count", "text", F.col("run_id").alias("text_version")
-        )
+    def texts(self, wanted: DataFrame | None = None) -> DataFrame:
+        """``[doc_id, char_count, text, text_version]`` of every fetched document.
+
+        ``wanted`` (``[doc_id, text_version]``) asks for some of them only.
+        """
+        if wanted is None:
+            wanted = self.fetch_status().where("fetch_ok")
+        keys = wanted.select("doc_id", F.col("text_version").alias("run_id"))
+        rows = pick_rows(self.fetch_table.read().where("event = 'fetched'"), keys)
+        return rows.select("doc_id", "char_count", "text", F.col("run_id").alias("text_version"))
 
     def pending(self) -> DataFrame:
         return status.pending_documents(self.work_table.read(), self.fetch_status())
 
+    def _live_lists(self) -> DataFrame:
+        """``[doc_id, tokens, text_version]`` of the rows a reader sees."""
+        log = self.work_table.read()
+        done = log.where("event = 'done'").select("doc_id", "run_id", "tokens", "text_version")
+        return pick_rows(done, status.visible_runs(log)).drop("run_id")
+
     def token_lists(self) -> DataFrame:
         """``[doc_id, tokens]`` a reader sees, one row per tokenized document."""
-        log = self.work_table.read()
-        done = log.where("event = 'done'").select("doc_id", "run_id", "tokens")
-        return done.join(status.visible_runs(log), ["doc_id", "run_id"]).select("doc_id", "tokens")
+        return self._live_lists().drop("text_version")
 
     def tokens(self) -> DataFrame:
         """The long token table, ``[doc_id, token_id, word, pos, token_info]``."""
@@ -313,12 +342,14 @@ class CorpusStore:
         An empty list does nothing.
         """
         if doc_ids is None:
-            wanted = self.pending().select("doc_id")
+            wanted = self.pending()
         else:
-            wanted = self._id_table(doc_ids)
-            if wanted is None:
+            listed = self._id_table(doc_ids)
+            if listed is None:
                 return
-        texts = self.texts().join(wanted, "doc_id", "left_semi")
+            fetched = self.fetch_status().where("fetch_ok")
+            wanted = fetched.select("doc_id", "text_version").join(listed, "doc_id", "left_semi")
+        texts = self.texts(cut_lineage(wanted))
         self._tokenize_texts(texts, tokenizer, word_form, run_id or self.next_work_run())
 
     def _tokenize_texts(self, texts: DataFrame, tokenizer, word_form, run_id: int) -> None:
@@ -404,7 +435,7 @@ class CorpusStore:
         """A new work whose tokens are a transform of this work's tokens.
 
         A DataFrame transform stays a Spark plan; with ``pandas`` the function
-        gets token frames of whole documents, without a shuffle. Every document with a text is
+        gets token frames of whole documents, where they are read. Every document with a text is
         marked done unless its output breaks the token rules.
         """
         if not callable(transform):
@@ -413,8 +444,16 @@ class CorpusStore:
         run_id = max([0, *target.runs()]) + 1
         versions = self.fetch_status().where("fetch_ok").select("doc_id", "text_version")
         if pandas:
-            lists = versions.join(self.token_lists(), "doc_id", "left")
+            lists = self._live_lists()
             rows = derive_lists(lists, transform, carry=("text_version",))
+            # Texts never tokenized here have nothing to transform and are done.
+            blank = versions.join(lists.select("doc_id"), "doc_id", "left_anti").select(
+                "doc_id",
+                F.array().cast(TOKEN_LIST).alias("tokens"),
+                F.lit(None).cast("string").alias("error"),
+                "text_version",
+            )
+            rows = rows.unionByName(blank)
         else:
             rows = self._derive_plan(transform, versions)
         derived = self.with_work(name)
