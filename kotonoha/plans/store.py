@@ -352,6 +352,8 @@ class CorpusStore:
         texts = self.texts(cut_lineage(wanted))
         self._tokenize_texts(texts, tokenizer, word_form, run_id or self.next_work_run())
 
+    reprocess = tokenize
+
     def _tokenize_texts(self, texts: DataFrame, tokenizer, word_form, run_id: int) -> None:
         lists = tokenize_lists(texts, tokenizer, word_form=word_form, carry=("text_version",))
         self._append_lists(lists, self.work_table, run_id)
@@ -409,7 +411,10 @@ class CorpusStore:
         )
 
     def reset_tokens(self, doc_ids: Sequence[int] | DataFrame | None = None) -> None:
-        """Hide the tokens of all or the listed documents and make fetched ones pending."""
+        """Hide the tokens of all or the listed documents and make fetched ones pending.
+
+        Unfetched documents have no text to tokenize and never count as pending.
+        """
         wanted = None
         if doc_ids is not None:
             wanted = self._id_table(doc_ids)
