@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -131,9 +132,9 @@ def derive_lists(
     if not callable(transform):
         raise TypeError("transform must be callable")
     require_columns(lists, ["doc_id", "tokens"], "derive_lists")
-    def attempt(parts: list[tuple]) -> pd.DataFrame:
-        given = pd.concat([frame for _, frame in parts], ignore_index=True)
-        frame = transform(given)
+    def attempt(flat: pd.DataFrame, spans: list[tuple]) -> pd.DataFrame:
+        # A part is a run of neighbouring documents: one slice of the flat frame.
+        frame = transform(flat.iloc[spans[0][1] : spans[-1][2]].reset_index(drop=True))
         if frame is None:
             frame = pd.DataFrame(columns=TOKEN_COLUMNS)
         if isinstance(frame, pd.DataFrame):
@@ -142,27 +143,25 @@ def derive_lists(
                     raise ValueError(f"transform output has no {name!r} column")
                 if frame[name].isna().any():
                     raise ValueError(f"transform output has a NULL {name}")
-        return contract_frame(frame, {d for d, _ in parts})
+        return contract_frame(frame, {s[0] for s in spans})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = list(_document_frames(batch))
-            places = range(len(rows))
-            parts = [list(places[b : b + max_docs]) for b in range(0, len(rows), max_docs)]
-            done, errors = collect_parts(rows, parts, attempt)
-            yield result_batch(batch, *frame_columns(len(rows), done), errors)
+            flat, spans = _flat_tokens(batch)
+            places = range(len(spans))
+            parts = [list(places[b : b + max_docs]) for b in range(0, len(spans), max_docs)]
+            done, errors = collect_parts(spans, parts, partial(attempt, flat))
+            yield result_batch(batch, *frame_columns(len(spans), done), errors)
 
     source = lists.select("doc_id", "tokens", *carry)
     return source.mapInArrow(run, result_schema(source))
 
 
-def _document_frames(batch: pa.RecordBatch) -> Iterator[tuple]:
-    """(doc_id, token frame) of every row, cut from one flat frame."""
-    ids = batch.column(0).to_pylist()
+def _flat_tokens(batch: pa.RecordBatch) -> tuple[pd.DataFrame, list[tuple]]:
+    """All tokens of a batch as one frame, and (doc_id, begin, end) of every row."""
     lists = batch.column(1)
     counts = np.asarray(pc.fill_null(pc.list_value_length(lists), 0))
     flat = pa.RecordBatch.from_struct_array(lists.flatten()).to_pandas()
     flat.insert(0, "doc_id", np.repeat(batch.column(0).to_pandas().to_numpy(), counts))
     ends = np.cumsum(counts)
-    for doc_id, begin, end in zip(ids, ends - counts, ends):
-        yield doc_id, flat.iloc[begin:end]
+    return flat, list(zip(batch.column(0).to_pylist(), ends - counts, ends))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from kotonoha.operators.tokenize import tokenize_lists
-from kotonoha.plans.store import CorpusStore, LogTable
+from kotonoha.plans.store import CorpusStore, LogTable, pick_rows
 from kotonoha.schemas import FETCH_LOG
 from kotonoha.sources import files as file_source
 
@@ -114,9 +114,7 @@ def stream_tokens(
         run_id = _run_of_batch(store, f"{name}-{store.work_name}", batch_id, store.next_work_run)
         fetched = batch.where("event = 'fetched'")
         newest = fetched.groupBy("doc_id").agg(F.max("run_id").alias("run_id"))
-        texts = fetched.join(newest, ["doc_id", "run_id"]).withColumnRenamed(
-            "run_id", "text_version"
-        )
+        texts = pick_rows(fetched, newest).withColumnRenamed("run_id", "text_version")
         lists = tokenize_lists(texts, tokenizer, word_form=word_form, carry=("text_version",))
         store._append_lists(lists, store.work_table, run_id)
 
