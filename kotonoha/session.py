@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Settings worth having on any cluster. Sizes that depend on the cluster
@@ -28,3 +32,13 @@ def build_session(
     for key, value in {**RECOMMENDED, **(extra or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make the package importable in the Python workers, once per context."""
+    context = spark.sparkContext
+    if any(f.endswith("kotonoha.zip") for f in context.listFiles):
+        return
+    above = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    folder = tempfile.mkdtemp(prefix="kotonoha-package-")
+    context.addPyFile(shutil.make_archive(f"{folder}/kotonoha", "zip", above, "kotonoha"))

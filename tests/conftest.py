@@ -22,9 +22,9 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("ERROR")
     session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoint")))
-    from __spark_entry__ import _ship
+    from kotonoha.session import ship_package
 
-    _ship(session)
+    ship_package(session)
     yield session
     session.stop()
 

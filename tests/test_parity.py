@@ -26,7 +26,6 @@ def test_query_equals_sql(spark, con, name):
 
 def test_registry():
     assert set(oracle_sql()) <= set(queries())
-    assert not [n for n in queries() if "pipeline" in n]
 
 
 def test_entry(spark):
