@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from kotonoha.plans.layout import cut_lineage
 
 SPACES = " \t\n\x0b\x0c\r"
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "#*$%|<>&"
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 REPEAT_WINDOW = 5
 ITERATIONS = 15
@@ -43,15 +43,19 @@ def text_counts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     trimmed = F.btrim("_text", F.lit(SPACES))
     words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, r"[\x20\x09-\x0D]+"))
     lines = F.filter(F.split("_text", "\n"), lambda line: F.btrim(line, F.lit(SPACES)) != "")
-    length = F.length("_text")
+    # One pass leaves the few characters that are counted by kind.
+    marks = F.regexp_replace("_text", f"[^{SYMBOLS}{CAPITALS}!]++", "")
+    rows = rows.select("_id", lines.alias("_lines"), words.alias("_words"), marks.alias("_marks"))
+    count = F.length("_marks")
     rows = rows.select(
         "_id",
-        F.length(_without(F.col("_text"), SPACES)).alias("word_chars"),
-        (length - F.length(_without(F.col("_text"), SYMBOLS))).alias("n_symbols"),
-        (length - F.length(_without(F.col("_text"), CAPITALS))).alias("n_capitals"),
-        (length - F.length(_without(F.col("_text"), "!"))).alias("n_exclaims"),
-        lines.alias("_lines"),
-        F.transform(words, lambda w: F.xxhash64(w)).alias("_hashes"),
+        F.length(F.array_join("_words", "")).alias("word_chars"),
+        (count - F.length(_without(F.col("_marks"), SYMBOLS))).alias("n_symbols"),
+        (count - F.length(_without(F.col("_marks"), CAPITALS))).alias("n_capitals"),
+        (count - F.length(_without(F.col("_marks"), "!"))).alias("n_exclaims"),
+        F.size("_lines").alias("n_lines"),
+        (F.size("_lines") - F.size(F.array_distinct("_lines"))).alias("n_dup_lines"),
+        F.transform("_words", lambda w: F.xxhash64(w)).alias("_hashes"),
     )
     # Hash of the five words from each place on.
     following = [
@@ -60,8 +64,7 @@ def text_counts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     windows = F.transform("_hashes", lambda h, i: F.xxhash64(h, *[f(i) for f in following]))
     rows = rows.select(
         "_id", "word_chars", "n_symbols", "n_capitals", "n_exclaims",
-        F.size("_lines").alias("n_lines"),
-        (F.size("_lines") - F.size(F.array_distinct("_lines"))).alias("n_dup_lines"),
+        "n_lines", "n_dup_lines",
         F.size("_hashes").alias("n_words"),
         F.slice(windows, F.lit(1), F.greatest(F.size("_hashes") - (REPEAT_WINDOW - 1), F.lit(0))).alias("_windows"),
     )
@@ -107,7 +110,9 @@ RULES = (
         "word_chars < 2 * n_words OR word_chars > 14 * n_words",
         "word_chars >= 3 * n_words AND word_chars <= 9 * n_words",
     ),
-    Rule("symbols", "10 * n_symbols > n_words", "50 * n_symbols <= n_words"),
+    Rule("symbols_by_word", "10 * n_symbols > n_words", "50 * n_symbols <= n_words"),
+    Rule("many_symbols", "2 * n_symbols > n_words", "20 * n_symbols <= n_words"),
+    Rule("symbols_by_character", "20 * n_symbols > word_chars", "200 * n_symbols <= word_chars"),
     Rule("repeated_lines", "3 * n_dup_lines > n_lines", "n_dup_lines = 0"),
     Rule("repeated_words", "100 * n_repeat_words > 15 * n_words", "100 * n_repeat_words <= 2 * n_words"),
     Rule("capitals", "4 * n_capitals > word_chars", "8 * n_capitals <= word_chars"),
@@ -137,34 +142,34 @@ class VoteModel:
 def fit_votes(votes: DataFrame, rules: int, iterations: int = ITERATIONS) -> VoteModel | None:
     """EM over vote columns _v0, _v1, ...; None for an empty table.
 
-    Every step is one aggregate over the pattern table; what comes back is its
-    one row of sums.
+    Every step is one aggregate over the pattern table; what comes back is a sum
+    for each rule and vote.
     """
     names = [f"_v{k}" for k in range(rules)]
     patterns = cut_lineage(votes.groupBy(*names).agg(F.count("*").alias("_n")).coalesce(1))
     bad_votes = sum(((F.col(v) < 0).cast("int") for v in names), F.lit(0))
     good = F.greatest(F.lit(FIRST_GOOD) - FIRST_STEP * bad_votes, F.lit(1 - FIRST_GOOD))
     model = None
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(v).alias("v")) for k, v in enumerate(names)]))
     for _ in range(iterations):
-        mass = F.col("_n") * F.col("_q")
-        sums = [F.sum("_n").alias("n"), F.sum(mass).alias("good")]
-        for v in names:
-            for vote in (-1, 0, 1):
-                chosen = F.col(v) == vote
-                sums.append(F.sum(F.when(chosen, F.col("_n")).otherwise(0)).alias(f"{v}_{vote}_n"))
-                sums.append(F.sum(F.when(chosen, mass).otherwise(0.0)).alias(f"{v}_{vote}_good"))
-        row = patterns.withColumn("_q", good).agg(*sums).first()
-        if row["n"] is None:
+        sums = (
+            patterns.select("_n", good.alias("_q"), each.alias("_vote"))
+            .groupBy("_vote.k", "_vote.v")
+            .agg(F.sum("_n").alias("n"), F.sum(F.col("_n") * F.col("_q")).alias("good"))
+            .collect()  # at most three rows for each rule
+        )
+        if not sums:
             return None
-        n, n_good = float(row["n"]), row["good"]
+        cells = {(r["k"], r["v"]): (float(r["n"]), r["good"]) for r in sums}
+        n = sum(c[0] for (k, _), c in cells.items() if k == 0)
+        n_good = sum(c[1] for (k, _), c in cells.items() if k == 0)
         ratios = []
-        for v in names:
+        for k in range(rules):
             ratio = {}
             for vote in (-1, 0, 1):
-                in_good = row[f"{v}_{vote}_good"]
-                in_bad = row[f"{v}_{vote}_n"] - in_good
+                total, in_good = cells.get((k, vote), (0.0, 0.0))
                 ratio[vote] = math.log((in_good + PRIOR_VOTES) / (n_good + 3 * PRIOR_VOTES)) - math.log(
-                    (in_bad + PRIOR_VOTES) / (n - n_good + 3 * PRIOR_VOTES)
+                    (total - in_good + PRIOR_VOTES) / (n - n_good + 3 * PRIOR_VOTES)
                 )
             ratios.append(ratio)
         prior = math.log((n_good + PRIOR_VOTES) / (n - n_good + PRIOR_VOTES))
