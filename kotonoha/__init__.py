@@ -45,7 +45,6 @@ from kotonoha.operators.reader import (
 from kotonoha.operators.tokenize import (
     FrameTokenizer,
     TextTokenizer,
-    engine_tokenizer,
     select_word_form,
     split_text,
     text_tokenizer,

@@ -184,10 +184,10 @@ def _(spark, folder):
     ),
 )
 def _(spark, folder):
-    """NULL words are dropped first; small blocks make most n-grams cross a border."""
+    """NULL words are dropped before n-grams are built."""
     word = F.when(F.col("pos") != "symbol", F.col("word"))
     tokens = doc_tokens(spark, folder, info_col=None).withColumn("word", word)
-    return count_ngrams(tokens, n=3, ordered=False, block_size=4)
+    return count_ngrams(tokens, n=3, ordered=False)
 
 
 @check(
@@ -202,11 +202,9 @@ def _(spark, folder):
     turns = table(spark, folder, "conversations").withColumn("k", F.struct("conv_id", "turn"))
     tokens = tokenize(turns, id_col="k", info_col=None)
     ordered = tokens.select(
-        "k.conv_id", (F.col("k.turn") * 1_000_000 + F.col("token_id")).alias("at"), "word"
-    )
-    return count_ngrams(
-        ordered, n=2, id_col="conv_id", order_col="at", block_size=1_000_000, ordered=False
+        "k.conv_id", (F.shiftleft(F.col("k.turn"), 32) + F.col("token_id")).alias("at"), "word"
     )
+    return count_ngrams(ordered, n=2, id_col="conv_id", order_col="at", ordered=False)
 
 
 _PER_DOC = "SELECT doc_id, count(*) AS n, min(ngram) AS first, max(ngram) AS last FROM ({}) GROUP BY doc_id"
@@ -224,7 +222,7 @@ def _(spark, folder):
 @check("fourgram_rows", with_tokens(_PER_DOC.format(sql_ngrams("tok", 4))))
 def _(spark, folder):
     """The same from the long table, over block borders."""
-    rows = ngram_rows(doc_tokens(spark, folder, info_col=None), 4, block_size=100)
+    rows = ngram_rows(doc_tokens(spark, folder, info_col=None), 4)
     return rows.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n"), F.min("ngram").alias("first"), F.max("ngram").alias("last")
     )

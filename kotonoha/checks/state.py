@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import functions as F
 
 from kotonoha.checks.common import documents, doc_tokens, scratch, sql_tokens, table, with_tokens
@@ -29,8 +33,8 @@ def check(name: str, sql: str | None = None):
 # -- logs made of the events table: one user is one document -------------------
 
 # Which event type stands for which log event.
-FETCH_EVENTS = {"signup": "registered", "view": "fetched", "click": "fetched", "error": "error"}
-TOKENIZE_EVENTS = {"purchase": "done", "signup": "registered", "error": "error", "click": "reset"}
+FETCH_EVENTS = {"signup": "registered", "view": "fetched", "click": "fetched", "error": "error", "purchase": "registered"}
+TOKENIZE_EVENTS = {"purchase": "done", "signup": "registered", "error": "error", "click": "reset", "view": "registered"}
 
 
 def _log(spark, folder, names):
@@ -159,7 +163,7 @@ def _(spark, folder):
 @check(
     "reset",
     f"""{_LOGS} SELECT DISTINCT doc_id FROM t
-        WHERE event = 'done' AND doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)""",
+        WHERE event IN ('done', 'error') AND doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)""",
 )
 def _(spark, folder):
     wanted = table(spark, folder, "labels").where("quality = 1")
@@ -413,3 +417,92 @@ def _(spark, folder):
     derived = store.derive("words", lambda t: filter_tokens(t, pos_keep="word"))
     words = derived.word_lists().select(F.explode("words").alias("word"))
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+
+
+# -- files from end to end ------------------------------------------------------------
+
+
+def _write_pages(spark, folder) -> str:
+    """Every page as a file: hidden and underscore names, subfolders, empty and broken ones."""
+    top = scratch(spark, "files")
+    number = F.col("page_id").cast("string")
+    last = F.col("page_id") % 10
+    name = (
+        F.when(last == 0, F.concat(F.lit("_p"), number))
+        .when(last == 1, F.concat(F.lit(".p"), number))
+        .when(last == 2, F.concat(F.lit("sub/_d/p"), number))
+        .otherwise(F.concat(F.lit("p"), number))
+    )
+    content = (
+        F.when(last == 3, F.lit(b""))
+        .when(last == 4, F.unhex(F.lit("636166E9")))
+        .otherwise(F.col("html").cast("binary"))
+    )
+    files = table(spark, folder, "pages").select(F.concat(name, F.lit(".txt")), content)
+
+    def write(batches):
+        for batch in batches:
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                system, path = pafs.FileSystem.from_uri(re.sub("^file:/+", "file:///", f"{top}/{name}"))
+                system.create_dir(path.rpartition("/")[0])
+                with system.open_output_stream(path) as stream:
+                    stream.write(content)
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+    files.mapInArrow(write, "n long").agg(F.sum("n")).collect()
+    return top
+
+
+_FILES = """SELECT (CASE page_id % 10 WHEN 0 THEN '_p' WHEN 1 THEN '.p' WHEN 2 THEN 'sub/_d/p' ELSE 'p' END) || page_id || '.txt' AS rel_path,
+                   CASE page_id % 10 WHEN 3 THEN '' WHEN 4 THEN {} ELSE html END AS text, {} AS failed FROM pages"""
+
+
+def _files_read(store):
+    state = store.fetch_status().select("doc_id", F.col("error_message").isNotNull().alias("failed"))
+    documents = store.documents().select("doc_id", "rel_path").join(state, "doc_id")
+    return documents.join(store.texts(), "doc_id", "left").select("rel_path", "text", "failed")
+
+
+@check("ingest_files", _FILES.format("NULL", "page_id % 10 = 4"))
+def _(spark, folder):
+    """Register and read files of every kind of name, empty and broken ones among them."""
+    top = _write_pages(spark, folder)
+    store = CorpusStore(spark, scratch(spark, "file-store"))
+    store.register_files(top)
+    store.ingest()
+    return _files_read(store)
+
+
+@check("redecode_store", _FILES.format("'caf' || chr(233)", "false"))
+def _(spark, folder):
+    """The broken ones read again in their own charset; registering twice changes nothing."""
+    top = _write_pages(spark, folder)
+    store = CorpusStore(spark, scratch(spark, "redecode-store"))
+    store.register_files(top)
+    store.process(fetch_only=True)
+    store.register_files(top)
+    store.redecode_failed("latin-1")
+    return _files_read(store)
+
+
+@check(
+    "derived_foreign",
+    with_tokens(
+        """SELECT doc_id, 'ok' AS problem, CAST(count(*) AS BIGINT) AS n FROM tok WHERE word <> 'the' AND word <> 'of' GROUP BY doc_id
+           UNION ALL SELECT NULL, 'null_key', count(*) FROM tok WHERE word = 'the' HAVING count(*) > 0
+           UNION ALL SELECT -1, 'foreign_doc', count(*) FROM tok WHERE word = 'of' HAVING count(*) > 0"""
+    ),
+)
+def _(spark, folder):
+    """A transform that moves tokens to no and to an unknown document: both are reported."""
+    store = CorpusStore(spark, scratch(spark, "foreign-store"))
+    store.register_content(documents(spark, folder), "doc_id", "text", order_col="doc_id")
+    store.tokenize()
+    word = F.col("word")
+    moved = F.when(word == "the", F.lit(None)).when(word == "of", F.lit(-1)).otherwise(F.col("doc_id"))
+    derived = store.derive("foreign", lambda tokens: tokens.withColumn("doc_id", moved))
+    names = store.documents().select("doc_id", F.col("rel_path").cast("long").alias("_own"))
+    kept = derived.token_lists().where(F.size("tokens") > 0).join(names, "doc_id").select(
+        F.col("_own").alias("doc_id"), F.lit("ok").alias("problem"), F.size("tokens").cast("long").alias("n")
+    )
+    return kept.unionByName(derived.problems)

@@ -159,16 +159,18 @@ def _(spark, folder):
 @check(
     "strip_text",
     f"""SELECT conv_id, turn, regexp_replace(padded, '^[{SPACES}]+|[{SPACES}]+$', '', 'g') AS text,
-               regexp_matches(padded, '[^{SPACES}]') AS has_content
+               regexp_matches(partly, '[^{SPACES}]') AS has_content
         FROM (SELECT conv_id, turn, CASE WHEN role = 'user' THEN chr(12288) || chr(10) || text || chr(28) || chr(160)
-                                         ELSE chr(8195) || chr(9) END AS padded FROM conversations)""",
+                                         ELSE chr(8195) || text || chr(9) END AS padded,
+                     CASE WHEN role = 'user' THEN text ELSE chr(8195) || chr(9) END AS partly FROM conversations)""",
 )
 def _(spark, folder):
     padded = F.when(
         F.col("role") == "user", F.concat(F.lit("　\n"), F.col("text"), F.lit("\x1c\xa0"))
-    ).otherwise(F.lit(" \t"))
+    ).otherwise(F.concat(F.lit("\u2003"), F.col("text"), F.lit("\t")))
+    partly = F.when(F.col("role") == "user", F.col("text")).otherwise(F.lit("\u2003\t"))
     return table(spark, folder, "conversations").select(
-        "conv_id", "turn", strip_text(padded).alias("text"), has_content(padded).alias("has_content")
+        "conv_id", "turn", strip_text(padded).alias("text"), has_content(partly).alias("has_content")
     )
 
 

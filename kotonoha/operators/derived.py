@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -13,12 +12,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kotonoha.operators.tokenize import (
-    collect_parts,
-    contract_frame,
-    frame_columns,
+from kotonoha.operators.frames import (
+    SLICE_SIZE,
     result_batch,
     result_schema,
+    run_spans,
+    size_cuts,
+    token_rows,
 )
 from kotonoha.schemas import TOKEN_COLUMNS, require_columns
 
@@ -125,33 +125,37 @@ def derive_lists(
 ) -> DataFrame:
     """Apply a pandas transform to ``[doc_id, tokens]`` rows, without a shuffle.
 
-    Returns ``[doc_id, tokens, error, <carry>]``. Up to ``max_docs`` documents are passed
-    at once; when that fails they are repeated one by one, so only the failing
-    document carries an error.
+    Returns ``[doc_id, tokens, error, <carry>]``. Up to ``max_docs`` documents
+    with SLICE_SIZE tokens in all are passed at once. When the call fails, or
+    returns rows of other documents, they are repeated one by one, so only the
+    failing document carries an error.
     """
     if not callable(transform):
         raise TypeError("transform must be callable")
     require_columns(lists, ["doc_id", "tokens"], "derive_lists")
-    def attempt(flat: pd.DataFrame, spans: list[tuple]) -> pd.DataFrame:
-        # A part is a run of neighbouring documents: one slice of the flat frame.
-        frame = transform(flat.iloc[spans[0][1] : spans[-1][2]].reset_index(drop=True))
-        if frame is None:
-            frame = pd.DataFrame(columns=TOKEN_COLUMNS)
-        if isinstance(frame, pd.DataFrame):
-            for name in ("doc_id", "token_id", "word"):
-                if name not in frame.columns:
-                    raise ValueError(f"transform output has no {name!r} column")
-                if frame[name].isna().any():
-                    raise ValueError(f"transform output has a NULL {name}")
-        return contract_frame(frame, {s[0] for s in spans})
+
+    def derived(batch: pa.RecordBatch) -> pa.RecordBatch:
+        flat, spans = _flat_tokens(batch)
+
+        def attempt(places: list[int]):
+            # Neighbouring documents are one slice of the flat frame.
+            begin, end = spans[places[0]][1], spans[places[-1]][2]
+            frame = transform(flat.iloc[begin:end].reset_index(drop=True))
+            if frame is None:
+                frame = pd.DataFrame(columns=TOKEN_COLUMNS)
+            keys = [spans[p][0] for p in places]
+            return token_rows(frame, keys, places, ("doc_id", "token_id", "word"))
+
+        sizes = [end - begin for _, begin, end in spans]
+        cuts = size_cuts(sizes, SLICE_SIZE, max_docs, [s[0] for s in spans])
+        owners, columns, errors = run_spans(cuts, attempt)
+        return result_batch(batch, columns, np.bincount(owners, minlength=batch.num_rows), errors)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            flat, spans = _flat_tokens(batch)
-            places = range(len(spans))
-            parts = [list(places[b : b + max_docs]) for b in range(0, len(spans), max_docs)]
-            done, errors = collect_parts(spans, parts, partial(attempt, flat))
-            yield result_batch(batch, *frame_columns(len(spans), done), errors)
+            sizes = pc.fill_null(pc.list_value_length(batch.column(1)), 0).to_pylist()
+            for begin, end in size_cuts(sizes, SLICE_SIZE, batch.num_rows):
+                yield derived(batch.slice(begin, end - begin))
 
     source = lists.select("doc_id", "tokens", *carry)
     return source.mapInArrow(run, result_schema(source))

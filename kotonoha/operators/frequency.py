@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kotonoha.operators.filters import filter_tokens
 from kotonoha.plans.numbering import number_rows
+from kotonoha.plans.layout import cut_lineage
 from kotonoha.schemas import require_columns
 
 
@@ -147,6 +148,7 @@ def tf_idf(matrix: DataFrame, *, id_col: str = "doc_id", word_col: str = "word")
     idf = per_word.select(
         word_col, (F.log((n_docs.scalar() + 1) / (F.col("_df") + 1)) + 1).alias("_idf")
     )
-    return matrix.join(idf, word_col).select(
+    # Fixed first, so that both sides are shuffled for the join alone.
+    return matrix.join(cut_lineage(idf), word_col).select(
         id_col, word_col, "count", (F.col("count") * F.col("_idf")).alias("tfidf")
     )

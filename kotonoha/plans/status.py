@@ -108,12 +108,12 @@ def visible_runs(log: DataFrame) -> DataFrame:
 
 
 def reset_rows(log: DataFrame, doc_ids: DataFrame | None = None) -> DataFrame:
-    """``[doc_id]`` that a reset has to touch: documents with a done row.
+    """``[doc_id]`` that a reset has to touch: documents with tokens or with an error.
 
     ``doc_ids`` limits it to those documents.
     """
-    done = log.where(F.col("event") == "done").select("doc_id").distinct()
-    return done if doc_ids is None else done.join(doc_ids.select("doc_id"), "doc_id", "left_semi")
+    tried = log.where(F.col("event").isin("done", "error")).select("doc_id").distinct()
+    return tried if doc_ids is None else tried.join(doc_ids.select("doc_id"), "doc_id", "left_semi")
 
 
 def missing_status(log: DataFrame, fetch_log: DataFrame) -> DataFrame:

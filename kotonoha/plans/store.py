@@ -13,6 +13,7 @@ set of documents and texts. Each table has one writer at a time.
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
@@ -31,8 +32,9 @@ from kotonoha.schemas import DOCUMENTS, FETCH_LOG, TOKEN_LIST, TOKENIZE_LOG
 from kotonoha.sources import files as file_source
 from kotonoha.sources.content import content_pairs
 
-# Up to this many selected files are read by name; more are read with their root.
+# Files that are opened by name in one group, and roots that are listed in one.
 NAMED_FILES = 50_000
+ROOTS_AT_ONCE = 1_000
 # Up to this many (doc_id, run_id) keys are broadcast to leave rows out or in.
 BROADCAST_KEYS = 500_000
 
@@ -43,13 +45,14 @@ def pick_rows(rows: DataFrame, keys: DataFrame) -> DataFrame:
     """Rows whose (doc_id, run_id) is in ``keys``, moving no row where avoidable.
 
     The rows are wide (texts, token lists) and the keys thin, so keys are
-    counted first. Runs without a wanted row are not read. If few of the other
+    fixed and counted first. Runs without a wanted row are not read. If few of the other
     rows are unwanted, or few are wanted, those keys are broadcast; only a large
     mixture is shuffled.
     """
     on = ["doc_id", "run_id"]
-    runs = sorted(r["run_id"] for r in keys.select("run_id").distinct().collect())
-    rows = rows.where(F.col("run_id").isin(runs))
+    keys = cut_lineage(keys.select(*on))
+    # One row per run; as a broadcast side it prunes the directories that are read.
+    rows = rows.join(F.broadcast(keys.select("run_id").distinct()), "run_id", "left_semi")
     unwanted = rows.select(*on).join(keys, on, "left_anti")
     n_unwanted = unwanted.limit(BROADCAST_KEYS + 1).count()
     if n_unwanted == 0:
@@ -98,13 +101,13 @@ class LogTable:
 
     # -- rows ---------------------------------------------------------------
 
-    def read(self, before: int | None = None) -> DataFrame:
-        """All rows, or those of runs before the given one."""
+    def read(self, without: int | None = None) -> DataFrame:
+        """All rows, or those of all runs but the given one, which is being written."""
         folder = self.folder
         if not self._names(folder, "run_id="):
             return self.spark.createDataFrame([], self.schema)
         rows = self.spark.read.schema(self.schema).option("basePath", folder).parquet(folder)
-        return rows if before is None else rows.where(F.col("run_id") < before)
+        return rows if without is None else rows.where(F.col("run_id") != without)
 
     def append(self, rows: DataFrame, run_id: int) -> None:
         names = [f.name for f in self.schema if f.name != "run_id"]
@@ -186,15 +189,23 @@ class CorpusStore:
 
     # -- registration -----------------------------------------------------------
 
+    def _noted_run(self) -> int:
+        """Largest run that a stream has noted for a batch, written or not."""
+        notes = LogTable(self.spark, f"{self.root}/streams", FETCH_LOG)
+        if not notes._exists(notes.path):
+            return 0
+        noted = self.spark.read.schema("run long").option("recursiveFileLookup", "true")
+        return noted.parquet(notes.path).agg(F.max("run")).first()[0] or 0
+
     def next_master_run(self) -> int:
-        return max([0, *self.documents_table.runs(), *self.fetch_table.runs()]) + 1
+        return max(self._noted_run(), *self.documents_table.runs(), *self.fetch_table.runs(), 0) + 1
 
     def next_work_run(self) -> int:
-        return max([0, *self.work_table.runs()]) + 1
+        return max(self._noted_run(), *self.work_table.runs(), 0) + 1
 
     def _register(self, fresh: DataFrame, order_col: str, kind: str, run_id: int) -> None:
         """Number new ``[abs_path, rel_path]`` rows in order and append them."""
-        known = self.documents_table.read(before=run_id)
+        known = self.documents_table.read(without=run_id)
         last = known.agg(F.max("doc_id")).first()[0] or 0
         numbered = number_rows(fresh, [order_col], output="doc_id", start=last + 1)
         rows = numbered.withColumn("source_kind", F.lit(kind)).withColumn(
@@ -216,14 +227,16 @@ class CorpusStore:
     def register_paths(self, listed: DataFrame, root_dir: str, *, run_id: int | None = None) -> None:
         """Register the new ones of a ``[path]`` listing, ids in path order."""
         run_id = run_id or self.next_master_run()
-        known = self.documents_table.read(before=run_id)
+        known = self.documents_table.read(without=run_id)
         paths = listed.select(F.col("path").alias("abs_path")).distinct()
         fresh = paths.join(known, "abs_path", "left_anti").withColumn(
             "rel_path", file_source.relative_path(F.col("abs_path"), root_dir)
         )
         self._register(fresh, "abs_path", "file", run_id)
         event = self._event("registered", F.lit(None).cast("string"))
-        rows = self.documents_table.read().where(F.col("run_id") == run_id)
+        # Not only this run's documents: an earlier run may have ended between its two tables.
+        files = self.documents_table.read().where("source_kind = 'file'")
+        rows = files.join(self.fetch_table.read(without=run_id), "doc_id", "left_anti")
         self.fetch_table.append(self._fetch_rows(rows, event), run_id)
 
     def register_content(
@@ -250,12 +263,12 @@ class CorpusStore:
         latest = cut_lineage(
             latest.withColumn("abs_path", F.concat(F.lit(f"{source_label}://"), F.col("key")))
         )
-        known = self.documents_table.read(before=run_id)
+        known = self.documents_table.read(without=run_id)
         fresh = latest.join(known, "abs_path", "left_anti").select(
             "abs_path", F.col("key").alias("rel_path"), "_first"
         )
         self._register(fresh, "_first", "content", run_id)
-        ids = self.documents_table.read(before=run_id + 1).select("doc_id", "abs_path")
+        ids = self.documents_table.read().select("doc_id", "abs_path")
         rows = latest.join(ids, "abs_path")
         fetched = rows.withColumn("char_count", F.length("text"))
         event = self._event("fetched", F.lit(None).cast("string"))
@@ -277,25 +290,40 @@ class CorpusStore:
         ]
         return rows.select("doc_id", *event, *tail)
 
-    def _roots(self) -> list[str]:
+    def _listing(self) -> DataFrame | None:
+        """Files below all roots from which files were registered; None without any."""
         file_docs = self.documents().where("source_kind = 'file'")
         size = F.length("abs_path") - F.length("rel_path") - 1
         roots = file_docs.select(F.substr(F.col("abs_path"), F.lit(1), size).alias("r")).distinct()
-        return sorted(r["r"] for r in roots.limit(10_000).collect())
-
-    def _contents(self, wanted: DataFrame, roots: list[str]) -> DataFrame:
-        """``[doc_id, content]`` of the wanted files; content is NULL for a missing file."""
-        listing = file_source.binary_reader(self.spark.read, "*").load(roots)
-        present = listing.select(F.col("path").alias("abs_path"))
-        named = wanted.join(present, "abs_path").select("abs_path").limit(NAMED_FILES + 1).collect()
-        if len(named) <= NAMED_FILES:
-            # Name the files, so that unchanged ones are not opened.
-            paths = [_GLOB_CHARACTERS.sub(r"\\\1", r["abs_path"]) for r in named]
-            if not paths:
-                return wanted.select("doc_id", F.lit(None).cast("binary").alias("content"))
-            listing = self.spark.read.format("binaryFile").load(paths)
-        found = listing.select(F.col("path").alias("abs_path"), "content")
-        return wanted.join(found, "abs_path", "left").select("doc_id", "content")
+        listed, group = None, []
+        for row in itertools.chain(roots.orderBy("r").toLocalIterator(), [None]):
+            if group and (row is None or len(group) == ROOTS_AT_ONCE):
+                some = file_source.list_files(self.spark, group, "*")
+                listed, group = some if listed is None else listed.unionByName(some), []
+            if row is not None:
+                group.append(row["r"])
+        # Roots may lie in each other.
+        return listed if listed is None else listed.dropDuplicates(["path"])
+
+    def _contents(self, wanted: DataFrame, listing: DataFrame) -> DataFrame:
+        """``[doc_id, content]`` of the wanted files; content is NULL for a missing file.
+
+        Files are opened by name, in groups, so that unchanged ones are not read.
+        """
+        present = listing.select(F.col("path").alias("abs_path"), "by_name")
+        wanted = cut_lineage(wanted.join(present, "abs_path", "left").select("doc_id", "abs_path", "by_name"))
+        odd = wanted.where(~F.col("by_name"))
+        missing = wanted.where(F.col("by_name").isNull())
+        found = file_source.read_passed_over(odd).unionByName(
+            missing.select("doc_id", F.lit(None).cast("binary").alias("content"))
+        )
+        named = wanted.where("by_name").select("abs_path", "doc_id")
+        paths = (r["abs_path"] for r in named.toLocalIterator())
+        while group := [_GLOB_CHARACTERS.sub(r"\\\1", p) for p in itertools.islice(paths, NAMED_FILES)]:
+            read = self.spark.read.format("binaryFile").load(group)
+            read = read.select(F.col("path").alias("abs_path"), "content")
+            found = found.unionByName(named.join(read, "abs_path").select("doc_id", "content"))
+        return found
 
     def _store_decoded(self, decoded: DataFrame, run_id: int) -> None:
         kind = F.when(F.col("error").isNull(), F.lit("fetched")).otherwise(F.lit("error"))
@@ -303,17 +331,17 @@ class CorpusStore:
 
     def ingest(self, *, check_updates: bool = True) -> None:
         """Read new and changed files as strict UTF-8; errors stay with their document."""
-        roots = self._roots()
-        if not roots:
+        listing = self._listing()
+        if listing is None:
             return
-        listing = file_source.list_files(self.spark, roots, "*")
+        listing = cut_lineage(listing)
         wanted = status.select_updates(
             self.documents(), self.fetch_status(), listing, check_updates=check_updates
         )
         wanted = cut_lineage(wanted)
         if wanted.isEmpty():
             return
-        decoded = file_source.decode_utf8(self._contents(wanted, roots))
+        decoded = file_source.decode_utf8(self._contents(wanted, listing))
         self._store_decoded(decoded, self.next_master_run())
 
     def redecode_failed(self, charset: str) -> None:
@@ -323,7 +351,7 @@ class CorpusStore:
         wanted = cut_lineage(failed.join(file_docs, "doc_id", "left_semi"))
         if wanted.isEmpty():
             return
-        decoded = file_source.decode_charset(self._contents(wanted, self._roots()), charset)
+        decoded = file_source.decode_charset(self._contents(wanted, self._listing()), charset)
         self._store_decoded(decoded, self.next_master_run())
 
     # -- tokenize -----------------------------------------------------------------
@@ -441,12 +469,13 @@ class CorpusStore:
 
         A DataFrame transform stays a Spark plan; with ``pandas`` the function
         gets token frames of whole documents, where they are read. Every document with a text is
-        marked done unless its output breaks the token rules.
+        marked done unless its output breaks the token rules. Rows of no or of an
+        unknown document are in ``problems`` of the returned store.
         """
         if not callable(transform):
             raise TypeError("transform must be callable")
         target = self._work(name)
-        run_id = max([0, *target.runs()]) + 1
+        run_id = self.with_work(name).next_work_run()
         versions = self.fetch_status().where("fetch_ok").select("doc_id", "text_version")
         if pandas:
             lists = self._live_lists()
@@ -459,9 +488,11 @@ class CorpusStore:
                 "text_version",
             )
             rows = rows.unionByName(blank)
+            problems = self.spark.createDataFrame([], "doc_id long, problem string, n long")
         else:
-            rows = self._derive_plan(transform, versions)
+            rows, problems = self._derive_plan(transform, versions)
         derived = self.with_work(name)
+        derived.problems = problems
         # A rebuilt work hides what an older build left for failing documents.
         if target.runs():
             derived.reset_tokens()
@@ -469,17 +500,19 @@ class CorpusStore:
         self._append_lists(rows, target, run_id)
         return derived
 
-    def _derive_plan(self, transform: Callable, versions: DataFrame) -> DataFrame:
-        """``[doc_id, tokens, error, text_version]`` of a DataFrame transform.
+    def _derive_plan(self, transform: Callable, versions: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """``[doc_id, tokens, error, text_version]`` of a DataFrame transform, and its problems.
 
         The output is regrouped once and the token rules are read off the
-        lists. Rows of unknown documents find no partner and disappear.
+        lists. Rows of no or of an unknown document come back as problems.
         """
         result = transform(self.tokens())
         empty = F.array().cast(TOKEN_LIST)
+        none = self.spark.createDataFrame([], "doc_id long, problem string, n long")
         if result is None:
-            return versions.withColumn("tokens", empty).withColumn("error", F.lit(None).cast("string"))
-        lists = collect_tokens(fit_schema(result))
+            return versions.withColumn("tokens", empty).withColumn("error", F.lit(None).cast("string")), none
+        # The transform runs once, also where it gives other rows each time.
+        lists = cut_lineage(collect_tokens(fit_schema(result)))
         tokens = F.coalesce("tokens", empty)
         ids = F.col("tokens.token_id")
         no_id = F.exists(ids, lambda i: i.isNull())
@@ -492,9 +525,14 @@ class CorpusStore:
             F.when(no_word, F.lit("null_word")),
         )
         joined = versions.join(lists, "doc_id", "left").withColumn("tokens", tokens)
-        return joined.select(
+        rows = joined.select(
             "doc_id", "tokens", F.nullif(error, F.lit("")).alias("error"), "text_version"
         )
+        problem = F.when(F.col("doc_id").isNull(), F.lit("null_key")).otherwise(F.lit("foreign_doc"))
+        problems = lists.join(versions, "doc_id", "left_anti").select(
+            "doc_id", problem.alias("problem"), F.size("tokens").cast("long").alias("n")
+        )
+        return rows, problems
 
     # -- maintenance ------------------------------------------------------------------
 

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import fnmatch
+import re
 from collections.abc import Iterable
+from urllib.parse import quote
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,12 +36,99 @@ def binary_reader(reader, patterns: str | Iterable[str]):
 
 
 def list_files(
-    spark: SparkSession, root: str, patterns: str | Iterable[str] = DEFAULT_PATTERNS
+    spark: SparkSession, root: str | Iterable[str], patterns: str | Iterable[str] = DEFAULT_PATTERNS
 ) -> DataFrame:
-    """``[path, modificationTime, length]``; the content column is pruned, not read."""
-    return binary_reader(spark.read, patterns).load(root).select(
-        "path", "modificationTime", "length"
+    """``[path, modificationTime, length, by_name]`` of all files below the roots.
+
+    Spark's file sources pass over empty files and names that start with ``_``
+    or ``.``; those are listed by the workers through Arrow's file systems and
+    have ``by_name`` false. No content is read.
+    """
+    roots = [root] if isinstance(root, str) else list(root)
+    seen = binary_reader(spark.read, patterns).load(roots).select(
+        "path", "modificationTime", "length", F.lit(True).alias("by_name")
     )
+    return seen.unionByName(passed_over(spark, roots, patterns))
+
+
+def _qualified(spark: SparkSession, root: str) -> str:
+    """The root as Spark writes it in paths, with its scheme."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(root)
+    system = place.getFileSystem(context._jsc.hadoopConfiguration())
+    return system.makeQualified(place).toString()
+
+
+def _arrow_place(path: str):
+    """Arrow's file system and the path in it; None where Arrow has no such store."""
+    try:
+        return pafs.FileSystem.from_uri(re.sub("^file:/+", "file:///", _escaped(path)))
+    except (pa.ArrowInvalid, OSError):
+        return None
+
+
+def _escaped(path: str) -> str:
+    scheme, colon, rest = path.partition(":")
+    return scheme + colon + quote(rest, safe="/:@")
+
+
+def _is_passed_over(name: str, size: int) -> bool:
+    parts = name.split("/")
+    return size == 0 or any(p.startswith(".") or p.startswith("_") and "=" not in p for p in parts)
+
+
+def passed_over(spark: SparkSession, roots: list[str], patterns: str | Iterable[str]) -> DataFrame:
+    """The files below the roots that Spark's own listing leaves out, a task per root."""
+    names = [patterns] if isinstance(patterns, str) else sorted(set(patterns))
+    schema = "path string, modificationTime timestamp, length long, by_name boolean"
+
+    def walk(batches):
+        for batch in batches:
+            for root in batch.column(0).to_pylist():
+                place = _arrow_place(root)
+                if place is None:
+                    continue
+                system, top = place
+                found = [
+                    (root.rstrip("/") + "/" + inside, info.mtime, info.size, False)
+                    for info in system.get_file_info(pafs.FileSelector(top, recursive=True, allow_not_found=True))
+                    if info.type == pafs.FileType.File
+                    for inside in [info.path[len(top.rstrip("/")) + 1 :]]
+                    if _is_passed_over(inside, info.size)
+                    and any(fnmatch.fnmatchcase(inside.rpartition("/")[2], n) for n in names)
+                ]
+                columns = list(zip(*found, strict=True)) or [[], [], [], []]
+                kinds = [pa.string(), pa.timestamp("us", "UTC"), pa.int64(), pa.bool_()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)],
+                    names=["path", "modificationTime", "length", "by_name"],
+                )
+
+    listed = [(_qualified(spark, r),) for r in dict.fromkeys(roots)]
+    table = spark.createDataFrame(listed, "root string").repartition(min(len(listed), 200))
+    return table.mapInArrow(walk, schema)
+
+
+def read_passed_over(files: DataFrame) -> DataFrame:
+    """``[doc_id, content]`` of ``[doc_id, abs_path]`` rows, read by the workers; NULL if missing."""
+    id_type = files.schema["doc_id"].dataType.simpleString()
+
+    def read(batches):
+        for batch in batches:
+            ids, paths = batch.column(0), batch.column(1).to_pylist()
+            for row, path in enumerate(paths):
+                content = None
+                if place := _arrow_place(path):
+                    try:
+                        with place[0].open_input_stream(place[1]) as stream:
+                            content = stream.read()
+                    except FileNotFoundError:
+                        pass
+                yield pa.RecordBatch.from_arrays(
+                    [ids.slice(row, 1), pa.array([content], pa.binary())], names=["doc_id", "content"]
+                )
+
+    return files.select("doc_id", "abs_path").mapInArrow(read, f"doc_id {id_type}, content binary")
 
 
 def relative_path(path: Column, root: str) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from kotonoha.operators.tokenize import tokenize_lists
+from kotonoha.plans.layout import cut_lineage
 from kotonoha.plans.store import CorpusStore, LogTable, pick_rows
 from kotonoha.schemas import FETCH_LOG
 from kotonoha.sources import files as file_source
@@ -60,9 +61,15 @@ def stream_files(
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         run_id = _run_of_batch(store, name, batch_id, store.next_master_run)
-        store.register_paths(batch.select("path"), root_dir, run_id=run_id)
+        # Empty files and names that Spark passes over come along with the next batch.
+        odd = cut_lineage(file_source.passed_over(store.spark, [root_dir], patterns))
+        fetched = store.fetch_table.read(without=run_id).where("event = 'fetched'").select("doc_id")
+        store.register_paths(batch.select("path").unionByName(odd.select("path")), root_dir, run_id=run_id)
         ids = store.documents().select("doc_id", F.col("abs_path").alias("path"))
-        decoded = file_source.decode_utf8(batch.select("path", "content").join(ids, "path"))
+        contents = batch.select("path", "content").join(ids, "path").select("doc_id", "content")
+        new = odd.join(ids, "path").join(fetched, "doc_id", "left_anti")
+        unread = file_source.read_passed_over(new.select("doc_id", F.col("path").alias("abs_path")))
+        decoded = file_source.decode_utf8(contents.unionByName(unread))
         store._store_decoded(decoded, run_id)
 
     return _start(stream, each_batch, checkpoint, available_now)

@@ -1,0 +1,211 @@
+"""Cases in which rows were once lost, overwritten or answered wrongly."""
+
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+import kotonoha as k
+from kotonoha.operators.filters import _without
+from kotonoha.operators.similarity import cosine, unit_vector
+from kotonoha.operators.tokenize import tokenize_lists
+from kotonoha.sources.content import read_csv
+from kotonoha.streaming.streams import _run_of_batch, stream_files
+
+NAMES = ["a.txt", "_b.txt", ".c.txt", "_d/e.txt", "sub/f.txt", "empty.txt"]
+
+
+@pytest.fixture
+def files(tmp_path):
+    folder = tmp_path / "texts"
+    for name in NAMES:
+        path = folder / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text("" if name == "empty.txt" else f"text of {name}")
+    (folder / "_skip.md").write_text("other kind")
+    return folder
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    return k.CorpusStore(spark, str(tmp_path / "store"))
+
+
+def texts_of(store):
+    rows = store.texts().join(store.documents(), "doc_id").select("rel_path", "text").collect()
+    return {r["rel_path"]: r["text"] for r in rows}
+
+
+def test_hidden_and_empty_files(store, files):
+    store.register_files(str(files))
+    store.ingest()
+    assert texts_of(store) == {n: "" if n == "empty.txt" else f"text of {n}" for n in NAMES}
+    store.register_files(str(files))
+    assert store.documents().count() == len(NAMES)
+
+
+def test_hidden_files_in_a_stream(store, files, tmp_path):
+    query = stream_files(store, str(files), checkpoint=str(tmp_path / "checkpoint"))
+    query.awaitTermination()
+    assert set(texts_of(store)) == set(NAMES)
+
+
+def test_many_roots_in_groups(store, tmp_path, monkeypatch):
+    from kotonoha.plans import store as module
+
+    monkeypatch.setattr(module, "ROOTS_AT_ONCE", 2)
+    monkeypatch.setattr(module, "NAMED_FILES", 2)
+    for n in range(5):
+        folder = tmp_path / f"root{n}"
+        folder.mkdir()
+        (folder / "t.txt").write_text(f"text {n}")
+        store.register_files(str(folder))
+    store.ingest()
+    assert sorted(r["text"] for r in store.texts().collect()) == [f"text {n}" for n in range(5)]
+
+
+def test_end_between_the_two_tables(store, files, monkeypatch):
+    def broken(rows, run_id):
+        raise OSError("stopped")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(store.fetch_table, "append", broken)
+        with pytest.raises(OSError):
+            store.register_files(str(files))
+    store.register_files(str(files))
+    store.ingest()
+    assert len(texts_of(store)) == len(NAMES)
+
+
+def test_noted_run_of_a_stream_is_not_given_again(spark, store):
+    noted = _run_of_batch(store, "content", 0, store.next_master_run)
+    rows = spark.createDataFrame([("x", "batch text")], "original_id string, text string")
+    store.register_content(rows)
+    assert _run_of_batch(store, "content", 0, store.next_master_run) == noted
+    streamed = spark.createDataFrame([("y", "stream text")], "original_id string, text string")
+    store.register_content(streamed, run_id=noted)
+    assert sorted(r["text"] for r in store.texts().collect()) == ["batch text", "stream text"]
+
+
+def test_last_text_by_file_name_and_place(spark, store, tmp_path):
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("id,text\nx,OLD\n" + "".join(f"f{i},{'filler ' * 50}\n" for i in range(200)))
+    (folder / "b.csv").write_text("id,text\nx,MIDDLE\nx,NEW\n")
+    store.register_content(read_csv(spark, str(folder), "id", "text"))
+    assert {r["text"] for r in store.texts().collect()} >= {"NEW"}
+    assert not {r["text"] for r in store.texts().collect()} & {"OLD", "MIDDLE"}
+
+
+def test_reset_clears_an_error(spark, store):
+    store.register_content(spark.createDataFrame([("x", "bad"), ("y", "good")], "original_id string, text string"))
+
+    def one(text):
+        if text == "bad":
+            raise ValueError("no")
+        return [(text, "w", None)]
+
+    store.tokenize(k.text_tokenizer(one))
+    assert store.tokenize_status().where("error_message IS NOT NULL").count() == 1
+    store.reset_tokens()
+    assert store.tokenize_status().where("error_message IS NOT NULL OR tokenize_ok").count() == 0
+    assert store.pending().count() == 2
+
+
+def test_foreign_rows_of_a_transform_are_reported(spark, store):
+    store.register_content(spark.createDataFrame([("x", "a b c")], "original_id string, text string"))
+    store.tokenize()
+    moved = F.when(F.col("word") == "b", F.lit(99)).when(F.col("word") == "c", F.lit(None)).otherwise(F.col("doc_id"))
+    derived = store.derive("moved", lambda t: t.withColumn("doc_id", moved))
+    assert sorted((r["doc_id"] or 0, r["problem"], r["n"]) for r in derived.problems.collect()) == [
+        (0, "null_key", 1), (99, "foreign_doc", 1),
+    ]
+    assert [r["word"] for r in derived.tokens().collect()] == ["a"]
+
+
+@pytest.mark.parametrize("kind", ["text", "frame"])
+def test_unstorable_tokens_are_the_documents_error(spark, kind):
+    docs = spark.createDataFrame([(1, "good"), (2, "surrogate"), (3, "huge"), (4, "fine")], "doc_id long, text string")
+
+    def one(text):
+        return [("\ud800" if text == "surrogate" else text, "w", None)]
+
+    def frame(batch):
+        out = batch.rename(columns={"text": "word"})
+        out["token_id"] = [1 << 40 if w == "huge" else 1 for w in out["word"]]
+        out["word"] = ["\ud800" if w == "surrogate" else w for w in out["word"]]
+        return out
+
+    tokenizer = k.text_tokenizer(one) if kind == "text" else k.FrameTokenizer(frame)
+    rows = {r["doc_id"]: r for r in tokenize_lists(docs, tokenizer).collect()}
+    bad = {2} if kind == "text" else {2, 3}
+    assert {d for d, r in rows.items() if r["error"]} == bad
+    assert all((r["tokens"] is None) is (d in bad) for d, r in rows.items())
+    assert rows[4]["tokens"][0]["word"] == "fine"
+
+
+def test_a_failing_factory_fails_once(spark):
+    docs = spark.createDataFrame([(i, "t") for i in range(20)], "doc_id long, text string")
+
+    def factory():
+        raise RuntimeError("no dictionary")
+
+    with pytest.raises(Exception, match="no dictionary"):
+        tokenize_lists(docs, k.TextTokenizer(factory)).collect()
+
+
+def test_rows_of_other_documents_fail_the_frame(spark):
+    docs = spark.createDataFrame([(1, "a"), (2, "b")], "doc_id long, text string")
+
+    def swapped(batch):
+        return pd.DataFrame({"doc_id": [7 if t == "b" else d for d, t in zip(batch["doc_id"], batch["text"])], "word": batch["text"]})
+
+    rows = {r["doc_id"]: r["error"] for r in tokenize_lists(docs, k.FrameTokenizer(swapped)).collect()}
+    assert rows[1] is None and "other documents" in rows[2]
+
+
+def test_zero_vector(spark):
+    rows = spark.createDataFrame([([0.0, 0.0], [1.0, 0.0])], "a array<double>, b array<double>")
+    found = rows.select(cosine(F.col("a"), F.col("b")).alias("c"), unit_vector(F.col("a")).alias("u")).first()
+    assert found["c"] is None and found["u"] == [None, None]
+
+
+LOWERED = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.shuffle.partitions": "8",
+}
+
+
+@pytest.fixture
+def lowered(spark):
+    old = {key: spark.conf.get(key) for key in LOWERED}
+    for key, value in LOWERED.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in old.items():
+        spark.conf.set(key, value)
+
+
+def hot_words(spark):
+    word = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("w"), (F.col("id") % 400).cast("string")))
+    return spark.range(0, 30_000, 1, 8).select(
+        (F.col("id") % 50).alias("doc_id"), F.col("id").cast("int").alias("token_id"), word.alias("word"), F.rand(1).alias("x")
+    )
+
+
+def test_hot_stopword_is_split(spark, lowered):
+    tokens = hot_words(spark)
+    banned = tokens.where("word LIKE 'w1%'").select("word").distinct()
+    found = _without(tokens, banned, "word")
+    assert found.count() == tokens.where("word NOT LIKE 'w1%'").count()
+    found.collect()
+    assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_word_of_tf_idf_is_split(spark, lowered):
+    cells = hot_words(spark).select("word", F.col("token_id").alias("doc_id"), F.lit(1).alias("count"), "x")
+    found = k.tf_idf(cells)
+    assert len(found.collect()) == cells.count()
+    assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()

@@ -46,18 +46,14 @@ def test_argument_errors(spark):
         k.tokenize(docs, id_col="id")
     with pytest.raises(KeyError):
         k.tokenize(docs, text_col="body")
-    with pytest.raises(ValueError):
-        k.tokenize(docs, engine="other")
     with pytest.raises(ValueError):
         k.tokenize(docs, word_form="weird")
-    assert k.engine_tokenizer("SCRIPT") is None
-    assert isinstance(k.engine_tokenizer("Sudachi", word_form="Norm"), k.TextTokenizer)
 
 
-def test_passed_function_overrides_engine(spark):
+def test_passed_function(spark):
     docs = docs_of(spark, " x y ", None, "z")
     fn = lambda t: [(w, "p", {"surface": w.upper(), "漢": 1}) for w in t.split(" ")]
-    found = rows_of(k.tokenize(docs, engine="nonsense", tokenizer=fn), "doc_id", "token_id")
+    found = rows_of(k.tokenize(docs, tokenizer=fn), "doc_id", "token_id")
     assert [r[:4] for r in found] == [(1, 0, "x", "p"), (1, 1, "y", "p"), (3, 0, "z", "p")]
     assert found[0][4] == '{"surface": "X", "漢": 1}'
     upper = rows_of(k.select_word_form(k.tokenize(docs, tokenizer=fn), "orig"), "doc_id", "token_id")
