@@ -75,6 +75,16 @@ def scored_texts(
     return source.mapInArrow(run, f"_id {id_type}, {outputs}").withColumnRenamed("_id", id_col)
 
 
+def free_names(taken, *names: str) -> list[str]:
+    """The names, each with underscores before it until no column has it."""
+    found = []
+    for name in names:
+        while name in taken or name in found:
+            name = "_" + name
+        found.append(name)
+    return found
+
+
 def utf8(text: str | None) -> bytes:
     return b"" if text is None else text.encode("utf-8", "surrogatepass")
 

@@ -19,6 +19,7 @@ a larger benchmark is searched in blocks, one pass over the documents each.
 from __future__ import annotations
 
 import math
+import uuid
 from fractions import Fraction
 from itertools import repeat
 
@@ -150,16 +151,16 @@ class ItemIndex:
         ]
 
 
-# One index per worker and block: building it for every task would repeat the work.
-_INDEXES: dict[int, ItemIndex] = {}
+# The index of a worker's last block: building it for every task would repeat the work.
+_INDEXES: dict[tuple, ItemIndex] = {}
 
 
-def _index(block, threshold: float) -> ItemIndex:
-    key = (block.id if hasattr(block, "id") else id(block), threshold)
-    if key not in _INDEXES:
+def _index(name: str, block, threshold: float) -> ItemIndex:
+    """Index of a block, told apart by a name that no other block ever has."""
+    if (name, threshold) not in _INDEXES:
         _INDEXES.clear()
-        _INDEXES[key] = ItemIndex(block.value, threshold)
-    return _INDEXES[key]
+        _INDEXES[name, threshold] = ItemIndex(block.value, threshold)
+    return _INDEXES[name, threshold]
 
 
 def _blocks(items: DataFrame, item_col: str, text_col: str):
@@ -201,8 +202,10 @@ def contained_items(
     source = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).cast("string").alias("_text"))
 
     def searched(block):
+        name = uuid.uuid4().hex
+
         def run(batches):
-            index = _index(block, threshold)
+            index = _index(name, block, threshold)
             for batch in slices(batches):
                 rows, keys, sizes, counts = [], [], [], []
                 for row, text in enumerate(column(batch, "_text")):

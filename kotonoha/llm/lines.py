@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kotonoha.llm.common import LOWER_BYTES, column, slices, utf8
+from kotonoha.llm.common import LOWER_BYTES, column, free_names, slices, utf8
 from kotonoha.plans.layout import cut_lineage
 
 # Rows of one hash that a task may hold back.
@@ -223,17 +223,16 @@ def apply_bitmaps(
     A missing text stays missing and counts as one line. All other columns pass
     through untouched.
     """
+    doc, text_hash, n_dropped, bits_of = free_names(docs.columns, "_doc", "_hash", "_drops", "_bits")
     marks = bitmaps.select(
-        F.col(id_col).alias("_b_doc"),
-        F.col("text_hash").alias("_b_text"),
-        F.col("n_dropped").alias("_n_dropped"),
-        F.col("keep").alias("_keep"),
+        F.col(id_col).alias(doc),
+        F.col("text_hash").alias(text_hash),
+        F.col("n_dropped").alias(n_dropped),
+        F.col("keep").alias(bits_of),
     ).hint("shuffle_hash")
-    joined = docs.join(
-        marks,
-        docs[id_col].eqNullSafe(F.col("_b_doc")) & (F.xxhash64(docs[text_col]) == F.col("_b_text")),
-        "left",
-    ).drop("_b_doc", "_b_text")
+    same = F.col(text_hash) == F.xxhash64(docs[text_col])
+    joined = docs.join(marks, docs[id_col].eqNullSafe(F.col(doc)) & same, "left").drop(doc, text_hash)
+    pass_on = range(len(docs.columns))
 
     names = [*docs.columns, "_n_lines", "_n_dropped"]
 
@@ -241,7 +240,7 @@ def apply_bitmaps(
         for batch in slices(batches):
             at = batch.schema.get_field_index(text_col)
             counts, texts = [], []
-            for text, keep in zip(batch.column(at).to_pylist(), column(batch, "_keep"), strict=True):
+            for text, keep in zip(batch.column(at).to_pylist(), column(batch, bits_of), strict=True):
                 lines = (text or "").split("\n")
                 counts.append(len(lines))
                 if keep is not None:
@@ -250,10 +249,9 @@ def apply_bitmaps(
                 texts.append(text)
             columns = list(batch.columns)
             columns[at] = pa.array(texts, batch.schema.field(at).type)
-            dropped = batch.column(batch.schema.get_field_index("_n_dropped")).fill_null(0)
-            keep = [i for i, n in enumerate(batch.schema.names) if n not in ("_n_dropped", "_keep")]
+            dropped = batch.column(batch.schema.get_field_index(n_dropped)).fill_null(0)
             yield pa.RecordBatch.from_arrays(
-                [*[columns[i] for i in keep], pa.array(counts, pa.int64()), dropped],
+                [*[columns[i] for i in pass_on], pa.array(counts, pa.int64()), dropped],
                 names=names,
             )
 

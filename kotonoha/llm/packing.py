@@ -55,8 +55,8 @@ DOCUMENT, SENTENCE, FORCED = 0, 1, 2
 _STOPS = frozenset(".!?…。！？")
 # ASCII symbols that may follow a word and are tokens of their own (no apostrophe).
 _TAIL = "".join(c for c in string.punctuation if c != "'")
-# Letters whose lower case depends on what is around them.
-_ODD_CASE = re.compile("[\u0130\u03a3]|<\\|")
+# Letters whose lower case depends on what is around them, and marks of special tokens.
+_ODD = re.compile("[\u0130\u03a3]|<\\|")
 _PIECES = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -83,7 +83,7 @@ class ChunkEncoder:
 
     def _ids(self, chunk: str) -> bytes:
         """Ids of a lower-case chunk; a run of letters goes straight to the merges."""
-        if chunk.isalpha():
+        if chunk.isalpha() and not _ODD.search(chunk):
             if chunk.isascii():
                 found = self._model.tokenize(chunk)
                 return array("I", [t.id for t in found]).tobytes()
@@ -96,13 +96,14 @@ class ChunkEncoder:
         """Most new chunks are a known word in another case or with a stop behind it."""
         known = self._known
         for chunk in chunks:
-            plain = chunk if _ODD_CASE.search(chunk) else chunk.lower()
-            body = plain.rstrip(_TAIL)
-            tail = ""
-            if body[-1:].isalpha():
-                tail = plain[len(body) :]
-            else:
-                body = plain
+            body, tail = chunk, ""
+            if not _ODD.search(chunk):
+                plain = chunk.lower()
+                body = plain.rstrip(_TAIL)
+                if body[-1:].isalpha():
+                    tail = plain[len(body) :]
+                else:
+                    body = plain
             if (ids := known.get(body)) is None:
                 ids = known[body] = self._ids(body)
             if tail:

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kotonoha.llm.common import LOWER_BYTES, column, slices, utf8
+from kotonoha.llm.common import LOWER_BYTES, column, free_names, slices, utf8
 from kotonoha.plans.layout import cut_lineage
 
 SHINGLE_WORDS = 3
@@ -317,13 +317,19 @@ def keep_first(
     equal ids the text with the smallest hash. Of rows equal in id and text one
     stays.
     """
-    hashed = docs.select(F.struct(id_col, F.xxhash64(text_col).alias("_h")).alias("_row"), text_col)
-    prints = cut_lineage(fingerprints(hashed, words=words, id_col="_row", text_col=text_col))
+    named = docs.select(
+        F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash")).alias("_row"),
+        F.col(text_col).alias("_of_row"),
+    )
+    prints = cut_lineage(fingerprints(named, words=words, id_col="_row", text_col="_of_row"))
     row = F.col("_doc")
-    value = F.struct(row[id_col].isNull().alias("_no_id"), row[id_col].alias("_id"), row["_h"].alias("_h"))
-    first = _named_classes(prints, value, max_bits).select("_component.*").distinct()
-    kept = docs.withColumn("_hash", F.xxhash64(text_col)).join(
-        first, docs[id_col].eqNullSafe(first["_id"]) & (F.col("_hash") == first["_h"])
+    value = F.struct(row["id"].isNull().alias("_no_id"), row["id"].alias("_id"), row["hash"].alias("_h"))
+    key, hashed, own, copy = free_names(docs.columns, "_key", "_hash", "_own", "_copy")
+    first = _named_classes(prints, value, max_bits).select(
+        F.col("_component._id").alias(key), F.col("_component._h").alias(hashed)
+    )
+    kept = docs.withColumn(own, F.xxhash64(text_col)).join(
+        first.distinct(), F.col(id_col).eqNullSafe(F.col(key)) & (F.col(own) == F.col(hashed))
     )
-    copies = Window.partitionBy("_id", "_h").orderBy("_h")
-    return kept.withColumn("_copy", F.row_number().over(copies)).where("_copy = 1").select(*docs.columns)
+    copies = Window.partitionBy(key, hashed).orderBy(own)
+    return kept.withColumn(copy, F.row_number().over(copies)).where(F.col(copy) == 1).select(*docs.columns)
