@@ -438,7 +438,9 @@ def _write_pages(spark, folder) -> str:
         .when(last == 4, F.unhex(F.lit("636166E9")))
         .otherwise(F.col("html").cast("binary"))
     )
-    files = table(spark, folder, "pages").select(F.concat(name, F.lit(".txt")), content)
+    files = table(spark, folder, "pages").select(
+        F.concat(name, F.lit(".txt")).alias("name"), content.alias("content")
+    )
 
     def write(batches):
         for batch in batches:
