@@ -26,6 +26,15 @@ from kotonoha.operators.graph import (
     merge_edges,
     node_degrees,
 )
+from kotonoha.operators.lists import (
+    LIST_VARIANTS,
+    change_words,
+    filter_lists,
+    keep_tokens,
+    select_form_in_lists,
+    text_of_lists,
+    words_of_lists,
+)
 from kotonoha.operators.ngram import (
     count_ngrams,
     count_ngrams_of_lists,

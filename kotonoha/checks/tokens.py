@@ -23,6 +23,7 @@ from kotonoha.functions.words import coarse_pos_from_info
 from kotonoha.operators.derived import derive_lists, derive_tokens
 from kotonoha.operators.filters import drop_frequent_words, filter_tokens
 from kotonoha.operators.frequency import id_range, pos_distribution, term_frequency
+from kotonoha.operators.lists import LIST_VARIANTS, filter_lists, select_form_in_lists, text_of_lists
 from kotonoha.operators.reader import (
     collect_tokens,
     corpus_reader,
@@ -40,6 +41,7 @@ from kotonoha.operators.tokenize import (
     tokenize_lists,
 )
 from kotonoha.operators.variants import VARIANTS
+from kotonoha.schemas import TOKEN_LIST
 from kotonoha.sources.sinks import read_tokens, write_tokens
 
 QUERIES, ORACLES = {}, {}
@@ -360,6 +362,57 @@ def _(spark, folder):
     return tokens_to_text(filter_tokens(surface, pos_keep="名詞"))
 
 
+# -- the same on token lists ------------------------------------------------------
+
+
+def _doc_lists(spark, folder):
+    return tokenize_lists(documents(spark, folder))
+
+
+@check("filter_keep_lists", ORACLES["filter_keep"])
+def _(spark, folder):
+    """Filter and join on the arrays, where the texts are read."""
+    return text_of_lists(filter_lists(_doc_lists(spark, folder), pos_keep=["word", "number"]))
+
+
+@check("tokens_to_text_lists", ORACLES["tokens_to_text"])
+def _(spark, folder):
+    return text_of_lists(_doc_lists(spark, folder))
+
+
+@check("word_form_lists", ORACLES["word_form"])
+def _(spark, folder):
+    return text_of_lists(select_form_in_lists(_doc_lists(spark, folder), "norm"))
+
+
+def _variant_lists(spark, folder):
+    """The lists with the parts of speech that ``variant_input`` gives."""
+    def token(t):
+        word = t["word"]
+        pos = (
+            F.when(t["pos"] == "symbol", F.when(word == "-", F.lit("感動詞")).otherwise(F.lit("補助記号")))
+            .when(t["pos"] == "number", F.lit("名詞"))
+            .when(word.rlike(r"^\p{Lu}"), F.lit("動詞"))
+            .otherwise(F.lit("名詞"))
+        )
+        return F.struct(
+            t["token_id"].alias("token_id"), F.lower(word).alias("word"), pos.alias("pos"),
+            t["token_info"].alias("token_info"),
+        )
+
+    return _doc_lists(spark, folder).withColumn("tokens", F.transform("tokens", token).cast(TOKEN_LIST))
+
+
+def _variant_lists_check(name):
+    @check(f"variant_{name}_lists", ORACLES[f"variant_{name}"])
+    def _(spark, folder):
+        return text_of_lists(LIST_VARIANTS[name](_variant_lists(spark, folder)))
+
+
+for _name in LIST_VARIANTS:
+    _variant_lists_check(_name)
+
+
 def break_some(tokens):
     """Drops symbols; repeats positions of documents with a 'zz' word; empties words with 'q'."""
     kept = tokens.where("pos <> 'symbol'")

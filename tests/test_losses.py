@@ -209,3 +209,12 @@ def test_hot_word_of_tf_idf_is_split(spark, lowered):
     found = k.tf_idf(cells)
     assert len(found.collect()) == cells.count()
     assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_list_forms_do_not_shuffle(spark):
+    docs = spark.createDataFrame([(1, "The cat, 12 cats"), (2, ""), (3, None), (4, "!")], "doc_id long, text string")
+    lists = k.filter_lists(k.tokenize_lists(docs), pos_exclude="symbol", stopwords=["The"])
+    found = k.text_of_lists(k.select_form_in_lists(lists, "norm"))
+    assert {r["doc_id"]: r["text"] for r in found.collect()} == {1: "cat 12 cats"}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "rangepartitioning" not in plan
