@@ -16,9 +16,8 @@ from __future__ import annotations
 import itertools
 import re
 from collections.abc import Callable, Iterable, Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -114,10 +113,22 @@ class LogTable:
         rows.select(*names).write.mode("overwrite").parquet(f"{self.folder}/run_id={run_id}")
 
     def compact(self, rows: DataFrame) -> None:
-        """Write the surviving rows as the next generation; readers switch when it is whole."""
+        """Write the surviving rows as the next generation; readers switch when it is whole.
+
+        Rows are clustered by run first, so that a run becomes few files.
+        """
         target = f"{self.path}/gen={max(self._names(self.path, 'gen='), default=0) + 1}"
         names = [f.name for f in self.schema]
-        rows.select(*names).write.partitionBy("run_id").mode("overwrite").parquet(target)
+        clustered = rows.select(*names).repartitionByRange("run_id", "doc_id")
+        clustered.write.partitionBy("run_id").mode("overwrite").parquet(target)
+
+    def drop_older(self) -> None:
+        """Remove the generations before the current one; no reader or stream may still use them."""
+        jvm = self.spark.sparkContext._jvm
+        for old in self._names(self.path, "gen="):
+            if old < self.generation():
+                place = jvm.org.apache.hadoop.fs.Path(f"{self.path}/gen={old}")
+                place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 class CorpusStore:
@@ -536,15 +547,29 @@ class CorpusStore:
 
     # -- maintenance ------------------------------------------------------------------
 
-    def compact(self) -> None:
-        """Rewrite this work's log without the runs no view needs any more."""
-        log = self.work_table.read()
-        runs = status.tokenize_runs(log)
-        shown = F.col("event").isin("done", "error", "reset")
-        newest = log.groupBy("doc_id").agg(
-            F.max("run_id").alias("_any"), F.max(F.when(shown, F.col("run_id"))).alias("_shown")
-        )
-        keep = runs.join(newest, "doc_id").drop("done_version")
-        needed = [F.col("run_id") == F.col(c) for c in ("last_done", "last_reset", "_shown", "_any")]
-        rows = log.join(keep, "doc_id").where(reduce(lambda a, b: a | b, needed))
-        self.work_table.compact(rows)
+    def compact(self, *, drop_older: bool = False) -> None:
+        """Rewrite the logs of documents, fetches and this work without rows no view needs.
+
+        Wide rows are picked by thin keys and moved once, to cluster them by
+        run. ``drop_older`` then frees the space of earlier generations; leave it
+        off while a stream or another session reads them.
+        """
+        log, fetched = self.work_table.read(), self.fetch_table.read()
+        done = _last_run("done"), _last_run("reset"), _last_run("done", "error", "reset"), F.max("run_id")
+        read = _last_run("fetched"), _last_run("fetched", "error"), F.max("run_id")
+        self.work_table.compact(pick_rows(log, _needed_runs(log, done)))
+        self.fetch_table.compact(pick_rows(fetched, _needed_runs(fetched, read)))
+        self.documents_table.compact(self.documents_table.read())
+        if drop_older:
+            for table in (self.work_table, self.fetch_table, self.documents_table):
+                table.drop_older()
+
+
+def _last_run(*events: str) -> Column:
+    return F.max(F.when(F.col("event").isin(*events), F.col("run_id")))
+
+
+def _needed_runs(log: DataFrame, needed: Iterable[Column]) -> DataFrame:
+    """``[doc_id, run_id]``: the runs of each document that a view still reads."""
+    per_doc = log.groupBy("doc_id").agg(F.array_distinct(F.array_compact(F.array(*needed))).alias("_runs"))
+    return per_doc.select("doc_id", F.explode("_runs").alias("run_id"))

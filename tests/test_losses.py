@@ -218,3 +218,29 @@ def test_list_forms_do_not_shuffle(spark):
     assert {r["doc_id"]: r["text"] for r in found.collect()} == {1: "cat 12 cats"}
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning" not in plan and "rangepartitioning" not in plan
+
+
+def test_compaction_keeps_the_views_and_frees_files(spark, store, tmp_path):
+    for turn in range(4):
+        rows = spark.createDataFrame([("x", f"text {turn}"), (f"y{turn}", "more")], "original_id string, text string")
+        store.register_content(rows)
+        store.tokenize()
+    store.reset_tokens([1])
+
+    def views():
+        return [
+            sorted(map(tuple, v.collect()), key=repr)
+            for v in (store.documents(), store.fetch_status(), store.tokenize_status(), store.texts(), store.tokens(), store.pending())
+        ]
+
+    def files():
+        return len(list((tmp_path / "store").rglob("*.parquet")))
+
+    before, n_files = views(), files()
+    run = store.next_master_run()
+    store.compact(drop_older=True)
+    assert views() == before
+    assert files() < n_files
+    assert store.next_master_run() == run
+    store.tokenize()
+    assert store.pending().count() == 0
