@@ -1,5 +1,6 @@
 """Corpus analytics on Spark: documents, tokens, counts, n-grams, vectors."""
 
+from kotonoha.operators.candidates import similar_pairs
 from kotonoha.operators.derived import derive_lists, derive_tokens, fit_schema, token_problems
 from kotonoha.operators.filters import (
     drop_frequent_words,
