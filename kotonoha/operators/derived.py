@@ -20,6 +20,9 @@ from kotonoha.operators.frames import (
     size_cuts,
     token_rows,
 )
+from kotonoha.operators.reader import collect_tokens
+from kotonoha.operators.tokenize import explode_lists
+from kotonoha.plans.layout import cut_lineage
 from kotonoha.schemas import TOKEN_COLUMNS, require_columns
 
 # --------------------------------------------------------------------------
@@ -98,19 +101,32 @@ def derive_tokens(
         raise TypeError("transform must be callable")
     result = transform(tokens)
     out = fit_schema(tokens.limit(0) if result is None else result)
-    problems = token_problems(out, documents)
-    per_doc = problems.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
-        F.concat_ws(", ", F.sort_array(F.collect_set("problem"))).alias("error")
-    )
-    accepted = out.where(F.col("doc_id").isNotNull()).join(
-        per_doc.select("doc_id"), "doc_id", "left_anti"
+    # Regrouped and fixed once: the transform runs once, the rules are read off the lists.
+    lists = cut_lineage(collect_tokens(out))
+    known = documents.select("doc_id").where(F.col("doc_id").isNotNull()).distinct()
+    foreign = F.when(F.col("_known").isNull(), F.lit("foreign_doc"))
+    problems = F.array_sort(F.array_compact(F.array(foreign, *list_problems(F.col("tokens")))))
+    judged = lists.join(known.withColumn("_known", F.lit(True)), "doc_id", "left").select(
+        "doc_id", "tokens", F.nullif(F.array_join(problems, ", "), F.lit("")).alias("error")
     )
-    status = documents.select("doc_id").join(per_doc, "doc_id", "left").select(
+    accepted = explode_lists(judged.where("doc_id IS NOT NULL AND error IS NULL")).select(*TOKEN_COLUMNS)
+    errors = judged.where("error IS NOT NULL").select("doc_id", "error")
+    status = documents.select("doc_id").join(errors, "doc_id", "left").select(
         "doc_id", F.col("error").isNull().alias("ok"), "error"
     )
     return accepted, status
 
 
+def list_problems(tokens: Column) -> list[Column]:
+    """Names of the token rules that a document's list breaks, NULL for one it keeps."""
+    ids = F.filter(tokens["token_id"], lambda i: i.isNotNull())
+    return [
+        F.when(F.size(F.array_distinct(ids)) < F.size(ids), F.lit("duplicate")),
+        F.when(F.size(ids) < F.size(tokens), F.lit("null_key")),
+        F.when(F.exists(tokens["word"], lambda w: w.isNull()), F.lit("null_word")),
+    ]
+
+
 # --------------------------------------------------------------------------
 # opaque form: pandas DataFrame -> pandas DataFrame
 # --------------------------------------------------------------------------

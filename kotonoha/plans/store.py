@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kotonoha.operators.derived import derive_lists, fit_schema, token_problems
+from kotonoha.operators.derived import derive_lists, fit_schema, list_problems, token_problems
 from kotonoha.operators.reader import CorpusReader, collect_tokens
 from kotonoha.operators.tokenize import explode_lists, tokenize_lists
 from kotonoha.plans import status
@@ -525,16 +525,7 @@ class CorpusStore:
         # The transform runs once, also where it gives other rows each time.
         lists = cut_lineage(collect_tokens(fit_schema(result)))
         tokens = F.coalesce("tokens", empty)
-        ids = F.col("tokens.token_id")
-        no_id = F.exists(ids, lambda i: i.isNull())
-        no_word = F.exists("tokens.word", lambda w: w.isNull())
-        repeated = F.size(F.array_distinct(ids)) < F.size(ids)
-        error = F.concat_ws(
-            ", ",
-            F.when(repeated, F.lit("duplicate")),
-            F.when(no_id, F.lit("null_key")),
-            F.when(no_word, F.lit("null_word")),
-        )
+        error = F.concat_ws(", ", *list_problems(F.col("tokens")))
         joined = versions.join(lists, "doc_id", "left").withColumn("tokens", tokens)
         rows = joined.select(
             "doc_id", "tokens", F.nullif(error, F.lit("")).alias("error"), "text_version"
