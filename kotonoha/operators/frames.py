@@ -90,7 +90,7 @@ def token_rows(frame: Any, keys: list, places: list[int], required: tuple[str, .
     of = dict(zip(keys, places, strict=True))
     owner = np.array([of.get(key, -1) for key in frame["doc_id"].tolist()] if size else [], np.int64)
     if (owner < 0).any():
-        raise ValueError("token frame has rows without a doc_id or of other documents")
+        raise ValueError("token frame has rows without a doc_id or of documents outside its batch")
     order = np.argsort(owner, kind="stable")
     owner = owner[order]
 
@@ -117,7 +117,7 @@ def token_rows(frame: Any, keys: list, places: list[int], required: tuple[str, .
     rules = {
         "NULL or non-numeric token_id": missing,
         "token_id beyond 32 bits or not whole": (np.abs(numbers) > MAX_TOKEN_ID) | (numbers != np.floor(numbers)),
-        "repeated token_id": same,
+        "repeats a token_id": same,
         "NULL word": no_word,
         "text that is no valid Unicode": invalid,
     }

@@ -160,7 +160,7 @@ def test_rows_of_other_documents_fail_the_frame(spark):
         return pd.DataFrame({"doc_id": [7 if t == "b" else d for d, t in zip(batch["doc_id"], batch["text"])], "word": batch["text"]})
 
     rows = {r["doc_id"]: r["error"] for r in tokenize_lists(docs, k.FrameTokenizer(swapped)).collect()}
-    assert rows[1] is None and "other documents" in rows[2]
+    assert rows[1] is None and "outside its batch" in rows[2]
 
 
 def test_zero_vector(spark):
