@@ -115,7 +115,7 @@ def token_rows(frame: Any, keys: list, places: list[int], required: tuple[str, .
         invalid |= bad
     no_word = np.asarray(columns[0].is_null()) & ("token_id" in required) & ~invalid
     rules = {
-        "NULL or non-numeric token_id": missing,
+        "NULL token_id, or one that is no number": missing,
         "token_id beyond 32 bits or not whole": (np.abs(numbers) > MAX_TOKEN_ID) | (numbers != np.floor(numbers)),
         "repeats a token_id": same,
         "NULL word": no_word,
