@@ -27,8 +27,8 @@ from kotonoha.plans.layout import cut_lineage
 SHINGLE_WORDS = 3
 MAX_BITS = 2
 SEED = 42
-# The shard tree is fitted on this many distinct fingerprints at most, and has
-# this many shards at most.
+# The shard tree is fitted on about this many distinct fingerprints, drawn by
+# hash, and has this many shards at most.
 TREE_SAMPLE = 50_000
 MAX_SHARDS = 4096
 # Fingerprints that are compared with each other directly.
@@ -201,7 +201,10 @@ def links(distinct: DataFrame, *, max_bits: int = MAX_BITS, fp_col: str = "_fp")
     """
     spark = distinct.sparkSession
     number = distinct.count()
-    sample = [r[0] for r in distinct.orderBy(F.xxhash64(fp_col)).limit(TREE_SAMPLE).select(fp_col).collect()]
+    # Drawn by hash at a rate that follows from the count: tasks send no more than the draw.
+    rate = min(1.0, TREE_SAMPLE / max(1, number))
+    share = F.pmod(F.xxhash64(fp_col), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    sample = sorted(r[0] for r in distinct.where(share < rate).select(fp_col).collect())
     shards = max(1, min(MAX_SHARDS, number // BLOCK * 4, len(sample) // 8))
     nodes = fit_tree(np.array(sample, np.int64).view(np.uint64), shards, max_bits)
     tree = spark.sparkContext.broadcast(nodes)  # at most MAX_SHARDS nodes
