@@ -7,8 +7,10 @@ article text by their element or their class (menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles, comments of readers) are left out
 while streaming. The ratio of characters to tags per line is smoothed with a
 Gaussian over neighbouring lines, and lines above a threshold form the content
-cluster. The section that holds nearly all characters of the cluster is the
-content region, and all its lines are the result, short ones too.
+cluster. Where articles and mains hold nearly all characters of the cluster, the
+outermost ones with any of it are the content region, otherwise the lowest
+section that holds every line of the cluster. All lines of the region are the
+result, short ones too.
 """
 
 from __future__ import annotations
@@ -83,19 +85,24 @@ class _Lines(HTMLParser):
         self.sections = [-1]  # parent of each section; 0 is the page
         self.main: set[int] = set()
         self.lines: list[tuple] = []  # text, tags, section
+        self.links_only: list[bool] = []  # of each line
         self.parts: list[str] = []
         self.tags = 0
+        self.in_link = False
+        self.plain = False
 
     def flush(self):
         text = " ".join("".join(self.parts).split())
         if text:
             self.lines.append((text, self.tags, self.stack[-1][1] if self.stack else 0))
-        self.parts, self.tags = [], 0
+            self.links_only.append(not self.plain)
+        self.parts, self.tags, self.plain = [], 0, False
 
     def pop_to(self, at: int):
         while len(self.stack) > at:
             self.flush() if self.stack[-1][0] in BLOCKS else None
-            self.stack.pop()
+            if self.stack.pop()[0] == "a":
+                self.in_link = False
 
     def close(self):
         super().close()
@@ -120,6 +127,8 @@ class _Lines(HTMLParser):
         self.tags += 1
         if tag == "br":
             self.parts.append(" ")
+        if tag == "a":
+            self.in_link = any(name == "href" for name, _ in attrs)
         if tag in VOID:
             return
         section, skipped = (self.stack[-1][1], self.stack[-1][2]) if self.stack else (0, False)
@@ -144,6 +153,7 @@ class _Lines(HTMLParser):
     def handle_data(self, data):
         if not (self.stack and self.stack[-1][2]):
             self.parts.append(data)
+            self.plain = self.plain or not self.in_link and any(map(str.isalnum, data))
 
 
 def smoothed(values: list[float], sigma: float = SIGMA) -> list[float]:
@@ -165,6 +175,34 @@ def content_lines(lines: list[tuple]) -> list[bool]:
     return [r >= threshold for r in ratios]
 
 
+def content_region(parser: _Lines, chosen: list[bool]) -> list[bool]:
+    """Sections that are returned, from the lines of the content cluster."""
+    parents = parser.sections
+    # The outermost article or main around each section, or -1.
+    outer = [-1] * len(parents)
+    for section in range(1, len(parents)):
+        outer[section] = outer[parents[section]]
+        if outer[section] < 0 and section in parser.main:
+            outer[section] = section
+    cluster = [(len(text), s) for (text, _, s), one in zip(parser.lines, chosen, strict=True) if one]
+    inside = sum(n for n, s in cluster if outer[s] >= 0)
+    if inside and inside >= SHARE * sum(n for n, _ in cluster):
+        regions = {outer[s] for _, s in cluster if outer[s] >= 0}
+    else:
+        # Lines of links alone, which smoothing takes in beside long lines, do not widen it.
+        plain = {s for (_, _, s), one, links in zip(parser.lines, chosen, parser.links_only, strict=True) if one and not links}
+        # Sections are numbered in order of the page, so the first and the last one span the others.
+        low, high = min(plain or {s for _, s in cluster}), max(plain or {s for _, s in cluster})
+        while low != high:
+            low, high = (parents[low], high) if low > high else (low, parents[high])
+        # An article or main around it is returned whole.
+        regions = {outer[low] if outer[low] >= 0 else low}
+    kept = [False] * len(parents)
+    for section in range(len(parents)):
+        kept[section] = section in regions or section > 0 and kept[parents[section]]
+    return kept
+
+
 def extract(html: str | None) -> str:
     """Main text of a page, a line per block; empty if there is none."""
     if not html:
@@ -180,19 +218,8 @@ def extract(html: str | None) -> str:
     lines = parser.lines
     if not lines:
         return ""
-    # Characters of the content cluster by section, with all sections in them.
-    held = [0] * len(parser.sections)
-    for (text, _, section), chosen in zip(lines, content_lines(lines), strict=True):
-        if chosen:
-            held[section] += len(text)
-    for section in range(len(held) - 1, 0, -1):
-        held[parser.sections[section]] += held[section]
-    # The last section that holds nearly all of it is the innermost one.
-    region = max((s for s in range(len(held)) if held[s] >= SHARE * held[0]), default=0)
-    inside = [False] * len(held)
-    for section in range(len(held)):
-        inside[section] = section == region or section > 0 and inside[parser.sections[section]]
-    return "\n".join(text for text, _, section in lines if inside[section])
+    kept = content_region(parser, content_lines(lines))
+    return "\n".join(text for text, _, section in lines if kept[section])
 
 
 def extract_pages(

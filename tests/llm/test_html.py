@@ -37,6 +37,28 @@ def test_page_without_an_article_element():
     assert html.extract(page) == "\n".join([text.strip(), text.strip(), "End."])
 
 
+def test_all_of_the_article_beside_its_body_div():
+    body = "Some words that make up a paragraph of the text. " * 40
+    page = f"<article><h1>Title</h1><p>lead</p><div class=entry><p>{body}</p><p>{body}</p></div><p>end</p></article>"
+    whole = "\n".join(["Title", "lead", body.strip(), body.strip(), "end"])
+    assert html.extract(page) == whole
+    assert html.extract(f"<body><div><a href=x>Home</a></div><main><div>{page}</div></main><p>Imprint</p></body>") == whole
+    # Without an article element the lead and the end are in the cluster.
+    lead = "A lead that says in some words what comes. " * 9
+    assert html.extract(f"<body><h1>Title</h1><p>{lead}</p><div>{body}</div><p>end</p></body>").split("\n") == [
+        "Title", lead.strip(), body.strip(), "end",
+    ]
+    # Links beside the text do not widen the region.
+    assert html.extract(f"<body><div><a href=x>Home</a> | <a href=y>News</a></div><div><p>{body}</p><p>ok</p></div></body>") == f"{body.strip()}\nok"
+
+
+def test_late_sections_of_an_article():
+    first, last = "The long first section of the article. " * 95, "The short last section. " * 5
+    sections = f"<section>{first}</section><section>{last}</section>"
+    for page in (f"<article>{sections}</article>", f"<body>{sections}</body>", f"<article>{first}</article><article>{last}</article>"):
+        assert html.extract(page).split("\n") == [first.strip(), last.strip()]
+
+
 def test_smoothing_and_clusters():
     assert html.smoothed([5.0, 5.0, 5.0]) == [5.0, 5.0, 5.0]
     lines = [("x", 4, 0), ("y", 4, 0), ("z", 4, 0), ("z", 4, 0), ("w" * 300, 1, 0), ("v" * 300, 1, 0)]
