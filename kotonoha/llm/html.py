@@ -3,7 +3,7 @@
 The standard library's parser streams start tags, end tags and text. Events
 become lines: one per block of text, with its characters, the tags in it, and
 the section (article, main, div, cell, body) it stands in. Parts that are never
-article text by their element or their class (menus, headers, footers, sidebars,
+article text by their element or a whole name of theirs (menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles, comments of readers) are left out
 while streaming. The ratio of characters to tags per line is smoothed with a
 Gaussian over neighbouring lines, and lines above a threshold form the content
@@ -28,7 +28,12 @@ from kotonoha.llm.common import scored_texts
 # Element names by their part in a page.
 SKIPPED = frozenset(
     "head script style noscript template nav aside footer form button select option textarea iframe object svg "
-    "canvas math dialog menu datalist map audio video title".split()
+    "canvas dialog menu datalist map audio video title annotation annotation-xml".split()
+)
+# Marks of a formula, which are no tags of the text around it; annotations repeat the formula.
+FORMULA = frozenset(
+    "math semantics mrow mi mn mo ms mtext mspace mfrac msqrt mroot msup msub msubsup mover munder munderover mtable mtr "
+    "mtd mstyle mpadded menclose mmultiscripts mprescripts".split()
 )
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details div dl dt fieldset figcaption figure footer form "
@@ -37,17 +42,56 @@ BLOCKS = frozenset(
 )
 SECTIONS = frozenset("article main section div td body".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-# Words of a class, id or role that mark a part as no article text.
-UNWANTED = frozenset(
-    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent "
-    "cookie cookies disqus footer header masthead menu modal nav navbar navigation newsletter notice notices popup promo "
-    "related share sharing sidebar social sponsor sponsored subscribe toolbar widget search complementary contentinfo "
-    "alert alertdialog dialog".split()
+
+
+def _compounds(first: str, second: str) -> frozenset:
+    return frozenset(f"{a}-{b}" for a in first.split() for b in second.split())
+
+
+# Whole names (class, id or role) that mark a part as no article text wherever it stands.
+ADVERTS = frozenset("ad ads advert adverts advertisement advertising adsbygoogle".split()) | _compounds(
+    "ad ads advert advertisement advertising", "banner block box container slot unit wrapper wrap label area"
+)
+COMPOUNDS = (
+    _compounds("share sharing social", "bar button buttons icon icons tools widget")
+    | _compounds("social", "links share sharing")
+    | _compounds("related", "posts articles stories news")
+    | _compounds("cookie cookies consent", "banner bar notice consent popup modal overlay message")
+    | _compounds("newsletter", "signup form box subscribe subscription banner")
+    | _compounds("comment comments", "list area section form respond thread threads wrapper")
+    | _compounds("site main post page primary secondary top", "nav navbar navigation")
+    | _compounds("site", "footer sidebar")
+    | _compounds("nav breadcrumb breadcrumbs", "bar menu links list")
+)
+UNAMBIGUOUS = ADVERTS | COMPOUNDS | {"disqus-thread"}
+# Classes and roles, but no anchors, of blocks in an article: id=comments may be its chapter on them.
+UNAMBIGUOUS_CLASSES = UNAMBIGUOUS | frozenset(
+    "breadcrumb breadcrumbs navbar comments commentlist disqus navigation contentinfo".split()
+)
+# These mark a block outside articles only; inside one they are everyday words.
+UNWANTED = (
+    UNAMBIGUOUS_CLASSES
+    | frozenset(
+        "banner comment consent cookie cookies footer header masthead menu modal nav newsletter notice notices popup promo "
+        "related share sharing sidebar social sponsor sponsored subscribe toolbar widget search complementary alert "
+        "alertdialog dialog".split()
+    )
+    | _compounds(
+        "site page main top bottom global left right primary secondary mobile sub",
+        "header footer nav navbar navigation menu sidebar banner masthead",
+    )
+    | _compounds(
+        "header footer nav navbar navigation menu sidebar search widget promo",
+        "container wrapper wrap inner bar area links left right top bottom menu nav block box widgets primary secondary form",
+    )
+    | _compounds("notice notices alert promo sponsor subscribe popup modal newsletter", "bar banner box popup modal overlay")
+    | _compounds("related share social", "links content box container wrapper")
 )
 # An article of this kind is no article text either.
-UNWANTED_ARTICLES = frozenset("ad ads advert advertisement comment comments promo sponsored".split())
-# A name such as has-sidebar says what stands beside a part, not what it is.
-NEGATING = frozenset("with has no without".split())
+UNWANTED_ARTICLES = ADVERTS | frozenset("comment comments comment-body promo sponsored".split())
+# Blocks whose id is an anchor, and blocks that are headings.
+ANCHORED = frozenset("section dt".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup summary caption figcaption legend".split())
 # A start tag of the first kind ends an open element of the second.
 CLOSES = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
@@ -59,20 +103,46 @@ SCOPE = frozenset("table ul ol dl select body html".split())
 SIGMA = 1.0
 SHARE = 0.9
 
-_NAME = re.compile(r"[a-z]+")
+_HUMP = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
+_DASHES = re.compile(r"[-_]+")
+
+
+def _names(value: str) -> list[str]:
+    """Whole names of an attribute; siteHeader and site_header are site-header."""
+    return [one for v in value.split() for one in (v.lower(), _DASHES.sub("-", _HUMP.sub("-", v)).lower().strip("-"))]
 
 
-def unwanted(attributes: list[tuple], words: frozenset = UNWANTED) -> bool:
+def hidden(attributes: list[tuple]) -> bool:
     for name, value in attributes:
         if name == "hidden" or name == "aria-hidden" and value == "true":
             return True
         if name == "style" and value and "display:none" in value.replace(" ", "").lower():
             return True
-        if name in ("class", "id", "role") and value:
-            for one in value.lower().split():
-                parts = _NAME.findall(one)
-                if NEGATING.isdisjoint(parts) and not words.isdisjoint(parts):
-                    return True
+    return False
+
+
+def unwanted(tag: str, attributes: list[tuple], inside: bool) -> bool:
+    """Whether a name says that an element is no article text; ``inside`` an article or main.
+
+    Headings and inline elements are text of what they stand in, whatever their
+    names; outside articles an inline element may be an advert by its class.
+    """
+    inline = tag not in BLOCKS or tag in HEADINGS
+    if inline and inside:
+        return False
+    for name, value in attributes:
+        if name not in ("class", "id", "role") or not value:
+            continue
+        if tag == "article":
+            words = UNWANTED_ARTICLES if name == "class" else frozenset()
+        elif inline:
+            words = ADVERTS if name == "class" else frozenset()
+        elif name == "id":
+            words = frozenset() if tag in ANCHORED else UNAMBIGUOUS if inside else UNWANTED
+        else:
+            words = UNAMBIGUOUS_CLASSES if inside else UNWANTED
+        if words and not words.isdisjoint(_names(value)):
+            return True
     return False
 
 
@@ -124,7 +194,7 @@ class _Lines(HTMLParser):
             self._end_open(("p",), BLOCKS - {"p"})
         if tag in CLOSES:
             self._end_open(CLOSES[tag], SCOPE)
-        self.tags += 1
+        self.tags += tag not in FORMULA
         if tag == "br":
             self.parts.append(" ")
         if tag == "a":
@@ -136,15 +206,15 @@ class _Lines(HTMLParser):
         if tag in SECTIONS and not skipped:
             self.sections.append(section)
             section = len(self.sections) - 1
-            if inside or tag in ("article", "main"):
+            if inside or tag in ("article", "main") or ("role", "main") in attrs:
                 self.main.add(section)
         skipped = skipped or tag in SKIPPED or tag == "header" and not inside
-        if tag not in ("html", "body", "main"):
-            skipped = skipped or unwanted(attrs, UNWANTED_ARTICLES if tag == "article" else UNWANTED)
+        if attrs and not skipped and tag not in ("html", "body", "main"):
+            skipped = hidden(attrs) or unwanted(tag, attrs, inside)
         self.stack.append((tag, section, skipped))
 
     def handle_endtag(self, tag):
-        self.tags += 1
+        self.tags += tag not in FORMULA
         for at in range(len(self.stack) - 1, -1, -1):
             if self.stack[at][0] == tag:
                 self.pop_to(at)

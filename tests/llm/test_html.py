@@ -59,6 +59,23 @@ def test_late_sections_of_an_article():
         assert html.extract(page).split("\n") == [first.strip(), last.strip()]
 
 
+def test_everyday_words_as_names_in_an_article():
+    kept = """<section id=related-work class="section related"><h2 id=search class=notice>Search</h2><p class=share-price>The share</p></section>
+<div id=notice-period class=alert><p>One month</p></div><pre>a = 1 <span class=hljs-comment># comment</span> <span class=comment># two</span></pre>
+<section id=comments><p>Comments start with a hash</p></section><p class="widget menu">Widgets</p>
+<p>The sum <math><semantics><mrow><mi>a</mi><mo>+</mo><mi>b</mi></mrow><annotation encoding=tex>a+b</annotation></semantics></math> is here.</p>"""
+    dropped = """<div class="share-buttons"><p>Share</p></div><div id=cookieBanner>Cookies</div><div class=related_posts>More</div>
+<ol class=comment-list><li>Reader</ol><div class="x ad-slot">Buy</div><div hidden>no</div>"""
+    lines = ["Search", "The share", "One month", "a = 1 # comment # two", "Comments start with a hash", "Widgets", "The sum a+b is here."]
+    for tag in ("article", "main"):
+        assert html.extract(f"<body><{tag}>{kept}{dropped}</{tag}></body>").split("\n") == lines
+    assert html.extract(f"<body><div role=main>{kept}{dropped}</div></body>").split("\n") == lines
+    # Outside an article whole names mark blocks, never headings or parts of compounds.
+    around = "<div class=notice>x</div><div id=site-header>y</div><div class=footerWidgets>z</div><ul class=menu><li>m</ul>"
+    text = "<h2 id=search>Search</h2><p class=share-price>The share</p><p>see <span class=comment># c</span></p>"
+    assert html.extract(f"<body>{around}<div>{text}</div></body>").split("\n") == ["Search", "The share", "see # c"]
+
+
 def test_smoothing_and_clusters():
     assert html.smoothed([5.0, 5.0, 5.0]) == [5.0, 5.0, 5.0]
     lines = [("x", 4, 0), ("y", 4, 0), ("z", 4, 0), ("z", 4, 0), ("w" * 300, 1, 0), ("v" * 300, 1, 0)]
