@@ -4,9 +4,10 @@ A lexicon of words and word stems with weights is learned from labelled texts by
 how much more often they stand in toxic ones. It becomes a trie. The trie is
 intersected with Levenshtein automata: a state is a set of (trie node, edits so
 far), moves are made on demand and remembered, so that nearly every word of a
-text ends in the dead state after a few letters. Misspelled terms are caught at
+text ends in the dead state after a few letters. Misspelled words are caught at
 one edit from five letters on and at two from nine on; stems and shorter words
-are matched exactly.
+are matched exactly. The words under a stem stay in the lexicon, so a misspelled
+stem is caught through them; a word is a hit of a stem or of a word, never of both.
 
 Every hit is scored in a window of words around it: inside quotation marks or
 beside a word of reporting it counts little, beside another hit or an address in
@@ -243,7 +244,7 @@ def choose_terms(rows: list[tuple], positives: int, negatives: int) -> tuple[dic
             continue
         if not any(stem.startswith(k) for k in kept):
             kept.append(stem)
-    words = {w for w in words if not any(w.startswith(k) for k in kept)}
+    # Words under a stem stay for their misspellings; an exact one is a hit of the stem alone.
     weight = {t: min(1.5, odds[t] / 5) for t in odds}
     best = sorted([*("=" + w for w in words), *("^" + s for s in kept)], key=lambda t: (-support[t], t))[:MAX_TERMS]
     return (

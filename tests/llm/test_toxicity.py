@@ -42,6 +42,22 @@ def test_stems():
     assert automaton.match("cl0wn") == ("clown", 0.7, True)
 
 
+def test_misspellings_inside_a_stem():
+    texts = {"idiot": 100, "idiots": 60, "idiotic": 20}
+    rows = [("=" + w, n, 0) for w, n in texts.items()]
+    rows += [("^idiot"[: n + 1], 180 if n < 5 else 80, 0) for n in (3, 4, 5)]
+    words, stems = toxicity.choose_terms(rows, 400, 400)
+    assert stems and set(texts) <= set(words)
+    automaton = toxicity.TermAutomaton(words, stems)
+    for word in ("id1ot", "iddiot", "iidiots", "idi0tic"):
+        assert automaton.match(word)[2] is True, word
+    for word in ("idiot", "idiots", "idiotically"):
+        term, weight, misspelled = automaton.match(word)
+        assert term in stems and weight == stems[term] and not misspelled
+    assert toxicity.hits("one idiots", automaton, frozenset())[1] == {("idiots", False): stems[term]}
+    assert automaton.match("ideal") is None
+
+
 def test_context():
     automaton = toxicity.TermAutomaton({"idiot": 1.0}, {})
     weight = lambda text: sum(toxicity.hits(text, automaton, frozenset())[1].values())
