@@ -179,7 +179,10 @@ def labelled_spectra(
 
 
 def train(labelled: DataFrame, *, per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS, **columns) -> KernelModel | None:
-    """A model of the labelled texts; None if there is no labelled text with a letter."""
+    """A model of the labelled texts; None if there is no labelled text with a letter.
+
+    It knows the 256 languages (MAX_LANGUAGES) with the most labelled texts; others are never predicted.
+    """
     rows = labelled_spectra(labelled, per_language=per_language, **columns)
     if not rows:
         return None

@@ -31,11 +31,9 @@ from kotonoha.plans.layout import cut_lineage
 
 # Labelled texts of each class that the model is fitted on.
 PER_CLASS = 2000
-# A term must stand in this share of toxic texts (and in five), with these log odds.
-MIN_SHARE = 0.01
+# A term must stand in so many toxic texts of the draw, with these log odds.
 MIN_TEXTS = 5
 MIN_ODDS = 2.5
-MAX_TERMS = 400
 STEMS = range(3, 8)
 WINDOW = 6
 
@@ -233,24 +231,30 @@ def choose_terms(rows: list[tuple], positives: int, negatives: int) -> tuple[dic
             odds[term], support[term] = value, toxic
     words = {t[1:] for t in odds if t[0] == "="}
     stems = [t[1:] for t in odds if t[0] == "^"]
-    kept: list[str] = []
+    # Texts of the most frequent word, and of the most frequent longer stem, by its first letters.
+    word_texts: dict[str, int] = {}
+    stem_texts: dict[str, int] = {}
+    for w in words:
+        for n in STEMS:
+            if n <= len(w):
+                word_texts[w[:n]] = max(word_texts.get(w[:n], 0), support["=" + w])
+    for s in stems:
+        for n in range(STEMS.start, len(s)):
+            stem_texts[s[:n]] = max(stem_texts.get(s[:n], 0), support["^" + s])
+    kept: set[str] = set()
     for stem in sorted(stems, key=lambda s: (len(s), s)):
         total = support["^" + stem]
         # A stem that is mostly one word is left to that word.
-        if any(w.startswith(stem) and support["=" + w] >= 0.8 * total for w in words):
+        if word_texts.get(stem, 0) >= 0.8 * total:
             continue
         # Of a chain of stems in the same texts the longest one is kept.
-        if any(s.startswith(stem) and s != stem and support["^" + s] >= 0.98 * total for s in stems):
+        if stem_texts.get(stem, 0) >= 0.98 * total:
             continue
-        if not any(stem.startswith(k) for k in kept):
-            kept.append(stem)
+        if not any(stem[:n] in kept for n in STEMS):
+            kept.add(stem)
     # Words under a stem stay for their misspellings; an exact one is a hit of the stem alone.
     weight = {t: min(1.5, odds[t] / 5) for t in odds}
-    best = sorted([*("=" + w for w in words), *("^" + s for s in kept)], key=lambda t: (-support[t], t))[:MAX_TERMS]
-    return (
-        {t[1:]: weight[t] for t in best if t[0] == "="},
-        {t[1:]: weight[t] for t in best if t[0] == "^"},
-    )
+    return {w: weight["=" + w] for w in sorted(words)}, {s: weight["^" + s] for s in sorted(kept)}
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3) -> tuple[float, ...]:
@@ -279,7 +283,7 @@ def train(
     """Lexicon and logistic model from at most about ``per_class`` labelled texts of each class.
 
     Labels are drawn by a hash of the id, as many of each class; an id with both
-    labels counts as both. Without labels of either class the model finds nothing.
+    labels counts as both. Equal texts count once. Without labels of either class the model finds nothing.
     """
     known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_toxic"), F.xxhash64(id_col).alias("_draw")
@@ -287,25 +291,20 @@ def train(
     drawn = cut_lineage(drawn_rows(known, "_toxic", "_draw", per_class, 2).select("_id", "_toxic").distinct())
     total = {r["_toxic"]: r["_n"] for r in known.groupBy("_toxic").agg(F.count("*").alias("_n")).collect()}
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    # The draw is a few thousand rows by its bound.
-    sample = cut_lineage(texts.join(F.broadcast(drawn), "_id").select("_toxic", "_text"))
+    labelled = cut_lineage(texts.join(F.broadcast(drawn), "_id").select("_toxic", "_text", F.xxhash64("_text").alias("_draw")))
+    # Ids may have any number of rows: equal texts count once, and a second draw by hash of the text bounds the others.
+    sample = cut_lineage(drawn_rows(labelled, "_toxic", "_draw", per_class, 2).select("_toxic", "_text").distinct())
     size = {r["_toxic"]: r["_n"] for r in sample.groupBy("_toxic").agg(F.count("*").alias("_n")).collect()}
     if len(size) < 2:
         return ToxicityModel()
     positives, negatives = size[1], size[0]
-    floor = max(MIN_TEXTS, math.ceil(MIN_SHARE * positives))
     both = term_counts(sample).groupBy("term").agg(
         F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("p"),
         F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("q"),
     )
     # Odds first, so that only telling terms reach the driver.
     share = (F.col("p") + 0.5) / (positives + 1) / ((F.col("q") + 0.5) / (negatives + 1))
-    rows = (
-        both.where((F.col("p") >= floor) & (share >= math.exp(MIN_ODDS)))
-        .orderBy(F.desc("p"), "term")
-        .limit(50 * MAX_TERMS)
-        .collect()
-    )
+    rows = both.where((F.col("p") >= MIN_TEXTS) & (share >= math.exp(MIN_ODDS))).collect()
     words, stems = choose_terms([tuple(r) for r in rows], positives, negatives)
 
     def run(batches):
@@ -331,7 +330,6 @@ def train(
             "toxic int, n long, exact array<string>, near array<string>, weight double, near_weights array<double>",
         )
         .drop("exact")
-        .limit(20 * per_class)
         .collect()
     )
     near = {y: Counter(w for r in seen if r["toxic"] == y for w in r["near"]) for y in (0, 1)}

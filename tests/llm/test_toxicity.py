@@ -58,6 +58,15 @@ def test_misspellings_inside_a_stem():
     assert automaton.match("ideal") is None
 
 
+def test_all_telling_terms_and_each_text_once(spark):
+    words, stems = toxicity.choose_terms([(f"=term{i}", 6, 0) for i in range(1000)], 2000, 2000)
+    assert len(words) == 1000 and not stems
+    both = corpus(spark, 100)
+    docs, labels = both.select("doc_id", "text"), both.select("doc_id", "toxic")
+    once, thrice = toxicity.train(docs, labels), toxicity.train(docs.union(docs).union(docs), labels)
+    assert once.words and (once.words, once.stems, once.harmless) == (thrice.words, thrice.stems, thrice.harmless)
+
+
 def test_context():
     automaton = toxicity.TermAutomaton({"idiot": 1.0}, {})
     weight = lambda text: sum(toxicity.hits(text, automaton, frozenset())[1].values())
