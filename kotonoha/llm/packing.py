@@ -24,7 +24,6 @@ from __future__ import annotations
 
 import itertools
 import re
-import string
 import unicodedata
 import zlib
 from array import array
@@ -33,9 +32,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kotonoha.llm.bpe import BpeFile, merge_loop
 from kotonoha.llm.common import column, slices
 
 WINDOW = 2048
@@ -44,6 +45,8 @@ CUT_PENALTY = 12
 BLOCK_TOKENS = 256 * WINDOW
 # Distinct space-free chunks whose ids a worker remembers; beyond it, it starts anew.
 CACHE_CHUNKS = 800_000
+# Characters of texts that are split and looked up together; a longer text is by itself.
+GROUP_CHARACTERS = 500_000
 
 # Longest stretch without a sentence's end that stays whole.
 RUN_ON = 128
@@ -53,10 +56,18 @@ DOCUMENT, SENTENCE, FORCED = 0, 1, 2
 
 # Last characters of a chunk that end a sentence.
 _STOPS = frozenset(".!?…。！？")
-# ASCII symbols that may follow a word and are tokens of their own (no apostrophe).
-_TAIL = "".join(c for c in string.punctuation if c != "'")
-# Letters whose lower case depends on what is around them, and marks of special tokens.
-_ODD = re.compile("[\u0130\u03a3]|<\\|")
+# Stands at a word's end while new chunks are merged; a text that holds it takes the other way.
+_WORD_END = "\x01"
+# Letters whose lower case depends on what is around them, and the mark above.
+_ODD = frozenset("\u0130\u03a3" + _WORD_END)
+# Characters that this old table has are classed alike by all libraries; later ones may not be.
+_SETTLED = unicodedata.ucd_3_2_0
+# Fixed value: the split of the vocabulary file, with line ends between chunks.
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+|\n"
+_WORDS = regex.compile(_SPLIT)
+_ASCII_WORDS = re.compile(
+    _SPLIT.replace(r"[\p{L}]", "[a-z]").replace(r"\p{L}", "a-z").replace(r"\p{N}", "0-9"), re.ASCII
+)
 _PIECES = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -64,60 +75,57 @@ class ChunkEncoder:
     """Token ids of texts through a `tokenizers` file, remembered per space-free chunk.
 
     Only for a tokenizer that lower-cases, drops white space, and whose merges
-    cross neither white space nor the end of a run of letters. ``encode`` gives
-    the ids and the token counts after which a sentence ends.
+    cross neither white space nor the end of a run of letters. New chunks of many
+    texts are lower-cased, split and merged together; chunks with a character
+    whose treatment depends on the library go to the tokenizer one by one.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._model = self._tokenizer.model
-        self._bytes = ByteLevel(add_prefix_space=False, use_regex=False)
+        ranks = BpeFile(path).ranks(word_end=_WORD_END.encode())
+        self._merges = merge_loop(ranks, rf"[^\s{_WORD_END}]+{_WORD_END}|\n")
+        self._line_id = ranks[b"\n"]
         # Chunk -> its ids as little-endian 32-bit words.
         self._known: dict[str, bytes] = {}
         self._stops = np.zeros(self._tokenizer.get_vocab_size(), bool)
         for mark in _STOPS:
             self._stops[self._tokenizer.encode(mark, add_special_tokens=False).ids[-1:]] = True
 
-    def _ids(self, chunk: str) -> bytes:
-        """Ids of a lower-case chunk; a run of letters goes straight to the merges."""
-        if chunk.isalpha() and not _ODD.search(chunk):
-            if chunk.isascii():
-                found = self._model.tokenize(chunk)
-                return array("I", [t.id for t in found]).tobytes()
-            if unicodedata.is_normalized("NFC", chunk):
-                (symbols, _), *_ = self._bytes.pre_tokenize_str(chunk)
-                return array("I", [t.id for t in self._model.tokenize(symbols)]).tobytes()
-        return array("I", self._tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
-
     def _learn(self, chunks: list[str]) -> None:
-        """Most new chunks are a known word in another case or with a stop behind it."""
-        known = self._known
-        for chunk in chunks:
-            body, tail = chunk, ""
-            if not _ODD.search(chunk):
-                plain = chunk.lower()
-                body = plain.rstrip(_TAIL)
-                if body[-1:].isalpha():
-                    tail = plain[len(body) :]
+        """Ids of new chunks, none of which holds a line end."""
+        joined = "\n".join(chunks)
+        odd = {c for c in set(joined) if c in _ODD or (c > "\x7f" and _SETTLED.category(c) == "Cn")}
+        if odd or "<|" in joined:
+            plain = []
+            for chunk in chunks:
+                if "<|" in chunk or not odd.isdisjoint(chunk):
+                    ids = self._tokenizer.encode(chunk, add_special_tokens=False).ids
+                    self._known[chunk] = array("I", ids).tobytes()
                 else:
-                    body = plain
-            if (ids := known.get(body)) is None:
-                ids = known[body] = self._ids(body)
-            if tail:
-                if (more := known.get(tail)) is None:
-                    more = known[tail] = self._ids(tail)
-                ids += more
-            known[chunk] = ids
-
-    def encode(self, text: str) -> tuple[np.ndarray, list[int]]:
-        chunks = []
-        line_ends = []
-        for line in text.split("\n"):
-            chunks += line.split(" ")
-            line_ends.append(len(chunks))
+                    plain.append(chunk)
+            if not plain:
+                return
+            chunks, joined = plain, "\n".join(plain)
+        if joined.isascii():
+            words = _ASCII_WORDS.findall(joined.lower())
+        else:
+            words = _WORDS.findall(unicodedata.normalize("NFC", joined).lower())
+        words.append("\n")
+        ids = self._merges.encode_to_numpy(_WORD_END.join(words))
+        ends = np.flatnonzero(ids == self._line_id) * 4
+        held = ids.astype("<u4", copy=False).tobytes()
+        begins = [0, *(ends[:-1] + 4).tolist()]
+        self._known.update(
+            (c, held[i:j]) for c, i, j in zip(chunks, begins, ends.tolist(), strict=True)
+        )
+
+    def encode_many(self, texts: list[str]) -> list[tuple[np.ndarray, list[int]]]:
+        """For each text its ids and the token counts after which a sentence ends."""
+        joined = "\n".join(texts)
+        chunks = joined.replace("\n", " ").split(" ")
+        line_ends = np.cumsum([line.count(" ") + 1 for line in joined.split("\n")]) - 1
         if len(self._known) > CACHE_CHUNKS:
             self._known.clear()
         rows = list(map(self._known.get, chunks))
@@ -129,8 +137,31 @@ class ChunkEncoder:
         stops = np.zeros(len(ids) + 1, bool)
         stops[1:] = self._stops[ids]
         found = stops[ends]  # the last id of the chunk, or of the one before an empty chunk
-        found[np.asarray(line_ends) - 1] = True
-        return ids, ends[found].tolist()
+        found[line_ends] = True
+        stops = ends[found]
+        places = np.cumsum([t.count(" ") + t.count("\n") + 1 for t in texts]) - 1
+        bounds = [0, *ends[places].tolist()]
+        first = [0, *(np.cumsum(found)[places]).tolist()]
+        return [
+            (ids[i:j], (stops[a:b] - i).tolist())
+            for i, j, a, b in zip(bounds, bounds[1:], first, first[1:], strict=False)
+        ]
+
+    def encode(self, text: str) -> tuple[np.ndarray, list[int]]:
+        return self.encode_many([text])[0]
+
+
+def groups_of_texts(texts: list[str | None], characters: int = GROUP_CHARACTERS) -> Iterator[list[str]]:
+    """The texts in order in groups of about so many characters; a missing one is empty."""
+    group, size = [], 0
+    for text in texts:
+        group.append(text or "")
+        size += len(group[-1])
+        if size >= characters:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
 
 
 def boundaries(sentence_ends: list[int], length: int, window: int) -> list[tuple[int, int]]:
@@ -284,9 +315,10 @@ def pack_documents(
                 packer = _Packer(window, cut_penalty, batch.column(2)[0].as_py() << 33)
                 arrow_id = batch.schema.field(0).type
             found = []
-            for key, text in zip(column(batch, "_id"), column(batch, "_text"), strict=True):
-                ids, stops = encoder.encode(text) if text else (np.zeros(0, np.uint32), [])
-                found += packer.add(key, np.append(ids, np.uint32(end_id)), stops)
+            keys = iter(column(batch, "_id"))
+            for group in groups_of_texts(column(batch, "_text")):
+                for ids, stops in encoder.encode_many(group):
+                    found += packer.add(next(keys), np.append(ids, np.uint32(end_id)), stops)
             if found:
                 yield rows(found)
         if packer is not None and (found := list(packer.flush())):

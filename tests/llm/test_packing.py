@@ -1,3 +1,4 @@
+import functools
 import itertools
 import zlib
 
@@ -12,17 +13,26 @@ from tests.llm.helpers import empty_documents, odd_documents, prose
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
 
-def reference_ids(texts):
+@functools.cache
+def reference():
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(PATH)
-    return [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    return Tokenizer.from_file(PATH)
+
+
+@functools.cache
+def shared_encoder():
+    return packing.ChunkEncoder(PATH)
+
+
+def reference_ids(texts):
+    return [e.ids for e in reference().encode_batch(texts, add_special_tokens=False)]
 
 
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(max_size=40), min_size=1, max_size=4))
 def test_chunks_give_the_tokenizers_ids(texts):
-    encoder = packing.ChunkEncoder(PATH)
+    encoder = shared_encoder()
     assert [encoder.encode(t)[0].tolist() for t in texts if t] == reference_ids([t for t in texts if t])
 
 
@@ -36,6 +46,26 @@ def test_hard_chunks():
         assert [encoder.encode(t)[0].tolist() for t in texts] == reference_ids(texts)
 
 
+def test_many_code_points_together():
+    """Every settled letter, and unassigned ones, in several surroundings."""
+    points = [*range(0x3000), *range(0x3000, 0x110000, 61)]
+    chars = [chr(c) for c in points if not 0xD800 <= c < 0xE000]
+    texts = [f"a{c}b {c}1{c}2  {c} {c}{c}\n{c}.{c} x'{c} E{c}" for c in chars]
+    found = packing.ChunkEncoder(PATH).encode_many(["", *texts])
+    assert [ids.tolist() for ids, _ in found] == [[], *reference_ids(texts)]
+
+
+def test_texts_of_a_group_stay_apart():
+    texts = ["one. two", "", "three\nfour. five ", ".", "six"]
+    encoder = packing.ChunkEncoder(PATH)
+    together = encoder.encode_many(texts)
+    for text, (ids, stops) in zip(texts, together, strict=True):
+        alone, alone_stops = packing.ChunkEncoder(PATH).encode(text)
+        assert ids.tolist() == alone.tolist() and stops == alone_stops
+    groups = list(packing.groups_of_texts(["ab", None, "c", "defgh", ""], 3))
+    assert groups == [["ab", "", "c"], ["defgh"], [""]]
+
+
 def test_cache_is_emptied(monkeypatch):
     monkeypatch.setattr(packing, "CACHE_CHUNKS", 5)
     encoder = packing.ChunkEncoder(PATH)
