@@ -1,5 +1,7 @@
 """Operators of a training-data pipeline; nothing else in the library imports them."""
 
+from kotonoha.llm.align import align_tokenizers
+from kotonoha.llm.binpack import pack_best_fit
 from kotonoha.llm.decontaminate import contained_items
 from kotonoha.llm.html import extract_pages
 from kotonoha.llm.langid import identify
@@ -10,10 +12,13 @@ from kotonoha.llm.quality import judge_quality
 from kotonoha.llm.sharding import assign_shards
 from kotonoha.llm.simhash import near_duplicates
 from kotonoha.llm.toxicity import score_toxicity
+from kotonoha.llm.vectorcodes import compress_vectors
 
 __all__ = [
+    "align_tokenizers",
     "apply_bitmaps",
     "assign_shards",
+    "compress_vectors",
     "contained_items",
     "drop_repeated_lines",
     "extract_pages",
@@ -21,6 +26,7 @@ __all__ = [
     "judge_quality",
     "keep_bitmaps",
     "near_duplicates",
+    "pack_best_fit",
     "pack_documents",
     "scan_licenses",
     "score_toxicity",

@@ -10,10 +10,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kotonoha.llm import decontaminate, html, langid, licenses, lines, packing, quality, sharding, simhash, toxicity
+from kotonoha.llm import (
+    align,
+    binpack,
+    decontaminate,
+    html,
+    langid,
+    licenses,
+    lines,
+    packing,
+    quality,
+    sharding,
+    simhash,
+    toxicity,
+    vectorcodes,
+)
 from kotonoha.llm.common import fold, table
 
 TOKENIZER = "word_bpe_49k.json"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
+PIECE_TOKENIZER = "piece_bpe_32k.model"
 
 
 def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
@@ -71,6 +87,26 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    found = vectorcodes.compress_vectors(table(spark, folder, "embeddings"), carry=["label"])
+    rows = vectorcodes.with_group_sum(found.rows, "label", "error", "label_error")
+    return rows.select(
+        "vec_id", "code", "error", "label_error", F.lit(found.digest()).alias("codebooks_sha256")
+    )
+
+
+def op12_best_fit(spark: SparkSession, folder: str) -> DataFrame:
+    return binpack.pack_best_fit(table(spark, folder, "documents"), public_tokenizers.path(BYTE_TOKENIZER))
+
+
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return align.align_tokenizers(
+        table(spark, folder, "documents"),
+        public_tokenizers.path(BYTE_TOKENIZER),
+        public_tokenizers.path(PIECE_TOKENIZER),
+    )
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -90,6 +126,9 @@ QUERIES = {
         op8_license_scan,
         op9_html_extraction,
         op10_toxicity,
+        op11_vector_codes,
+        op12_best_fit,
+        op13_alignment,
         pipeline,
     )
 }

@@ -1,0 +1,139 @@
+import hashlib
+import math
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from kotonoha.llm import vectorcodes as vc
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def plain_lloyd(vectors, parts=4, entries=256, rounds=4):
+    """(codes, errors, codebooks) with one distance after the other."""
+    points = [[math.floor(1024 * float(np.float32(x))) for x in v] for v in vectors]
+    width = len(points[0]) // parts
+    cut = [[p[k * width : (k + 1) * width] for p in points] for k in range(parts)]
+    books, codes, errors = [], [], [0] * len(points)
+
+    def nearest(part, book):
+        return min((sum((a - b) ** 2 for a, b in zip(part, e, strict=True)), i) for i, e in enumerate(book))
+
+    for some in cut:
+        book = [list(p) for p in some[:entries]]
+        for _ in range(rounds):
+            groups = {}
+            for p in some:
+                groups.setdefault(nearest(p, book)[1], []).append(p)
+            for i, members in groups.items():
+                book[i] = [sum(c) // len(members) for c in zip(*members, strict=True)]
+        found = [nearest(p, book) for p in some]
+        codes.append([i for _, i in found])
+        errors = [e + d for e, (d, _) in zip(errors, found, strict=True)]
+        books.append(book)
+    return ["".join(f"{c:02x}" for c in row) for row in zip(*codes, strict=True)], errors, books
+
+
+def digest(books):
+    return hashlib.sha256(",".join(str(x) for b in books for e in b for x in e).encode()).hexdigest()
+
+
+def clustered(rng, n, width, centres=12, noise=0.01):
+    middle = rng.normal(0, 0.3, (centres, width))
+    return (middle[rng.integers(0, centres, n)] + rng.normal(0, noise, (n, width))).astype(np.float32)
+
+
+@pytest.mark.parametrize("kind", ["clustered", "uniform", "copies", "coarse"])
+def test_whole_answer(spark, kind):
+    rng = np.random.default_rng(5)
+    n, width = 400, 16
+    vectors = {
+        "clustered": lambda: clustered(rng, n, width),
+        "uniform": lambda: rng.uniform(-1, 1, (n, width)).astype(np.float32),
+        "copies": lambda: np.repeat(rng.normal(0, 1, (8, width)), n // 8, axis=0).astype(np.float32),
+        # Many equal distances: ties go to the lower number.
+        "coarse": lambda: (rng.integers(-2, 3, (n, width)) / 1024).astype(np.float32),
+    }[kind]()
+    rows = [(3 * i, v.tolist(), int(i % 5)) for i, v in enumerate(vectors)]
+    table = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    found = vc.compress_vectors(table, carry=["label"], entries=32)
+    codes, errors, books = plain_lloyd(vectors, entries=32)
+    got = {r["vec_id"]: (r["code"], r["error"], r["label"]) for r in found.rows.collect()}
+    assert got == {3 * i: (c, e, i % 5) for i, (c, e) in enumerate(zip(codes, errors, strict=True))}
+    assert found.digest() == digest(books)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(1, 90), st.integers(1, 40), st.integers(1, 4), st.integers(0, 10**6), st.integers(1, 400))
+def test_trees_give_the_nearest_entry(n, k, width, seed, spread):
+    rng = np.random.default_rng(seed)
+    points, entries = rng.integers(-spread, spread, (n, width)), rng.integers(-spread, spread, (k, width))
+    distances = ((points[:, None] - entries[None]) ** 2).sum(2)
+    codes, errors = vc.coded(vc.grow(points, 4), entries, vc.entry_tree(entries))
+    assert codes.tolist() == distances.argmin(1).tolist()
+    assert errors.tolist() == distances.min(1).tolist()
+    sums = vc.Sums([entries])
+    sums.add(0, vc.grow(points, 4))
+    for e in range(k):
+        assert sums.counts[0][e] == (codes == e).sum()
+        assert sums.sums[0][e].tolist() == points[codes == e].sum(0).tolist()
+
+
+def test_bounds_prune_and_whole_nodes_are_assigned():
+    rng = np.random.default_rng(2)
+    points = np.floor(1024 * clustered(rng, 4000, 8, centres=64, noise=0.003)).astype(np.int64)
+    tree = vc.grow(points, vc.LEAF_PARTS // 4)
+    entries = points[:64]
+    count, whole = [0], 0
+    for start, stop, found in vc.assign(tree, vc.entry_tree(entries), count):
+        if isinstance(found, int):
+            whole += stop - start
+    assert count[0] < 0.2 * len(points) * len(entries)
+    copies = vc.grow(np.repeat(points[:5], 300, axis=0), 16)
+    assert any(isinstance(f, int) for _, _, f in vc.assign(copies, vc.entry_tree(points[:5])))
+
+
+def test_large_components_stay_exact():
+    big = vc.LARGEST - 1
+    points = np.array([[big] * 64, [big] * 63 + [big - 1], [-big] * 64])
+    entries = np.array([[big] * 63 + [big - 1], [big] * 64, [1 - big] * 64])
+    codes, errors = vc.coded(vc.grow(points, 1), entries, vc.entry_tree(entries))
+    assert codes.tolist() == [1, 0, 2] and errors.tolist() == [0, 0, 64]
+
+
+def test_odd_rows(spark):
+    fine = [0.5, -0.25, 1.0, 0.0]
+    rows = [
+        (1, fine, 7), (1, fine, 7), (2, None, 7), (3, [0.5, None, 1.0, 0.0], 7), (4, [float("nan")] * 4, 7),
+        (5, [float("inf"), 0.0, 0.0, 0.0], 7), (None, [0.25] * 4, None), (7, [0.5], 3), (8, [1e30] * 4, None),
+        (9, [], 3),
+    ]
+    table = spark.createDataFrame(rows, SCHEMA)
+    for name in ("_v", "_carried", "code", "points", "n"):
+        table = table.selectExpr("*", f"1 AS `{name}`")
+    found = vc.compress_vectors(table, carry=["label"])
+    got = sorted(((r["vec_id"], r["code"], r["error"], r["label"]) for r in found.rows.collect()), key=str)
+    assert got == sorted(
+        [
+            # Two equal first entries: ties go to the lower one. All vectors kept start an entry.
+            (1, "00000000", 0, 7), (1, "00000000", 0, 7), (None, "02020202", 0, None),
+            (7, None, None, 3), (8, None, None, None), (9, None, None, 3),
+        ],
+        key=str,
+    )
+    assert len(found.codebooks) == 4
+    empty = vc.compress_vectors(spark.createDataFrame([], SCHEMA))
+    assert empty.rows.count() == 0 and empty.codebooks == []
+
+
+@pytest.mark.parametrize("limit", [0, 100])
+def test_group_sums(spark, monkeypatch, limit):
+    monkeypatch.setattr(vc, "BROADCAST_GROUPS", limit)
+    rows = [(i, None if i % 3 == 0 else i % 4, i) for i in range(60)]
+    table = spark.createDataFrame(rows, "vec_id long, label int, error long")
+    found = vc.with_group_sum(table, "label", "error", "label_error").collect()
+    assert len(found) == 60
+    for r in found:
+        assert r["label_error"] == sum(e for _, g, e in rows if g == r["label"])
