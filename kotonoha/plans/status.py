@@ -130,7 +130,7 @@ def failed_documents(documents: DataFrame, fetched: DataFrame) -> DataFrame:
 
 
 def select_updates(
-    documents: DataFrame, fetched: DataFrame, files: DataFrame, *, check_updates: bool = True
+    documents: DataFrame, fetched: DataFrame, files: DataFrame | None, *, check_updates: bool = True
 ) -> DataFrame:
     """``[doc_id, abs_path]`` of file documents to read now.
 
@@ -141,11 +141,11 @@ def select_updates(
     """
     known = documents.where(F.col("source_kind") == "file").select("doc_id", "abs_path")
     state = fetched.select("doc_id", "fetch_ok", "fetched_at")
-    listed = files.select(F.col("path").alias("abs_path"), F.col("modificationTime").alias("_mtime"))
-    joined = known.join(state, "doc_id").join(listed, "abs_path", "left")
     never = ~F.col("fetch_ok")
     if not check_updates:
-        return joined.where(never).select("doc_id", "abs_path")
+        return known.join(state, "doc_id").where(never).select("doc_id", "abs_path")
+    listed = files.select(F.col("path").alias("abs_path"), F.col("modificationTime").alias("_mtime"))
+    joined = known.join(state, "doc_id").join(listed, "abs_path", "left")
     margin = F.expr(f"INTERVAL {MTIME_MARGIN_SECONDS} SECOND")
     changed = F.col("_mtime").isNotNull() & (
         F.col("fetched_at").isNull() | (F.col("_mtime") > F.col("fetched_at") + margin)

@@ -31,9 +31,8 @@ from kotonoha.schemas import DOCUMENTS, FETCH_LOG, TOKEN_LIST, TOKENIZE_LOG
 from kotonoha.sources import files as file_source
 from kotonoha.sources.content import content_pairs
 
-# Files that are opened by name in one group, and roots that are listed in one.
+# Files that Spark's reader opens by name in one group.
 NAMED_FILES = 50_000
-ROOTS_AT_ONCE = 1_000
 # Up to this many (doc_id, run_id) keys are broadcast to leave rows out or in.
 BROADCAST_KEYS = 500_000
 
@@ -122,13 +121,15 @@ class LogTable:
         clustered = rows.select(*names).repartitionByRange("run_id", "doc_id")
         clustered.write.partitionBy("run_id").mode("overwrite").parquet(target)
 
+    def remove(self, path: str) -> None:
+        place = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
     def drop_older(self) -> None:
-        """Remove the generations before the current one; no reader or stream may still use them."""
-        jvm = self.spark.sparkContext._jvm
+        """Remove the generations before the current one; no reader may still use them."""
         for old in self._names(self.path, "gen="):
             if old < self.generation():
-                place = jvm.org.apache.hadoop.fs.Path(f"{self.path}/gen={old}")
-                place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+                self.remove(f"{self.path}/gen={old}")
 
 
 class CorpusStore:
@@ -147,6 +148,9 @@ class CorpusStore:
         """The same documents and texts, another token table."""
         return CorpusStore(self.spark, self.root, name)
 
+    def qualified(self, path: str) -> str:
+        return file_source.qualified(self.spark, path)
+
     # -- views ----------------------------------------------------------------
 
     def documents(self) -> DataFrame:
@@ -305,35 +309,26 @@ class CorpusStore:
         """Files below all roots from which files were registered; None without any."""
         file_docs = self.documents().where("source_kind = 'file'")
         size = F.length("abs_path") - F.length("rel_path") - 1
-        roots = file_docs.select(F.substr(F.col("abs_path"), F.lit(1), size).alias("r")).distinct()
-        listed, group = None, []
-        for row in itertools.chain(roots.orderBy("r").toLocalIterator(), [None]):
-            if group and (row is None or len(group) == ROOTS_AT_ONCE):
-                some = file_source.list_files(self.spark, group, "*")
-                listed, group = some if listed is None else listed.unionByName(some), []
-            if row is not None:
-                group.append(row["r"])
-        # Roots may lie in each other.
-        return listed if listed is None else listed.dropDuplicates(["path"])
-
-    def _contents(self, wanted: DataFrame, listing: DataFrame) -> DataFrame:
-        """``[doc_id, content]`` of the wanted files; content is NULL for a missing file.
-
-        Files are opened by name, in groups, so that unchanged ones are not read.
+        roots = file_docs.select(F.substr(F.col("abs_path"), F.lit(1), size).alias("folder")).distinct()
+        return None if roots.isEmpty() else file_source.list_files(self.spark, roots, "*")
+
+    def _contents(self, wanted: DataFrame) -> DataFrame:
+        """``[doc_id, content, problem]`` of the wanted files, opened by name by the workers.
+
+        Only names in a store that Arrow does not know go to Spark's reader, in groups.
         """
-        present = listing.select(F.col("path").alias("abs_path"), "by_name")
-        wanted = cut_lineage(wanted.join(present, "abs_path", "left").select("doc_id", "abs_path", "by_name"))
-        odd = wanted.where(~F.col("by_name"))
-        missing = wanted.where(F.col("by_name").isNull())
-        found = file_source.read_passed_over(odd).unionByName(
-            missing.select("doc_id", F.lit(None).cast("binary").alias("content"))
-        )
-        named = wanted.where("by_name").select("abs_path", "doc_id")
+        scheme = F.regexp_extract("abs_path", "^[^:/]*:", 0)
+        stores = wanted.groupBy(scheme.alias("scheme")).agg(F.min("abs_path").alias("one")).collect()
+        unknown = [r["scheme"] for r in stores if not file_source.arrow_reads(r["one"])]
+        if not unknown:
+            return file_source.read_files(wanted)
+        found = file_source.read_files(wanted.where(~scheme.isin(unknown)))
+        named = wanted.where(scheme.isin(unknown)).select("abs_path", "doc_id")
         paths = (r["abs_path"] for r in named.toLocalIterator())
         while group := [_GLOB_CHARACTERS.sub(r"\\\1", p) for p in itertools.islice(paths, NAMED_FILES)]:
-            read = self.spark.read.format("binaryFile").load(group)
-            read = read.select(F.col("path").alias("abs_path"), "content")
-            found = found.unionByName(named.join(read, "abs_path").select("doc_id", "content"))
+            read = self.spark.read.format("binaryFile").load(group).select(F.col("path").alias("abs_path"), "content")
+            some = named.join(read, "abs_path").select("doc_id", "content", F.lit(None).cast("string").alias("problem"))
+            found = found.unionByName(some)
         return found
 
     def _store_decoded(self, decoded: DataFrame, run_id: int) -> None:
@@ -342,17 +337,14 @@ class CorpusStore:
 
     def ingest(self, *, check_updates: bool = True) -> None:
         """Read new and changed files as strict UTF-8; errors stay with their document."""
-        listing = self._listing()
-        if listing is None:
-            return
-        listing = cut_lineage(listing)
+        listing = self._listing() if check_updates else None
         wanted = status.select_updates(
-            self.documents(), self.fetch_status(), listing, check_updates=check_updates
+            self.documents(), self.fetch_status(), listing, check_updates=listing is not None
         )
         wanted = cut_lineage(wanted)
         if wanted.isEmpty():
             return
-        decoded = file_source.decode_utf8(self._contents(wanted, listing))
+        decoded = file_source.decode_utf8(self._contents(wanted))
         self._store_decoded(decoded, self.next_master_run())
 
     def redecode_failed(self, charset: str) -> None:
@@ -362,7 +354,7 @@ class CorpusStore:
         wanted = cut_lineage(failed.join(file_docs, "doc_id", "left_semi"))
         if wanted.isEmpty():
             return
-        decoded = file_source.decode_charset(self._contents(wanted, self._listing()), charset)
+        decoded = file_source.decode_charset(self._contents(wanted), charset)
         self._store_decoded(decoded, self.next_master_run())
 
     # -- tokenize -----------------------------------------------------------------
@@ -543,7 +535,7 @@ class CorpusStore:
 
         Wide rows are picked by thin keys and moved once, to cluster them by
         run. ``drop_older`` then frees the space of earlier generations; leave it
-        off while a stream or another session reads them.
+        off while another session reads them.
         """
         log, fetched = self.work_table.read(), self.fetch_table.read()
         done = _last_run("done"), _last_run("reset"), _last_run("done", "error", "reset"), F.max("run_id")

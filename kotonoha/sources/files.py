@@ -2,22 +2,19 @@
 
 from __future__ import annotations
 
-import fnmatch
-import re
 from collections.abc import Iterable
-from urllib.parse import quote
 
 import pandas as pd
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kotonoha.sources.tree import arrow_place, list_tree
+
 DEFAULT_PATTERNS = ("*.txt",)
 
-BINARY_FILE_SCHEMA = (
-    "path string, modificationTime timestamp, length long, content binary"
-)
+# Bytes of a file that still fit a row.
+LARGEST_FILE = 2_000_000_000
 
 
 def as_glob(patterns: str | Iterable[str]) -> str:
@@ -35,23 +32,36 @@ def binary_reader(reader, patterns: str | Iterable[str]):
     )
 
 
+def arrow_reads(place: str) -> bool:
+    """Whether the workers can open paths like this one by themselves."""
+    return arrow_place(place) is not None
+
+
 def list_files(
-    spark: SparkSession, root: str | Iterable[str], patterns: str | Iterable[str] = DEFAULT_PATTERNS
+    spark: SparkSession, root: str | Iterable[str] | DataFrame, patterns: str | Iterable[str] = DEFAULT_PATTERNS
 ) -> DataFrame:
-    """``[path, modificationTime, length, by_name]`` of all files below the roots.
+    """``[path, modificationTime, length]`` of all files below the roots (or a ``[folder]`` table).
 
-    Spark's file sources pass over empty files and names that start with ``_``
-    or ``.``; those are listed by the workers through Arrow's file systems and
-    have ``by_name`` false. No content is read.
+    The workers list level by level. In a store that Arrow does not know Spark's
+    own listing takes over, which passes over empty files and names that start
+    with ``_`` or ``.``. No content is read.
     """
-    roots = [root] if isinstance(root, str) else list(root)
-    seen = binary_reader(spark.read, patterns).load(roots).select(
-        "path", "modificationTime", "length", F.lit(True).alias("by_name")
-    )
-    return seen.unionByName(passed_over(spark, roots, patterns))
-
-
-def _qualified(spark: SparkSession, root: str) -> str:
+    if not isinstance(root, DataFrame):
+        names = [(qualified(spark, r),) for r in dict.fromkeys([root] if isinstance(root, str) else root)]
+        root = spark.createDataFrame(names, "folder string")
+    scheme = F.regexp_extract("folder", "^[^:/]*:", 0)
+    # A handful of stores, each with one of its folders.
+    stores = root.groupBy(scheme.alias("scheme")).agg(F.min("folder").alias("one")).collect()
+    unknown = [r["scheme"] for r in stores if not arrow_reads(r["one"])]
+    listed = list_tree(root.where(~scheme.isin(unknown)) if unknown else root, patterns)
+    if unknown:
+        others = [r["folder"] for r in root.where(scheme.isin(unknown)).toLocalIterator()]
+        seen = binary_reader(spark.read, patterns).load(others)
+        listed = listed.unionByName(seen.select("path", "modificationTime", "length"))
+    return listed
+
+
+def qualified(spark: SparkSession, root: str) -> str:
     """The root as Spark writes it in paths, with its scheme."""
     context = spark.sparkContext
     place = context._jvm.org.apache.hadoop.fs.Path(root)
@@ -59,76 +69,39 @@ def _qualified(spark: SparkSession, root: str) -> str:
     return system.makeQualified(place).toString()
 
 
-def _arrow_place(path: str):
-    """Arrow's file system and the path in it; None where Arrow has no such store."""
-    try:
-        return pafs.FileSystem.from_uri(re.sub("^file:/+", "file:///", _escaped(path)))
-    except (pa.ArrowInvalid, OSError):
-        return None
-
-
-def _escaped(path: str) -> str:
-    scheme, colon, rest = path.partition(":")
-    return scheme + colon + quote(rest, safe="/:@")
-
-
-def _is_passed_over(name: str, size: int) -> bool:
-    parts = name.split("/")
-    return size == 0 or any(p.startswith(".") or p.startswith("_") and "=" not in p for p in parts)
-
-
-def passed_over(spark: SparkSession, roots: list[str], patterns: str | Iterable[str]) -> DataFrame:
-    """The files below the roots that Spark's own listing leaves out, a task per root."""
-    names = [patterns] if isinstance(patterns, str) else sorted(set(patterns))
-    schema = "path string, modificationTime timestamp, length long, by_name boolean"
-
-    def walk(batches):
-        for batch in batches:
-            for root in batch.column(0).to_pylist():
-                place = _arrow_place(root)
-                if place is None:
-                    continue
-                system, top = place
-                found = [
-                    (root.rstrip("/") + "/" + inside, info.mtime, info.size, False)
-                    for info in system.get_file_info(pafs.FileSelector(top, recursive=True, allow_not_found=True))
-                    if info.type == pafs.FileType.File
-                    for inside in [info.path[len(top.rstrip("/")) + 1 :]]
-                    if _is_passed_over(inside, info.size)
-                    and any(fnmatch.fnmatchcase(inside.rpartition("/")[2], n) for n in names)
-                ]
-                columns = list(zip(*found, strict=True)) or [[], [], [], []]
-                kinds = [pa.string(), pa.timestamp("us", "UTC"), pa.int64(), pa.bool_()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)],
-                    names=["path", "modificationTime", "length", "by_name"],
-                )
-
-    listed = [(_qualified(spark, r),) for r in dict.fromkeys(roots)]
-    table = spark.createDataFrame(listed, "root string").repartition(min(len(listed), 200))
-    return table.mapInArrow(walk, schema)
+def read_files(files: DataFrame) -> DataFrame:
+    """``[doc_id, content, problem]`` of ``[doc_id, abs_path]`` rows, opened by name by the workers.
 
-
-def read_passed_over(files: DataFrame) -> DataFrame:
-    """``[doc_id, content]`` of ``[doc_id, abs_path]`` rows, read by the workers; NULL if missing."""
+    A file that is gone or cannot be read has no content and says why.
+    """
     id_type = files.schema["doc_id"].dataType.simpleString()
 
+    def content_of(path: str) -> tuple[bytes | None, str | None]:
+        if (place := arrow_place(path)) is None:
+            return None, "no file system for this path"
+        try:
+            with place[0].open_input_file(place[1]) as file:
+                if file.size() > LARGEST_FILE:
+                    return None, f"file larger than {LARGEST_FILE} bytes"
+                return file.read(), None
+        except FileNotFoundError:
+            return None, "file not found"
+        except OSError as problem:
+            return None, str(problem)
+
     def read(batches):
         for batch in batches:
             ids, paths = batch.column(0), batch.column(1).to_pylist()
             for row, path in enumerate(paths):
-                content = None
-                if place := _arrow_place(path):
-                    try:
-                        with place[0].open_input_stream(place[1]) as stream:
-                            content = stream.read()
-                    except FileNotFoundError:
-                        pass
+                content, problem = content_of(path)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(row, 1), pa.array([content], pa.binary())], names=["doc_id", "content"]
+                    [ids.slice(row, 1), pa.array([content], pa.binary()), pa.array([problem], pa.string())],
+                    names=["doc_id", "content", "problem"],
                 )
 
-    return files.select("doc_id", "abs_path").mapInArrow(read, f"doc_id {id_type}, content binary")
+    return files.select("doc_id", "abs_path").mapInArrow(
+        read, f"doc_id {id_type}, content binary, problem string"
+    )
 
 
 def relative_path(path: Column, root: str) -> Column:
@@ -146,15 +119,21 @@ def universal_newlines(text: Column) -> Column:
     return F.regexp_replace(text, "\r\n?", "\n")
 
 
+def _unread(files: DataFrame) -> Column:
+    missing = F.lit("file not found")
+    return F.coalesce(F.col("problem"), missing) if "problem" in files.columns else missing
+
+
 def decode_utf8(files: DataFrame, *, content_col: str = "content") -> DataFrame:
     """Add ``[text, char_count, error]``; invalid bytes give an error, not a failure.
 
-    ``char_count`` counts code points. Missing content is an error too.
+    ``char_count`` counts code points. Missing content is an error too, with the
+    ``problem`` of reading it where there is that column.
     """
     content = F.col(content_col)
     valid = F.is_valid_utf8(content.cast("string"))
     text = F.when(valid, universal_newlines(F.try_validate_utf8(content.cast("string"))))
-    error = F.when(content.isNull(), F.lit("file not found")).when(
+    error = F.when(content.isNull(), _unread(files)).when(
         ~valid, F.lit("invalid UTF-8 byte sequence")
     )
     return (
@@ -184,6 +163,6 @@ def decode_charset(files: DataFrame, charset: str, *, content_col: str = "conten
     return (
         decoded.withColumn("text", universal_newlines(F.col("_decoded.text")))
         .withColumn("char_count", F.length("text"))
-        .withColumn("error", F.col("_decoded.error"))
+        .withColumn("error", F.when(F.col(content_col).isNull(), _unread(files)).otherwise(F.col("_decoded.error")))
         .drop("_decoded")
     )

@@ -7,28 +7,41 @@ note, reads the state before that run and overwrites the run's directories.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from kotonoha.operators.tokenize import tokenize_lists
+from kotonoha.plans import status
 from kotonoha.plans.layout import cut_lineage
 from kotonoha.plans.store import CorpusStore, LogTable, pick_rows
 from kotonoha.schemas import FETCH_LOG
 from kotonoha.sources import files as file_source
+from kotonoha.sources.tree import as_patterns, register_sources
 
 
 def _run_of_batch(store: CorpusStore, stream: str, batch_id: int, allocate: Callable[[], int]) -> int:
-    """The run_id noted for this batch, noting a new one first if there is none."""
+    """The run_id noted for this batch, noting a new one first if there is none.
+
+    Only the last batch of a stream can come again, so a new note replaces the
+    older ones of its stream.
+    """
     spark = store.spark
-    path = f"{store.root}/streams/{stream}/batch={batch_id}"
-    notes = LogTable(spark, path, FETCH_LOG)
+    folder = f"{store.root}/streams/{stream}"
+    path = f"{folder}/batch={batch_id}"
+    notes = LogTable(spark, folder, FETCH_LOG)
     if not notes._exists(f"{path}/_SUCCESS"):
         spark.createDataFrame([(allocate(),)], "run long").coalesce(1).write.mode(
             "overwrite"
         ).parquet(path)
+        for older in notes._names(folder, "batch="):
+            if older < batch_id:
+                notes.remove(f"{folder}/batch={older}")
     return spark.read.schema("run long").parquet(path).first()["run"]
 
 
@@ -47,30 +60,34 @@ def stream_files(
     max_files: int | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Register and fetch new files as they appear.
+    """Register and fetch new and changed files as they appear, of any name and size.
 
-    The stream sees each path once; changed files are picked up by
-    ``CorpusStore.ingest``.
+    A batch lists what changed since the one before; files among it whose text
+    is already stored are left alone. ``max_files`` bounds the files one task reads.
     """
-    reader = file_source.binary_reader(store.spark.readStream, patterns).schema(
-        file_source.BINARY_FILE_SCHEMA
-    )
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    stream = reader.load(root_dir)
+    register_sources(store.spark)
+    options = {"patterns": json.dumps(as_patterns(patterns))}
+    place = file_source.qualified(store.spark, root_dir)
+    stream = store.spark.readStream.format("file_tree").options(**options).load(place)
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
+        changed = cut_lineage(batch.select("path", "modificationTime").distinct())
+        if changed.isEmpty():
+            return
         run_id = _run_of_batch(store, name, batch_id, store.next_master_run)
-        # Empty files and names that Spark passes over come along with the next batch.
-        odd = cut_lineage(file_source.passed_over(store.spark, [root_dir], patterns))
-        fetched = store.fetch_table.read(without=run_id).where("event = 'fetched'").select("doc_id")
-        store.register_paths(batch.select("path").unionByName(odd.select("path")), root_dir, run_id=run_id)
-        ids = store.documents().select("doc_id", F.col("abs_path").alias("path"))
-        contents = batch.select("path", "content").join(ids, "path").select("doc_id", "content")
-        new = odd.join(ids, "path").join(fetched, "doc_id", "left_anti")
-        unread = file_source.read_passed_over(new.select("doc_id", F.col("path").alias("abs_path")))
-        decoded = file_source.decode_utf8(contents.unionByName(unread))
-        store._store_decoded(decoded, run_id)
+        store.register_paths(changed.select("path"), root_dir, run_id=run_id)
+        known = store.documents().join(changed.withColumnRenamed("path", "abs_path"), "abs_path")
+        log = store.fetch_table.read(without=run_id).join(known.select("doc_id"), "doc_id", "left_semi")
+        files = known.select(F.col("abs_path").alias("path"), "modificationTime")
+        # Documents of this batch's own run count as not read yet.
+        unread = known.select("doc_id").join(log, "doc_id", "left_anti")
+        state = status.fetch_status(log).unionByName(
+            unread.withColumn("fetch_ok", F.lit(False)), allowMissingColumns=True
+        )
+        wanted = cut_lineage(status.select_updates(known, state, files))
+        if max_files:
+            wanted = wanted.repartition(max(1, -(-wanted.count() // max_files)))
+        store._store_decoded(file_source.decode_utf8(store._contents(wanted)), run_id)
 
     return _start(stream, each_batch, checkpoint, available_now)
 
@@ -107,22 +124,28 @@ def stream_tokens(
     name: str = "tokens",
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Tokenize newly stored texts: a stream over the fetch log.
+    """Tokenize newly stored texts: a stream over the runs of the fetch log.
 
-    Each fetched row carries its text and, as run_id, its version, so a batch
-    needs no look at the rest of the store. A text replaced within one batch is
+    A batch reads the rows of new runs, which carry their texts and, as run_id,
+    their versions, and looks at nothing else in the store. Runs keep their
+    numbers when the store is compacted, so a stream goes on across a
+    compaction, live or started again. A text replaced within one batch is
     tokenized in its newest version only.
     """
-    spark: SparkSession = store.spark
-    folder = store.fetch_table.folder
-    log = spark.readStream.schema(FETCH_LOG).option("basePath", folder).parquet(folder)
+    register_sources(store.spark)
+    options = {"path": store.qualified(store.fetch_table.path), "notes": store.qualified(f"{store.root}/streams")}
+    windows = store.spark.readStream.format("run_windows").options(**options).load()
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
+        wanted = batch.collect()  # a window, and one for each late run
+        if not wanted:
+            return
         run_id = _run_of_batch(store, f"{name}-{store.work_name}", batch_id, store.next_work_run)
-        fetched = batch.where("event = 'fetched'")
+        new = reduce(or_, [(F.col("run_id") > w["after"]) & (F.col("run_id") <= w["until"]) for w in wanted])
+        fetched = store.fetch_table.read().where(new).where("event = 'fetched'")
         newest = fetched.groupBy("doc_id").agg(F.max("run_id").alias("run_id"))
         texts = pick_rows(fetched, newest).withColumnRenamed("run_id", "text_version")
         lists = tokenize_lists(texts, tokenizer, word_form=word_form, carry=("text_version",))
         store._append_lists(lists, store.work_table, run_id)
 
-    return _start(log, each_batch, checkpoint, available_now)
+    return _start(windows, each_batch, checkpoint, available_now)

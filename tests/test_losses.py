@@ -52,7 +52,6 @@ def test_hidden_files_in_a_stream(store, files, tmp_path):
 def test_many_roots_in_groups(store, tmp_path, monkeypatch):
     from kotonoha.plans import store as module
 
-    monkeypatch.setattr(module, "ROOTS_AT_ONCE", 2)
     monkeypatch.setattr(module, "NAMED_FILES", 2)
     for n in range(5):
         folder = tmp_path / f"root{n}"
