@@ -5,7 +5,8 @@ become lines: one per block of text, with its characters, the tags in it, and
 the section (article, main, div, cell, body) it stands in. Parts that are never
 article text by their element or a whole name of theirs (menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles, comments of readers) are left out
-while streaming. The ratio of characters to tags per line is smoothed with a
+while streaming; a main part is a region like others, inside an article a block
+with such a name goes only where its text agrees. The ratio of characters to tags per line is smoothed with a
 Gaussian over neighbouring lines, and lines above a threshold form the content
 cluster. Where articles and mains hold nearly all characters of the cluster, the
 outermost ones with any of it are the content region, otherwise the lowest
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -87,6 +89,17 @@ UNWANTED = (
     | _compounds("notice notices alert promo sponsor subscribe popup modal newsletter", "bar banner box popup modal overlay")
     | _compounds("related share social", "links content box container wrapper")
 )
+# Of these the names that mark a block beside the text in a main part, and in an
+# article where its text agrees; the others are everyday words there.
+SUSPECT = frozenset(
+    name
+    for name in UNWANTED
+    if not set(name.split("-"))
+    & set("header banner masthead alert alertdialog dialog search complementary widget widgets mobile".split())
+)
+COMMENTS = frozenset("comment comments".split())
+# Elements that stand around other blocks; paragraphs, sections and headings are text whatever their names.
+CONTAINERS = frozenset("div ul ol dl li table details fieldset center".split())
 # An article of this kind is no article text either.
 UNWANTED_ARTICLES = ADVERTS | frozenset("comment comments comment-body promo sponsored".split())
 # Blocks whose id is an anchor, and blocks that are headings.
@@ -102,6 +115,8 @@ SCOPE = frozenset("table ul ol dl select body html".split())
 
 SIGMA = 1.0
 SHARE = 0.9
+# From this share of its characters in links a suspect block is a list of links.
+LINKED = 0.5
 
 _HUMP = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 _DASHES = re.compile(r"[-_]+")
@@ -121,14 +136,14 @@ def hidden(attributes: list[tuple]) -> bool:
     return False
 
 
-def unwanted(tag: str, attributes: list[tuple], inside: bool) -> bool:
-    """Whether a name says that an element is no article text; ``inside`` an article or main.
+def unwanted(tag: str, attributes: list[tuple], place: str) -> bool:
+    """Whether a name says that an element is no article text; ``place``: "article", "main" or "".
 
     Headings and inline elements are text of what they stand in, whatever their
     names; outside articles an inline element may be an advert by its class.
     """
     inline = tag not in BLOCKS or tag in HEADINGS
-    if inline and inside:
+    if inline and place:
         return False
     for name, value in attributes:
         if name not in ("class", "id", "role") or not value:
@@ -138,12 +153,22 @@ def unwanted(tag: str, attributes: list[tuple], inside: bool) -> bool:
         elif inline:
             words = ADVERTS if name == "class" else frozenset()
         elif name == "id":
-            words = frozenset() if tag in ANCHORED else UNAMBIGUOUS if inside else UNWANTED
+            words = frozenset() if tag in ANCHORED else UNAMBIGUOUS if place else UNWANTED
         else:
-            words = UNAMBIGUOUS_CLASSES if inside else UNWANTED
+            words = UNAMBIGUOUS_CLASSES if place else UNWANTED
         if words and not words.isdisjoint(_names(value)):
             return True
-    return False
+    return place == "main" and bool(suspicion(tag, attributes))
+
+
+def suspicion(tag: str, attributes: list[tuple]) -> str:
+    """The kind of block that a container's whole name suggests: "comment", "side" or none."""
+    if tag not in CONTAINERS:
+        return ""
+    names = {n for name, value in attributes if name in ("class", "id", "role") and value for n in _names(value)}
+    if names & COMMENTS:
+        return "comment"
+    return "side" if names & SUSPECT else ""
 
 
 class _Lines(HTMLParser):
@@ -153,9 +178,18 @@ class _Lines(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple] = []  # name, section, skipped
         self.sections = [-1]  # parent of each section; 0 is the page
-        self.main: set[int] = set()
+        self.main: set[int] = set()  # in an article or main
+        self.articles: set[int] = set()  # in an article
         self.lines: list[tuple] = []  # text, tags, section
         self.links_only: list[bool] = []  # of each line
+        # Suspect blocks in articles: kind and place among their likes; the outermost one of each line.
+        self.suspects: list[tuple] = []
+        self.suspect_of: list[int] = []
+        self.suspect = -1
+        self.linked: list[int] = []  # characters in links of each line
+        self.linked_now = 0
+        self.open: Counter = Counter()
+        self.elements = 0
         self.parts: list[str] = []
         self.tags = 0
         self.in_link = False
@@ -166,12 +200,17 @@ class _Lines(HTMLParser):
         if text:
             self.lines.append((text, self.tags, self.stack[-1][1] if self.stack else 0))
             self.links_only.append(not self.plain)
-        self.parts, self.tags, self.plain = [], 0, False
+            self.suspect_of.append(self.suspect)
+            self.linked.append(self.linked_now)
+        self.parts, self.tags, self.plain, self.linked_now = [], 0, False, 0
 
     def pop_to(self, at: int):
         while len(self.stack) > at:
             self.flush() if self.stack[-1][0] in BLOCKS else None
-            if self.stack.pop()[0] == "a":
+            name, *_, suspect, _ = self.stack.pop()
+            self.open[name] -= 1
+            self.suspect = suspect
+            if name == "a":
                 self.in_link = False
 
     def close(self):
@@ -180,6 +219,8 @@ class _Lines(HTMLParser):
         self.flush()
 
     def _end_open(self, names: tuple, scope: frozenset):
+        if not any(self.open[n] for n in names):
+            return
         for at in range(len(self.stack) - 1, -1, -1):
             if self.stack[at][0] in names:
                 self.pop_to(at)
@@ -203,18 +244,30 @@ class _Lines(HTMLParser):
             return
         section, skipped = (self.stack[-1][1], self.stack[-1][2]) if self.stack else (0, False)
         inside = section in self.main
+        place = "article" if section in self.articles else "main" if inside else ""
         if tag in SECTIONS and not skipped:
             self.sections.append(section)
             section = len(self.sections) - 1
             if inside or tag in ("article", "main") or ("role", "main") in attrs:
                 self.main.add(section)
+            if place == "article" or tag == "article":
+                self.articles.add(section)
         skipped = skipped or tag in SKIPPED or tag == "header" and not inside
         if attrs and not skipped and tag not in ("html", "body", "main"):
-            skipped = hidden(attrs) or unwanted(tag, attrs, inside)
-        self.stack.append((tag, section, skipped))
+            skipped = hidden(attrs) or unwanted(tag, attrs, place)
+        before = self.suspect
+        if before < 0 and place == "article" and not skipped and (kind := suspicion(tag, attrs)):
+            # Likes are the suspects of one kind with the same parent element.
+            self.suspects.append((kind, (kind, self.stack[-1][4] if self.stack else 0)))
+            self.suspect = len(self.suspects) - 1
+        self.elements += 1
+        self.open[tag] += 1
+        self.stack.append((tag, section, skipped, before, self.elements))
 
     def handle_endtag(self, tag):
         self.tags += tag not in FORMULA
+        if not self.open[tag]:
+            return
         for at in range(len(self.stack) - 1, -1, -1):
             if self.stack[at][0] == tag:
                 self.pop_to(at)
@@ -223,6 +276,8 @@ class _Lines(HTMLParser):
     def handle_data(self, data):
         if not (self.stack and self.stack[-1][2]):
             self.parts.append(data)
+            if self.in_link:
+                self.linked_now += len("".join(data.split()))
             self.plain = self.plain or not self.in_link and any(map(str.isalnum, data))
 
 
@@ -238,13 +293,40 @@ def smoothed(values: list[float], sigma: float = SIGMA) -> list[float]:
     return out
 
 
+def cluster_threshold(lines: list[tuple]) -> tuple[list[float], float]:
+    """Smoothed ratios of text to tags and the half of their mean."""
+    ratios = smoothed([len(text) / max(1, tags) for text, tags, _ in lines])
+    return ratios, sum(ratios) / max(1, len(ratios)) / 2
+
+
 def content_lines(lines: list[tuple]) -> list[bool]:
     """Lines of the content cluster: smoothed ratio above half of its mean."""
-    ratios = smoothed([len(text) / max(1, tags) for text, tags, _ in lines])
-    threshold = sum(ratios) / max(1, len(ratios)) / 2
+    ratios, threshold = cluster_threshold(lines)
     return [r >= threshold for r in ratios]
 
 
+def dropped_suspects(parser: _Lines) -> set[int]:
+    """The suspect blocks in articles whose text agrees with their name.
+
+    Those are lists of links, blocks whose own ratio of text to tags is below the
+    cluster's threshold, and comments that stand beside each other.
+    """
+    threshold = cluster_threshold(parser.lines)[1]
+    characters, linked, tags = Counter(), Counter(), Counter()
+    for (text, n, _), block, links in zip(parser.lines, parser.suspect_of, parser.linked, strict=True):
+        characters[block] += len(text)
+        linked[block] += links
+        tags[block] += max(1, n)
+    likes = Counter(group for kind, group in parser.suspects)
+    return {
+        block
+        for block, (kind, group) in enumerate(parser.suspects)
+        if linked[block] >= LINKED * characters[block]
+        or characters[block] < threshold * tags[block]
+        or kind == "comment" and likes[group] > 1
+    }
+
+
 def content_region(parser: _Lines, chosen: list[bool]) -> list[bool]:
     """Sections that are returned, from the lines of the content cluster."""
     parents = parser.sections
@@ -289,7 +371,12 @@ def extract(html: str | None) -> str:
     if not lines:
         return ""
     kept = content_region(parser, content_lines(lines))
-    return "\n".join(text for text, _, section in lines if kept[section])
+    dropped = dropped_suspects(parser) if parser.suspects else ()
+    return "\n".join(
+        text
+        for (text, _, section), block in zip(lines, parser.suspect_of, strict=True)
+        if kept[section] and block not in dropped
+    )
 
 
 def extract_pages(

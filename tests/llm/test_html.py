@@ -1,5 +1,6 @@
 import html as entities
 import re
+import time
 
 import duckdb
 from kotonoha.llm import html
@@ -76,6 +77,56 @@ def test_everyday_words_as_names_in_an_article():
     assert html.extract(f"<body>{around}<div>{text}</div></body>").split("\n") == ["Search", "The share", "see # c"]
 
 
+TEXT = "Some words that make up a paragraph of the text, one of several. " * 6
+
+
+def test_a_main_part_is_no_licence():
+    around = "<div class=sidebar><p>About this site and its authors</p></div><div class=menu><a href=x>Home</a></div><div class=footer>Imprint</div>"
+    page = f"<body><main><div class=content><h1>Title</h1><p>{TEXT}</p><p>End.</p></div>{around}</main></body>"
+    assert html.extract(page).split("\n") == ["Title", TEXT.strip(), "End."]
+    assert html.extract(page.replace("<main>", "<div role=main>").replace("</main>", "</div>")).split("\n") == ["Title", TEXT.strip(), "End."]
+    beside = f"<div class=comment><p>{TEXT}</p></div><div class=related><p>{TEXT}</p></div><div class=notice><p>We use cookies on this page</p></div>"
+    page = f"<body><main><article><h1>Title</h1><p>{TEXT}</p><p>End.</p></article>{beside}</main></body>"
+    assert html.extract(page).split("\n") == ["Title", TEXT.strip(), "End."]
+
+
+def test_named_blocks_in_an_article_go_where_their_text_agrees():
+    def lines(block):
+        return html.extract(f"<article><h1>Title</h1><p>{TEXT}</p>{block}<p>{TEXT}</p><p>End.</p></article>").split("\n")
+
+    plain = lines("")
+    for block in (
+        "<div class=notice><p>We use cookies on this page</p></div>",
+        "<div class=comment><p>Nice post mate!</p></div>",
+        "<div id=comments><p>Nice post mate!</p><p>Thanks</p></div>",
+        "<div class=promo>Buy now</div>",
+        "<div class=sidebar><ul><li>One<li>Two</ul></div>",
+        f"<div class=sidebar><p><a href=x>{TEXT}</a></p></div>",
+        f"<div><div class=comment><p>{TEXT}</p></div><div class=comment><p>{TEXT} Really.</p></div></div>",
+        "<ul class=menu><li><a href=x>Home</a><li><a href=y>News</a></ul>",
+    ):
+        assert lines(block) == plain, block
+    # Long text of its own stays, as do headings, paragraphs and sections of any name.
+    for block in (
+        f"<div class=notice><p>{TEXT}</p></div>",
+        "<section class=notice>One month</section>",
+        "<h2 class=menu>Menu</h2>",
+        "<p class=comment>A remark</p>",
+        "<div class=alert>Mind the step</div>",
+    ):
+        assert len(lines(block)) == len(plain) + 1, block
+
+
+def test_stray_end_tags_in_linear_time():
+    def seconds(n):
+        begin = time.process_time()
+        assert html.extract("<div>" * n + "x" + "</span>" * n) == "x"
+        return time.process_time() - begin
+
+    seconds(1000)
+    assert seconds(40_000) < 4
+
+
 def test_smoothing_and_clusters():
     assert html.smoothed([5.0, 5.0, 5.0]) == [5.0, 5.0, 5.0]
     lines = [("x", 4, 0), ("y", 4, 0), ("z", 4, 0), ("z", 4, 0), ("w" * 300, 1, 0), ("v" * 300, 1, 0)]
