@@ -4,8 +4,9 @@ A template is wording with marked regions: ``<<opt>> ... <</opt>>`` may be left
 out, ``<<any:n>>`` stands for up to n words of any kind. A template compiles
 into a token automaton (states are places in the template, moves read one word),
 and a text carries the license if the automaton accepts some stretch of it, that
-is, if all mandatory words stand there exactly and in order. Words are runs of
-ASCII letters, digits and non-ASCII characters with A-Z in lower case.
+is, if all mandatory words stand there exactly and in order. Licenses are here
+in full, so an opening clause that goes on otherwise is no license. Words are
+runs of ASCII letters, digits and non-ASCII characters with A-Z in lower case.
 """
 
 from __future__ import annotations
@@ -18,6 +19,10 @@ from pyspark.sql import DataFrame
 
 from kotonoha.llm.common import WORD_BYTES, scored_texts, utf8
 
+def words_of(text: str | None) -> list[bytes]:
+    return utf8(text).translate(WORD_BYTES).split()
+
+
 # Base phrases and their labels.
 PHRASES = {
     "gnu general public license": "gpl",
@@ -26,59 +31,106 @@ PHRASES = {
     "mit license": "mit",
 }
 
-# Label and mandatory wording of public licenses and their notices.
-TEMPLATES = [
-    ("apache-2.0", "licensed under the apache license <<opt>>version<</opt>> 2 0"),
-    (
-        "apache-2.0",
-        "licensed under the apache license version 2 0 the license you may not use this file except in "
-        "compliance with the license",
-    ),
-    ("mit", "<<opt>>is<</opt>> <<opt>>released under<</opt>> <<opt>>licensed under<</opt>> the mit license"),
-    (
-        "mit",
-        "permission is hereby granted free of charge to any person obtaining a copy of this software and "
-        "associated documentation files the software to deal in the software without restriction",
-    ),
-    (
-        "gpl-3.0",
-        "<<opt>>this work is<</opt>> licensed under the <<opt>>terms of the<</opt>> gnu general public license "
-        "<<opt>>as published by the free software foundation<</opt>> <<opt>>either<</opt>> version 3",
-    ),
-    (
-        "gpl-2.0",
-        "<<opt>>this work is<</opt>> licensed under the <<opt>>terms of the<</opt>> gnu general public license "
-        "<<opt>>as published by the free software foundation<</opt>> <<opt>>either<</opt>> version 2",
-    ),
-    (
-        "gpl-notice",
-        "free software you can redistribute it and or modify it under the terms of the gnu <<opt>>lesser<</opt>> "
-        "<<opt>>affero<</opt>> general public license as published by the free software foundation",
-    ),
-    ("cc-by-nc-4.0", "licensed under <<any:6>> cc by nc <<opt>>4 0<</opt>>"),
-    ("cc-by-sa", "licensed under <<any:6>> cc by sa"),
-    ("cc-by-4.0", "licensed under <<any:6>> cc by 4 0"),
-    ("cc-by-nc-4.0", "creative commons attribution noncommercial 4 0 <<opt>>international<</opt>>"),
-    ("cc-by-4.0", "creative commons attribution 4 0 <<opt>>international<</opt>>"),
-    (
-        "bsd",
-        "redistribution and use in source and binary forms with or without modification are permitted provided "
-        "that the following conditions are met",
-    ),
-    (
-        "isc",
-        "permission to use copy modify and or distribute this software for any purpose with or without fee is "
-        "hereby granted",
-    ),
-    ("mpl-2.0", "subject to the terms of the mozilla public license v 2 0"),
-    ("apache-2.0", "spdx license identifier apache 2 0"),
-    ("mit", "spdx license identifier mit"),
-    ("gpl-3.0", "spdx license identifier gpl 3 0 <<opt>>only<</opt>> <<opt>>or later<</opt>>"),
-]
-
 _MARK = re.compile(r"<<opt>>|<</opt>>|<<any:\d+>>|[^\s<]+")
 
 
+def wording(text: str) -> str:
+    """A template's text as its plain words and marks."""
+    parts = re.split(r"(<<[^>]*>>)", text)
+    return " ".join(p if p.startswith("<<") else " ".join(w.decode() for w in words_of(p)) for p in parts).strip()
+
+
+# Public licenses in full, with the parts that users replace or leave out.
+_MIT = """
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
+rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit
+persons to whom the Software is furnished to do so, subject to the following conditions:
+The above copyright notice and this permission notice <<opt>>(including the next paragraph)<</opt>> shall be included in
+all copies or substantial portions of the Software.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL <<any:12>> BE
+LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT
+OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
+"""
+_BSD_CONDITIONS = """
+Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+following conditions are met: <<any:1>>
+Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer. <<any:1>>
+Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+disclaimer in the documentation and/or other materials provided with the distribution.
+"""
+_BSD_NAMES = """
+<<any:1>> Neither the name of <<any:12>> nor the names of its contributors may be used to endorse or promote products
+derived from this software without specific prior written permission.
+"""
+_BSD_DISCLAIMER = """
+THIS SOFTWARE IS PROVIDED BY <<any:12>> "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL <<any:12>>
+BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED
+TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED
+AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE)
+ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.
+"""
+_ISC = """
+Permission to use, copy, modify, and<<opt>>/or<</opt>> distribute this software for any purpose with or without fee is
+hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
+THE SOFTWARE IS PROVIDED "AS IS" AND <<any:8>> DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED
+WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL <<any:8>> BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR
+CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF
+CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.
+"""
+_APACHE_NOTICE = """
+Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the
+License. You may obtain a copy of the License at <<any:10>>
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS
+IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific
+language governing permissions and limitations under the License.
+"""
+_GPL_NOTICE = """
+free software<<opt>>;<</opt>> you can redistribute it and/or modify it under the terms of the GNU <<opt>>Lesser<</opt>>
+<<opt>>Affero<</opt>> General Public License as published by the Free Software Foundation<<opt>>, either version<</opt>>
+<<any:12>> This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the
+implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU <<opt>>Lesser<</opt>>
+<<opt>>Affero<</opt>> General Public License for more details.
+"""
+
+# Label and wording; licenses and notices in full, then sentences that grant one by its name.
+TEMPLATES = [
+    (label, wording(text))
+    for label, text in (
+        ("mit", _MIT),
+        ("bsd-2-clause", _BSD_CONDITIONS + _BSD_DISCLAIMER),
+        ("bsd-3-clause", _BSD_CONDITIONS + _BSD_NAMES + _BSD_DISCLAIMER),
+        ("isc", _ISC),
+        ("apache-2.0", _APACHE_NOTICE),
+        ("gpl-notice", _GPL_NOTICE),
+        ("apache-2.0", "licensed under the <<opt>>terms of the<</opt>> Apache License, <<opt>>Version<</opt>> 2.0"),
+        ("mit", "licensed under the <<opt>>terms of the<</opt>> MIT License"),
+        ("mit", "released under the <<opt>>terms of the<</opt>> MIT License"),
+        (
+            "gpl-3.0",
+            "licensed under the <<opt>>terms of the<</opt>> GNU General Public License <<opt>>as published by the Free "
+            "Software Foundation,<</opt>> <<opt>>either<</opt>> version 3",
+        ),
+        (
+            "gpl-2.0",
+            "licensed under the <<opt>>terms of the<</opt>> GNU General Public License <<opt>>as published by the Free "
+            "Software Foundation,<</opt>> <<opt>>either<</opt>> version 2",
+        ),
+        ("cc-by-nc-4.0", "licensed under <<any:6>> CC BY-NC <<opt>>4.0<</opt>>"),
+        ("cc-by-sa", "licensed under <<any:6>> CC BY-SA"),
+        ("cc-by-4.0", "licensed under <<any:6>> CC BY 4.0"),
+        ("cc-by-nc-4.0", "licensed under <<any:6>> Creative Commons Attribution-NonCommercial 4.0 <<opt>>International<</opt>>"),
+        ("cc-by-4.0", "licensed under <<any:6>> Creative Commons Attribution 4.0 <<opt>>International<</opt>>"),
+        ("mpl-2.0", "subject to the terms of the Mozilla Public License, v. 2.0"),
+        ("apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
+        ("mit", "SPDX-License-Identifier: MIT"),
+        ("gpl-3.0", "SPDX-License-Identifier: GPL-3.0 <<opt>>only<</opt>> <<opt>>or-later<</opt>>"),
+    )
+]
+
 @dataclass(frozen=True)
 class Automaton:
     """Moves by word and moves by any word from each state; the last state accepts."""
@@ -148,10 +200,10 @@ def compile_template(label: str, template: str) -> Automaton:
 def accepts(automaton: Automaton, words: list[bytes], begin: int) -> bool:
     """Whether a stretch that begins at a word is accepted."""
     states = automaton.start
-    for word in words[begin:]:
+    for at in range(begin, len(words)):
         following = set()
         for s in states:
-            following |= automaton.words[s].get(word, frozenset())
+            following |= automaton.words[s].get(words[at], frozenset())
             following.update(automaton.any_word[s])
         if automaton.accept in following:
             return True
@@ -161,37 +213,80 @@ def accepts(automaton: Automaton, words: list[bytes], begin: int) -> bool:
     return False
 
 
+def mandatory(template: str) -> list[str]:
+    """Words outside all optional regions, each once."""
+    depth, found = 0, {}
+    for mark in _MARK.findall(template):
+        depth += (mark == "<<opt>>") - (mark == "<</opt>>")
+        if not depth and not mark.startswith("<<"):
+            found[mark] = None
+    return list(found)
+
+
 class LicenseScanner:
-    """Base phrases and templates over the words of a text."""
+    """Base phrases and all templates over the words of a text, in one pass.
+
+    The automata run side by side as one: its states are those of all templates,
+    and at every word new runs may begin beside the open ones. Words are read one
+    by one only while a run is open or where one may begin.
+    """
 
     def __init__(self, phrases: dict[str, str] = PHRASES, templates: list[tuple] = TEMPLATES):
         self.phrases = [(p.encode().split(), label) for p, label in phrases.items()]
-        self.automata = [compile_template(*t) for t in templates]
-        # A template can only match where one of its rarest mandatory words stands.
-        self.keys = frozenset([b"license", b"licensed", b"permission", b"redistribution", b"redistribute", b"cc", b"creative"])
-        if templates is not TEMPLATES or phrases is not PHRASES:
-            self.keys = None
+        self.words: list[dict] = []
+        self.any_word: list[frozenset] = []
+        self.begins: dict[bytes, frozenset] = {}
+        self.accepting: dict[int, str] = {}
+        for label, template in templates:
+            one, base = compile_template(label, template), len(self.words)
+            if any(one.any_word[s] for s in one.start):
+                raise ValueError("a template begins with a word of its own")
+            for moves, free in zip(one.words, one.any_word, strict=True):
+                self.words.append({w: frozenset(base + t for t in to) for w, to in moves.items()})
+                self.any_word.append(frozenset(base + t for t in free))
+            for s in one.start:
+                for word, to in self.words[base + s].items():
+                    self.begins[word] = self.begins.get(word, frozenset()) | to
+            self.accepting[base + one.accept] = label
+        # Nothing is found in a text without a long mandatory word of some template or phrase.
+        wordings = [mandatory(t) for _, t in templates] + [p.split() for p in phrases]
+        self.keys = frozenset(max(words, key=len).encode() for words in wordings)
+        self.first_words = frozenset(self.begins) | {phrase[0] for phrase, _ in self.phrases}
+
+    def _labels(self, words: list[bytes], places: list[int]) -> set[str]:
+        """Labels of the templates that accept some stretch; ``places`` are those of first words."""
+        found, active, at = set(), frozenset(), 0
+        accepting = self.accepting.keys()
+        for place in places:
+            if place < at:
+                continue  # read while a run was open
+            at, active = place, frozenset()
+            while at < len(words):
+                word = words[at]
+                following = set(self.begins.get(word, ()))
+                for state in active:
+                    following.update(self.words[state].get(word, ()), self.any_word[state])
+                found.update(self.accepting[s] for s in accepting & following)
+                at += 1
+                if not following:
+                    break
+                active = following
+        return found
 
     def scan(self, text: str | None) -> tuple:
         """(n_words, n_base, first, last, base labels, labels, score)."""
-        words = utf8(text).translate(WORD_BYTES).split()
-        if self.keys is not None and self.keys.isdisjoint(words):
+        words = words_of(text)
+        if self.keys.isdisjoint(words):
             return len(words), 0, None, None, "", "", 0.0
-        starts: dict[bytes, list[int]] = {}
-        for place, word in enumerate(words):
-            starts.setdefault(word, []).append(place)
+        first_words = self.first_words
+        begins = [i for i, w in enumerate(words) if w in first_words]
         places, base = [], set()
         for phrase, label in self.phrases:
-            found = [i for i in starts.get(phrase[0], ()) if words[i : i + len(phrase)] == phrase]
+            found = [i for i in begins if words[i] == phrase[0] and words[i : i + len(phrase)] == phrase]
             if found:
                 base.add(label)
                 places += found
-        by_template = set()
-        for automaton in self.automata:
-            if automaton.label in by_template:
-                continue
-            if any(accepts(automaton, words, i) for w in automaton.first_words for i in starts.get(w, ())):
-                by_template.add(automaton.label)
+        by_template = self._labels(words, begins)
         # Full wording is certain; a name alone may be a mere mention.
         score = 1.0 if by_template else 0.5 if base else 0.0
         return (
@@ -218,7 +313,8 @@ def scan_licenses(
     ``n_base`` counts the places of all base phrases, ``first_word`` and
     ``last_word`` are the smallest and largest word number at which one starts
     (missing where there is none). ``labels`` adds the labels of accepted
-    templates. The score is 1 for a full template, 0.5 for a name only, else 0.
+    templates. The score is 1 for a full template, 0.5 for a base phrase only,
+    which may be a mere mention, else 0. Time grows with the words of a text alone.
     A missing text counts as empty; every row, repeated or not, gives one row.
     """
 

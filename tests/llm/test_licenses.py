@@ -1,4 +1,6 @@
+import random
 import re
+import time
 
 from kotonoha.llm import licenses
 from tests.llm.helpers import empty_documents, odd_documents
@@ -40,6 +42,44 @@ def test_places_and_labels():
     assert scan("a plain text")[1:] == (0, None, None, "", "", 0.0)
 
 
+def test_whole_wordings():
+    scan = licenses.LicenseScanner().scan
+    mit = re.sub("<<any:12>>", "the authors or copyright holders", re.sub("<</?opt>>", "", licenses._MIT))
+    assert scan(f"Copyright X. {mit}")[5:] == ("mit", 1.0)
+    assert scan(mit.replace("without restriction", "with restriction"))[5:] == ("", 0.0)
+    opening = mit[: mit.index("including without")]
+    assert scan(opening + "except that no commercial use is allowed") [5:] == ("", 0.0)
+    assert scan("Unlike the MIT License, ours is strict")[4:] == ("mit", "mit", 0.5)
+    assert scan("It is released under the terms of the MIT License.")[4:] == ("mit", "mit", 1.0)
+    bsd = re.sub("<<any:12>>", "ACME and others", licenses._BSD_CONDITIONS + licenses._BSD_DISCLAIMER)
+    for mark in ("1.", "*", ""):
+        assert scan(re.sub("<<any:1>>", mark, bsd))[5:] == ("bsd-2-clause", 1.0)
+    names = re.sub("<<any:12>>", "ACME", licenses._BSD_CONDITIONS + licenses._BSD_NAMES + licenses._BSD_DISCLAIMER)
+    assert scan(re.sub("<<any:1>>", "", names))[5:] == ("bsd-3-clause", 1.0)
+
+
+def test_one_pass_equals_single_automata():
+    draw = random.Random(4)
+    templates = [("a", "x y <<opt>>z<</opt>> x"), ("b", "y <<any:2>> z"), ("c", "x x y"), ("d", "<<opt>>y<</opt>> z z")]
+    scanner = licenses.LicenseScanner({"x y": "p"}, templates)
+    automata = [licenses.compile_template(*t) for t in templates]
+    for _ in range(400):
+        words = [draw.choice([b"x", b"y", b"z", b"q"]) for _ in range(draw.randint(0, 14))]
+        want = {a.label for a in automata if any(licenses.accepts(a, words, i) for i in range(len(words)))}
+        places = [i for i, w in enumerate(words) if w in scanner.first_words]
+        assert scanner._labels(words, places) == want, words
+        labels = scanner.scan(b" ".join(words).decode())[5]
+        assert set(labels.split(",")) - {"", "p"} == want
+
+
+def test_long_texts_in_linear_time():
+    scan = licenses.LicenseScanner().scan
+    for text in ("the is this licensed under software " * 27_000, "licensed under a b c d cc by " * 20_000):
+        begin = time.process_time()
+        scan(text)
+        assert time.process_time() - begin < 1.5
+
+
 def test_every_template_has_a_key_word():
     keys = licenses.LicenseScanner().keys
     for _, template in licenses.TEMPLATES:
