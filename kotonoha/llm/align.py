@@ -20,9 +20,11 @@ occurs everywhere is one row per block.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,13 +39,19 @@ BLOCK_LINKS = 3_000_000
 GROUP_CHARACTERS = 1_000_000
 # A longer text is given to sentencepiece in parts of about this many characters.
 PART_CHARACTERS = 50_000
+# Distinct words whose ids a worker remembers; beyond it, it starts anew.
+KNOWN_WORDS = 800_000
 SPACE_MARK = "▁"
 
 _TOKENS = ("n_a", "n_b", "n_groups", "n_links")
 
 
 class PieceEncoder:
-    """Ids of a text through a sentencepiece file that adds a space in front."""
+    """Ids of texts through a sentencepiece file that adds a space in front.
+
+    Where no piece goes on behind a space, no merge crosses into one, and a text
+    with single spaces is the sum of its words; their ids are remembered.
+    """
 
     def __init__(self, path: str):
         import sentencepiece
@@ -54,8 +62,11 @@ class PieceEncoder:
             bytes([int(p[3:5], 16)]) if self._model.is_byte(i) else p.replace(SPACE_MARK, " ").encode()
             for i, p in enumerate(pieces)
         ]
-        # Without a piece that goes on behind a space, no merge crosses into one.
         self._cuts = not any(SPACE_MARK in p.lstrip(SPACE_MARK) for p in pieces)
+        self._opens = np.array([p.startswith(SPACE_MARK) for p in pieces])
+        # Word -> its ids as little-endian 32-bit words; words that do not come back.
+        self._known: dict[str, bytes] = {}
+        self._lost: set[str] = set()
 
     def _parts(self, text: str) -> Iterator[str]:
         """Parts that are encoded alike alone: each but the first lost the space in front of it."""
@@ -70,12 +81,42 @@ class PieceEncoder:
             start = cut + 1
         yield text[start:]
 
-    def encode_many(self, texts: list[str]) -> list[list[int]]:
-        found = self._model.encode([t if len(t) <= PART_CHARACTERS else "" for t in texts], num_threads=1)
-        for i, text in enumerate(texts):
-            if len(text) > PART_CHARACTERS:
-                found[i] = [x for part in self._parts(text) for x in self._model.encode(part)]
-        return found
+    def _comes_back(self, text: str, ids: list[int]) -> bool:
+        whole = (" " + text).encode("utf-8", "surrogatepass")
+        return b"".join(map(self.token_bytes.__getitem__, ids)) == whole
+
+    def _learn(self, words: list[str]) -> None:
+        """Ids of new words from one text of them, in which every word starts with a space."""
+        text = " ".join(words)
+        ids = [x for part in self._parts(text) for x in self._model.encode(part)]
+        if not self._comes_back(text, ids):
+            for word in words:
+                ids = self._model.encode(word)
+                self._known[word] = array("I", ids).tobytes()
+                if not self._comes_back(word, ids):
+                    self._lost.add(word)
+            return
+        ids = np.array(ids, "<u4")
+        begins = np.flatnonzero(self._opens[ids]) * 4
+        held, ends = ids.tobytes(), [*begins[1:].tolist(), 4 * len(ids)]
+        self._known.update((w, held[i:j]) for w, i, j in zip(words, begins.tolist(), ends, strict=True))
+
+    def encode(self, text: str) -> np.ndarray | None:
+        """Ids of the text; None where they do not give back a space and the text."""
+        if not self._cuts or "  " in text or SPACE_MARK in text or text[0] == " " or text[-1] == " ":
+            ids = [x for part in self._parts(text) for x in self._model.encode(part)]
+            return np.array(ids, np.int64) if self._comes_back(text, ids) else None
+        if len(self._known) > KNOWN_WORDS:
+            self._known.clear()
+            self._lost.clear()
+        words = text.split(" ")
+        rows = list(map(self._known.get, words))
+        if None in rows:
+            self._learn([w for w, r in {w: r for w, r in zip(words, rows, strict=True)}.items() if r is None])
+            rows = list(map(self._known.__getitem__, words))
+        if self._lost and not self._lost.isdisjoint(words):
+            return None
+        return np.frombuffer(b"".join(rows), "<u4").astype(np.int64)
 
 
 def gallop(short: np.ndarray, long: np.ndarray) -> np.ndarray:
@@ -156,25 +197,27 @@ class Aligner:
         self._a = ByteLevelBpe(path_a, specials=False)
         self._b = PieceEncoder(path_b)
         words_a = [self._a.token_bytes.get(i, b"") for i in range(max(self._a.token_bytes) + 1)]
-        self._bytes = (words_a, self._b.token_bytes)
-        self._sizes = tuple(np.array(list(map(len, words)), np.int64) for words in self._bytes)
-        # Decimal id and what follows it in a list of groups: the same side, the other, the next group.
-        self._marks = tuple(
-            [f"{i}{mark}".encode() for i in range(len(words)) for mark in marks]
-            for words, marks in zip(self._bytes, (",|", ",;"), strict=True)
+        self._sizes = tuple(np.array(list(map(len, w)), np.int64) for w in (words_a, self._b.token_bytes))
+        # Decimal id and what follows it in a list of groups: the same side, the other,
+        # the next group. A's ids count from the front, B's from the back.
+        marks_a, marks_b = (
+            [f"{i}{mark}".encode() for i in range(len(sizes)) for mark in marks]
+            for sizes, marks in zip(self._sizes, (",|", ",;"), strict=True)
         )
+        self._marks = marks_a + marks_b[::-1]
 
     def tokens(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
         """Ids of both sides; None where either does not give back the bytes of the text."""
         found = []
-        for text, pieces in zip(texts, self._b.encode_many(texts), strict=True):
-            ids = self._a.encode(" " + text) if text else ()
-            whole = (" " + text).encode("utf-8", "surrogatepass")
-            same = text and all(
-                b"".join(map(words.__getitem__, side)) == whole
-                for words, side in zip(self._bytes, (ids.tolist(), pieces), strict=True)
-            )
-            found.append((ids.astype(np.int64), np.array(pieces, np.int64)) if same else None)
+        for text in texts:
+            pieces = self._b.encode(text) if text else None
+            if pieces is None:
+                found.append(None)
+                continue
+            # Byte-level tokens cover the bytes that they are given; their number tells.
+            ids = self._a.encode(" " + text).astype(np.int64)
+            same = self._sizes[0][ids].sum() == self._sizes[1][pieces].sum()
+            found.append((ids, pieces) if same else None)
         return found
 
     def align(self, texts: list[str]) -> tuple[dict[str, list], np.ndarray, np.ndarray]:
@@ -231,25 +274,32 @@ class Aligner:
             # Codes of the second side are negative, counted from -1.
             code = 2 * ids[side] + last
             order[np.arange(len(code)) + ahead[group]] = code if side == 0 else -1 - code
-        marks_a, marks_b = self._marks
         starts = (bounds[0] + bounds[1]).tolist()
         for i, j in zip(starts, starts[1:], strict=False):
             part = order[i:j].tolist()
-            text = b"".join([marks_a[c] if c >= 0 else marks_b[-1 - c] for c in part])
+            text = b"".join(map(self._marks.__getitem__, part))
             yield hashlib.sha256(text[:-1]).hexdigest()
 
 
 def pack_ranks(rows: np.ndarray, ranks: np.ndarray, documents: int) -> tuple[bytes, np.ndarray]:
     """Ranks of every document in growing order as compressed steps, and where documents end."""
-    order = np.argsort(ranks, kind="stable")
-    order = order[np.argsort(rows[order], kind="stable")]
-    steps = np.diff(ranks[order], prepend=0).astype("<i4")
+    width = int(ranks.max(initial=0)) + 1
+    steps = np.diff(np.sort(rows * width + ranks) % width, prepend=0).astype("<i4")
     # Like bytes together: most steps are short.
     planes = steps.view(np.uint8).reshape(-1, 4).T.tobytes()
     ends = np.cumsum(np.bincount(rows, minlength=documents))
     return pa.compress(planes, "zstd", asbytes=True), ends
 
 
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(values in order, the rank of each given one, how often each stands there)."""
+    codes, found = pd.factorize(values)
+    order = np.argsort(found)
+    ranks = np.empty(len(found), np.int64)
+    ranks[order] = np.arange(len(found))
+    return found[order], ranks[codes], np.bincount(codes, minlength=len(found))[order]
+
+
 def unpack_ranks(held: bytes, n: int) -> np.ndarray:
     planes = pa.decompress(held, 4 * n, "zstd", asbytes=True)
     steps = np.frombuffer(planes, np.uint8).reshape(4, -1).T.copy().view("<i4")
@@ -277,10 +327,8 @@ def _blocks(docs: DataFrame, path_a: str, path_b: str, id_col: str, text_col: st
 
         def flush():
             nonlocal n_docs, n_links
-            found, ranks, times = np.unique(
-                np.concatenate(pairs), return_inverse=True, return_counts=True
-            )
-            held, ends = pack_ranks(np.concatenate(rows), ranks.ravel(), n_docs)
+            found, ranks, times = distinct(np.concatenate(pairs))
+            held, ends = pack_ranks(np.concatenate(rows), ranks, n_docs)
             lists = {
                 "ids": pa.concat_arrays(ids),
                 **{n: pa.array(v, pa.string() if n == "groups_sha256" else pa.int64()) for n, v in outputs.items()},

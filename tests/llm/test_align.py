@@ -125,9 +125,21 @@ def test_whole_answer(spark, monkeypatch, block_links):
 
 def test_parts_of_a_long_text(monkeypatch):
     texts = [prose(3, 400), "a  b   c " * 50, "x" * 500, " " * 300, "one\n two " * 60, "▁ a ▁b" * 40]
-    whole = aligner()._b.encode_many(texts)
-    monkeypatch.setattr(align, "PART_CHARACTERS", 37)
-    assert aligner()._b.encode_many(texts) == whole == [libraries()[1].encode(t) for t in texts]
+    model = aligner()._b
+    for characters in (37, 10**6):
+        monkeypatch.setattr(align, "PART_CHARACTERS", characters)
+        for text in texts:
+            parts = [x for part in model._parts(text) for x in model._model.encode(part)]
+            assert parts == libraries()[1].encode(text)
+
+
+def test_words_are_the_text(monkeypatch):
+    monkeypatch.setattr(align, "KNOWN_WORDS", 40)
+    model = align.PieceEncoder(PATH_B)
+    for text in [t for t in ODD if t] + [prose(3, 90), "a\nb c\u2028d é", "lost \u2581 x", "one two  three"]:
+        found, plain = model.encode(text), tokens_of(text)[1]
+        same = b"".join(b for _, b in plain) == (" " + text).encode()
+        assert found.tolist() == [i for i, _ in plain] if same else found is None
 
 
 def test_ranks_come_back():
