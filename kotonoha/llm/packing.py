@@ -113,9 +113,9 @@ class ChunkEncoder:
         else:
             words = _WORDS.findall(unicodedata.normalize("NFC", joined).lower())
         words.append("\n")
-        ids = self._merges.encode_to_numpy(_WORD_END.join(words))
+        ids = np.array(self._merges.encode_ordinary(_WORD_END.join(words)), "<u4")
         ends = np.flatnonzero(ids == self._line_id) * 4
-        held = ids.astype("<u4", copy=False).tobytes()
+        held = ids.tobytes()
         begins = [0, *(ends[:-1] + 4).tolist()]
         self._known.update(
             (c, held[i:j]) for c, i, j in zip(chunks, begins, ends.tolist(), strict=True)
