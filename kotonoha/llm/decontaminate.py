@@ -10,7 +10,9 @@ in the large one. Items are partitioned by size into powers of two. All items of
 a class get the same sketch length: the k smallest hashes of their shingles,
 where k is one more than the largest item of the class may miss. A document that
 holds enough of an item can then miss at most k - 1 of the minima, so the search
-loses nothing; candidates are verified by exact containment on the words.
+loses nothing. Each class has a table of its minima alone; a document's shingles
+are looked up in these, and only items with enough minima there are candidates,
+whose other shingles are then counted in the document, word by word.
 
 The documents are never shuffled. Items travel as a broadcast of bounded size;
 a larger benchmark is searched in blocks, one pass over the documents each.
@@ -66,89 +68,109 @@ def _codes(windows: np.ndarray, seed: int) -> np.ndarray:
     return code
 
 
+class SizeClass:
+    """The minima of the items of one size class, and the items that each belongs to."""
+
+    def __init__(self, members: list[tuple[int, np.ndarray]], needed: np.ndarray):
+        codes = np.concatenate([c for _, c in members])
+        owners = np.concatenate([np.full(len(c), item) for item, c in members])
+        order = np.argsort(codes, kind="stable")
+        self.codes, first = np.unique(codes[order], return_index=True)
+        self.owners = owners[order]
+        self.first = np.append(first, len(codes))
+        self.needed = needed
+
+    def candidates(self, present: np.ndarray, items: int) -> np.ndarray:
+        """Items of the class with enough minima among a document's distinct codes."""
+        at = np.searchsorted(self.codes, present)
+        at[at == len(self.codes)] = 0
+        at = at[self.codes[at] == present]
+        if not len(at):
+            return at
+        sizes = self.first[at + 1] - self.first[at]
+        spans = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(self.first[at], sizes)
+        hits = np.bincount(self.owners[spans], minlength=items)
+        return np.flatnonzero((hits >= self.needed) & (hits > 0))
+
+
 class ItemIndex:
-    """Shingles and sketches of a block of items, looked up by a document's words."""
+    """Items of a block by size class, looked up by a document's words.
+
+    ``looked_up`` counts codes of documents looked up in a table of minima,
+    ``verified`` shingles of candidates counted in a document.
+    """
 
     def __init__(self, items: list[tuple], threshold: float):
         self.keys = [key for key, _ in items]
         self.vocabulary: dict[bytes, int] = {}
+        self.looked_up = self.verified = 0
         number = self.vocabulary.setdefault
-        windows, owners = [], []
-        for owner, (_, text) in enumerate(items):
+        # Distinct shingles of each item as rows of word ids.
+        self.shingles = []
+        for _, text in items:
             ids = np.array([number(w, len(self.vocabulary) + 1) for w in words_of(text)], np.int64)
-            rows = np.unique(_windows(ids), axis=0) if len(ids) else np.zeros((0, SHINGLE), np.int64)
-            windows.append(rows)
-            owners.append(np.full(len(rows), owner))
-        table = np.concatenate(windows) if windows else np.zeros((0, SHINGLE), np.int64)
-        owner = np.concatenate(owners).astype(np.int64) if owners else np.zeros(0, np.int64)
-        self.shingles, which = np.unique(table, axis=0, return_inverse=True)
-        which = which.reshape(-1)
-        # Distinct shingles must have distinct codes, so that a code names one shingle.
+            self.shingles.append(np.unique(_windows(ids), axis=0) if len(ids) else np.zeros((0, SHINGLE), np.int64))
+        self.sizes = np.array([len(rows) for rows in self.shingles], np.int64)
+        misses = np.array([allowed_misses(int(n), threshold) for n in self.sizes], np.int64)
+        self.needed = self.sizes - misses
+        # An item's codes are distinct, so that a minimum stands for one shingle of it.
         seed = 1
         while True:
-            codes = _codes(self.shingles, seed)
-            order = np.argsort(codes, kind="stable")
-            if not (np.diff(codes[order]) == 0).any():
+            coded = [np.sort(_codes(rows, seed)) for rows in self.shingles]
+            if all((np.diff(c) != 0).all() for c in coded):
                 break
             seed += 1
-        self.seed, self.codes, self.code_rows = seed, codes[order], order
-        self.sizes = np.bincount(owner, minlength=len(items))
-        misses = [allowed_misses(int(n), threshold) for n in self.sizes]
-        self.needed = self.sizes - np.array(misses, np.int64)
-        # The sketch of an item: its k smallest codes, k by size class.
-        in_sketch = np.zeros(len(owner), bool)
-        minima = np.zeros(len(items), np.int64)
-        by_owner = np.lexsort((codes[which], owner))
-        starts = np.concatenate([[0], np.cumsum(self.sizes)])
+        self.seed = seed
+        by_class: dict[int, list] = {}
+        self.sketch_needed = np.zeros(len(items), np.int64)
         for item, n in enumerate(self.sizes.tolist()):
-            largest = (1 << n.bit_length()) - 1
-            k = min(n, allowed_misses(largest, threshold) + 1)
-            minima[item] = k
-            in_sketch[by_owner[starts[item] : starts[item] + k]] = True
-        self.sketch_needed = minima - np.array(misses, np.int64)
-        # For each shingle the items that hold it, and those that sketch it.
-        order = np.argsort(which, kind="stable")
-        self.holders = owner[order]
-        self.holder_sketch = in_sketch[order]
-        self.first = np.searchsorted(which[order], np.arange(len(self.shingles) + 1))
-
-    def _present(self, ids: np.ndarray) -> np.ndarray:
-        """Distinct shingles (row numbers) that stand in a sequence of word ids."""
-        windows = _windows(ids)
-        full = windows[(windows >= 0).all(axis=1)]  # -1: a word of no item
-        if not len(full) or not len(self.codes):
-            return np.zeros(0, np.int64)
-        codes = _codes(full, self.seed)
-        at = np.searchsorted(self.codes, codes)
-        at[at == len(self.codes)] = 0
-        hit = self.codes[at] == codes
-        rows = self.code_rows[at[hit]]
-        exact = (self.shingles[rows] == full[hit]).all(axis=1)
-        return np.unique(rows[exact])
-
-    def search(self, words: list[bytes]) -> list[tuple]:
-        """(key, size, found) of the items that the words hold."""
-        parts = []
+            if n:
+                largest = (1 << n.bit_length()) - 1
+                k = min(n, allowed_misses(largest, threshold) + 1)
+                self.sketch_needed[item] = k - misses[item]
+                by_class.setdefault(n.bit_length(), []).append((item, coded[item][:k]))
+        self.classes = [SizeClass(members, self.sketch_needed) for _, members in sorted(by_class.items())]
+
+    def _chunks(self, words: list[bytes]):
+        """Windows of a document whose words all stand in items, with their codes, piece by piece."""
         for start in range(0, max(1, len(words)), CHUNK_WORDS):
             some = words[start : start + CHUNK_WORDS + SHINGLE - 1]
             if start and len(some) < SHINGLE:
-                break
+                return
             ids = np.fromiter(map(self.vocabulary.get, some, repeat(-1)), np.int64, len(some))
-            parts.append(self._present(ids))
-        present = np.unique(np.concatenate(parts)) if len(parts) > 1 else parts[0]
+            windows = _windows(ids)
+            full = windows[(windows >= 0).all(axis=1)]  # -1: a word of no item
+            yield full, _codes(full, self.seed)
+
+    def search(self, words: list[bytes]) -> list[tuple]:
+        """(key, size, found) of the items that the words hold."""
+        chunks = list(self._chunks(words))
+        present = np.unique(np.concatenate([codes for _, codes in chunks]))
         if not len(present):
             return []
-        spans = [np.arange(self.first[p], self.first[p + 1]) for p in present]
-        spans = np.concatenate(spans)
-        holders = self.holders[spans]
-        hits = np.bincount(holders[self.holder_sketch[spans]], minlength=len(self.keys))
-        candidates = np.flatnonzero((hits >= self.sketch_needed) & (hits > 0))
-        if not len(candidates):
-            return []
-        found = np.bincount(holders, minlength=len(self.keys))
-        return [
-            (self.keys[i], int(self.sizes[i]), int(found[i])) for i in candidates if found[i] >= self.needed[i]
-        ]
+        self.looked_up += len(present) * len(self.classes)
+        found = []
+        for one in self.classes:
+            for item in one.candidates(present, len(self.keys)).tolist():
+                n = self._count(item, chunks)
+                if n >= self.needed[item]:
+                    found.append((self.keys[item], int(self.sizes[item]), n))
+        return found
+
+    def _count(self, item: int, chunks: list[tuple]) -> int:
+        """Shingles of an item that stand in the document, compared word by word."""
+        wanted = self.shingles[item]
+        self.verified += len(wanted)
+        codes = _codes(wanted, self.seed)
+        order = np.argsort(codes)
+        have = np.zeros(len(wanted), bool)
+        for windows, held in chunks:
+            at = np.searchsorted(codes[order], held)
+            at[at == len(codes)] = 0
+            hit = np.flatnonzero(codes[order][at] == held)
+            rows = order[at[hit]]
+            have[rows[(wanted[rows] == windows[hit]).all(axis=1)]] = True
+        return int(have.sum())
 
 
 # The index of a worker's last block: building it for every task would repeat the work.
@@ -241,4 +263,35 @@ def contained_items(
     return found.withColumnRenamed("_doc", id_col).withColumnRenamed("_item", item_name)
 
 
+def drop_holders(
+    docs: DataFrame,
+    items: DataFrame,
+    *,
+    threshold: float = THRESHOLD,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+) -> DataFrame:
+    """The rows whose text holds no item, all columns untouched, in one pass per block of items.
+
+    Missing texts hold nothing; every row is judged by itself, with or without an id.
+    """
+    spark = docs.sparkSession
+
+    def without(rest: DataFrame, block) -> DataFrame:
+        name = uuid.uuid4().hex
+
+        def run(batches):
+            index = _index(name, block, threshold)
+            for batch in slices(batches):
+                keep = [not index.search(words_of(text)) for text in column(batch, text_col)]
+                yield batch.filter(pa.array(keep, pa.bool_()))
+
+        return rest.mapInArrow(run, docs.schema)
+
+    for block in _blocks(items, item_col, item_text_col):
+        docs = without(docs, spark.sparkContext.broadcast(block))
+    return docs
+
+
 _ARROW = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}

@@ -66,12 +66,24 @@ def test_blocks_and_chunks_change_nothing(spark, monkeypatch):
     assert found == plain(docs, items)
 
 
-def test_the_sketch_drops_candidates():
-    items = [(k, prose(k, 40)) for k in range(30)]
+def test_only_minima_are_looked_up_and_candidates_verified():
+    items = [(k, prose(k, 40 if k % 2 else 200)) for k in range(60)]
     index = dc.ItemIndex(items, 0.8)
     assert (index.sketch_needed >= 1).all()
-    # A document with half of an item is no hit.
-    assert index.search(dc.words_of(" ".join(items[4][1].split()[:20]))) == []
+    # The tables hold the minima alone, a class for each power of two.
+    assert len(index.classes) == 2
+    minima = sum(len(c.owners) for c in index.classes)
+    assert minima < 0.5 * index.sizes.sum()
+    # Without an item in it a document costs its lookups, and no shingle is verified.
+    words = dc.words_of(prose(900, 3000))
+    assert index.search(words) == [] and index.verified == 0
+    # Few shingles of one item do not make it a candidate; the whole item does, alone.
+    part = dc.words_of(" ".join(items[4][1].split()[:30]))
+    assert index.search(part) == [] and index.verified == 0
+    before = index.looked_up
+    whole = dc.words_of(items[4][1])
+    assert index.search(whole) == [(4, 196, 196)] and index.verified == 196
+    assert index.looked_up - before <= len(whole) * len(index.classes)
 
 
 def test_odd_rows(spark):
