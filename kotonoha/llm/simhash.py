@@ -18,7 +18,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kotonoha.llm.common import LOWER_BYTES, column, free_names, slices, utf8
@@ -31,6 +31,8 @@ SEED = 42
 # hash, and has this many shards at most.
 TREE_SAMPLE = 50_000
 MAX_SHARDS = 4096
+# (id, hash) rows that are sent to all tasks; with more, texts are joined by a shuffle.
+BROADCAST_KEYS = 500_000
 # Fingerprints that are compared with each other directly.
 BLOCK = 1024
 # Cells of a comparison that are in memory at one time.
@@ -327,12 +329,30 @@ def keep_first(
     prints = cut_lineage(fingerprints(named, words=words, id_col="_row", text_col="_of_row"))
     row = F.col("_doc")
     value = F.struct(row["id"].isNull().alias("_no_id"), row["id"].alias("_id"), row["hash"].alias("_h"))
-    key, hashed, own, copy = free_names(docs.columns, "_key", "_hash", "_own", "_copy")
+    key, hashed, own, n, won = free_names(docs.columns, "_key", "_hash", "_own", "_n", "_won")
     first = _named_classes(prints, value, max_bits).select(
-        F.col("_component._id").alias(key), F.col("_component._h").alias(hashed)
+        F.col("_component._id").alias("_i"), F.col("_component._h").alias("_h"), F.lit(True).alias(won)
     )
+    # Thin rows decide; a text moves only where more is to go than can be sent to all tasks.
+    keys = prints.groupBy(row["id"].alias(key), row["hash"].alias(hashed)).agg(F.count(F.lit(1)).alias(n))
+    decided = cut_lineage(
+        keys.join(first.distinct(), F.col(key).eqNullSafe(F.col("_i")) & (F.col(hashed) == F.col("_h")), "left")
+    )
+    same = F.col(id_col).eqNullSafe(F.col(key)) & (F.col(own) == F.col(hashed))
     kept = docs.withColumn(own, F.xxhash64(text_col)).join(
-        first.distinct(), F.col(id_col).eqNullSafe(F.col(key)) & (F.col(own) == F.col(hashed))
+        _small(decided.where(F.col(won).isNull()).select(key, hashed)), same, "left_anti"
     )
-    copies = Window.partitionBy(key, hashed).orderBy(own)
-    return kept.withColumn(copy, F.row_number().over(copies)).where(F.col(copy) == 1).select(*docs.columns)
+    repeated = decided.where(F.col(won) & (F.col(n) > 1)).select(key, hashed)
+    if repeated.isEmpty():
+        return kept.select(*docs.columns)
+    repeated = _small(repeated)
+    # Of rows equal in id and text one stays, found map-side first however many they are.
+    one = kept.join(repeated, same, "left_semi").groupBy(id_col, own)
+    one = one.agg(F.first(F.struct(*docs.columns)).alias(key)).select(f"{key}.*")
+    one = one.mapInArrow(lambda batches: batches, docs.schema)  # columns without NULL stay declared so
+    return kept.join(repeated, same, "left_anti").select(*docs.columns).unionByName(one)
+
+
+def _small(keys: DataFrame) -> DataFrame:
+    """The thin rows, to be sent to all tasks while they are few."""
+    return F.broadcast(keys) if keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS else keys

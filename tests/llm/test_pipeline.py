@@ -17,7 +17,7 @@ def rows_of(docs):
 
 
 def test_all_operators_are_registered():
-    assert [int(n[2:].split("_")[0]) for n in NAMES] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in NAMES] == list(range(1, 14))
     assert "pipeline" in queries()
 
 
@@ -28,8 +28,9 @@ def test_query(spark, name):
     if sql:
         assert compare(found.toPandas(), duck(FOLDER).execute(sql).fetchdf()) == "ok"
     else:
-        table = "pages" if name.startswith("op9") else "documents"
-        key = "page_id" if name.startswith("op9") else "doc_id"
+        table, key = {"op9": ("pages", "page_id"), "op11": ("embeddings", "vec_id")}.get(
+            name.split("_")[0], ("documents", "doc_id")
+        )
         wanted = spark.read.parquet(f"{FOLDER}/{table}.parquet").select(key).distinct()
         assert found.select(key).distinct().exceptAll(wanted).count() == 0
         assert wanted.exceptAll(found.select(key).distinct()).count() == 0
