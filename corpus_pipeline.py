@@ -11,7 +11,6 @@ import uuid
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from kotonoha.llm import decontaminate, langid, lines, packing, simhash
 from kotonoha.llm.common import fold, table
@@ -22,11 +21,6 @@ from kotonoha.session import ship_package
 MIN_LANGUAGE_SCORE = 0.3
 
 
-def keep_rows(docs: DataFrame, flagged: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose id is not in ``flagged`` (column _id); rows without an id stay."""
-    return docs.join(flagged, docs["doc_id"] == flagged["_id"], "left_anti")
-
-
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without letters, and those that no language claims, go."""
     ship_package(spark)
@@ -49,9 +43,7 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     ship_package(spark)
-    items = table(spark, sf_dir, "benchmark")
-    found = decontaminate.contained_items(docs, items)
-    return keep_rows(docs, found.select(F.col("doc_id").alias("_id")).distinct())
+    return decontaminate.drop_holders(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
