@@ -154,6 +154,18 @@ def _(spark, folder):
     return count_ngrams_of_lists(lists, n=3, min_count=2, ordered=False)
 
 
+@check("ngram3_pruned", with_tokens(sql_counted("tok", 3, "HAVING count(*) >= 2")))
+def _(spark, folder):
+    """The same; n-grams that cannot occur twice are left out before the shuffle."""
+    lists = tokenize_words(documents(spark, folder))
+    return count_ngrams_of_lists(lists, n=3, min_count=2, ordered=False, buckets=1 << 24)
+
+
+@check("vocabulary_pruned", with_tokens("SELECT word, count(*) AS count FROM tok GROUP BY word HAVING count(*) >= 5"))
+def _(spark, folder):
+    return vocabulary(doc_tokens(spark, folder, info_col=None), min_count=5, buckets=1 << 22)
+
+
 @check("ngram_topk", with_tokens(sql_counted("tok", 2, "ORDER BY count DESC, ngram LIMIT 20")))
 def _(spark, folder):
     return count_ngrams_of_lists(tokenize_words(documents(spark, folder)), n=2, top_k=20)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kotonoha.operators.filters import filter_tokens
+from kotonoha.operators.pruning import prune_rare
 from kotonoha.plans.numbering import number_rows
 from kotonoha.plans.layout import cut_lineage
 from kotonoha.schemas import require_columns
@@ -67,9 +68,14 @@ def column_sums(matrix: DataFrame, *, word_col: str = "word") -> DataFrame:
 
 
 def vocabulary(
-    tokens: DataFrame, *, min_count: int = 1, word_col: str = "word"
+    tokens: DataFrame, *, min_count: int = 1, word_col: str = "word", buckets: int | None = None
 ) -> DataFrame:
-    """Words seen at least ``min_count`` times with their counts."""
+    """Words seen at least ``min_count`` times with their counts.
+
+    With ``buckets`` words that cannot reach ``min_count`` are left out before the shuffle.
+    """
+    if buckets:
+        tokens = prune_rare(tokens.select(word_col), word_col, min_count, buckets)
     counts = term_frequency(tokens, word_col=word_col, ordered=False)
     return counts.where(F.col("count") >= min_count) if min_count > 1 else counts
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kotonoha.operators.frequency import _ranked
+from kotonoha.operators.pruning import prune_rare
 from kotonoha.operators.reader import word_blocks
 from kotonoha.plans.layout import TOKENS_PER_BLOCK
 from kotonoha.schemas import require_columns
@@ -81,8 +82,10 @@ def ngram_rows(
 
 
 def _counted(
-    grams: DataFrame, min_count: int, top_k: int | None, ordered: bool
+    grams: DataFrame, min_count: int, top_k: int | None, ordered: bool, buckets: int | None = None
 ) -> DataFrame:
+    if buckets:
+        grams = prune_rare(grams, "ngram", min_count, buckets)
     counts = grams.groupBy("ngram").agg(F.count(F.lit(1)).alias("count"))
     if min_count > 1:
         counts = counts.where(F.col("count") >= min_count)
@@ -100,12 +103,17 @@ def count_ngrams(
     word_col: str = "word",
     ordered: bool = True,
     block_size: int = TOKENS_PER_BLOCK,
+    buckets: int | None = None,
 ) -> DataFrame:
-    """``[ngram, count]`` of a long token table (count desc, ngram asc)."""
+    """``[ngram, count]`` of a long token table (count desc, ngram asc).
+
+    With ``buckets`` n-grams that cannot reach ``min_count`` are left out before
+    the shuffle (see ``pruning``), for one more pass over the tokens.
+    """
     grams = ngram_rows(
         tokens, n, id_col=id_col, order_col=order_col, word_col=word_col, block_size=block_size
     )
-    return _counted(grams.select("ngram"), min_count, top_k, ordered)
+    return _counted(grams.select("ngram"), min_count, top_k, ordered, buckets)
 
 
 def ngram_rows_of_lists(
@@ -126,10 +134,14 @@ def count_ngrams_of_lists(
     top_k: int | None = None,
     words_col: str = "words",
     ordered: bool = True,
+    buckets: int | None = None,
 ) -> DataFrame:
-    """``[ngram, count]`` of word arrays: the only shuffle is the count itself."""
+    """``[ngram, count]`` of word arrays: the only shuffle is the count itself.
+
+    ``buckets`` as in ``count_ngrams``.
+    """
     require_columns(lists, [words_col], "count_ngrams_of_lists")
     words = F.filter(F.col(words_col), lambda w: w.isNotNull())
     clean = lists.select(words.alias("_words"))
     grams = clean.select(F.explode(array_ngrams(F.col("_words"), n)).alias("ngram"))
-    return _counted(grams, min_count, top_k, ordered)
+    return _counted(grams, min_count, top_k, ordered, buckets)
