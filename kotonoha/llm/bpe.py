@@ -76,9 +76,7 @@ class ByteLevelBpe:
             raise ValueError(f"{path} is no plain byte-level tokenizer")
         self.token_bytes = {i: b for b, i in file.ranks().items()}
         self._loop = merge_loop(file.ranks(), BYTE_LEVEL_SPLIT, file.added if specials else {})
-        self._specials = list(file.added) if specials else []
+        self._allowed = set(file.added) if specials else set()
 
     def encode(self, text: str) -> np.ndarray:
-        if any(s in text for s in self._specials):
-            return self._loop.encode_to_numpy(text, allowed_special="all", disallowed_special=())
-        return np.array(self._loop.encode_ordinary(text), np.uint32)
+        return self._loop.encode_to_numpy(text, allowed_special=self._allowed, disallowed_special=())

@@ -113,7 +113,7 @@ class ChunkEncoder:
         else:
             words = _WORDS.findall(unicodedata.normalize("NFC", joined).lower())
         words.append("\n")
-        ids = np.array(self._merges.encode_ordinary(_WORD_END.join(words)), "<u4")
+        ids = self._merges.encode_to_numpy(_WORD_END.join(words)).astype("<u4", copy=False)
         ends = np.flatnonzero(ids == self._line_id) * 4
         held = ids.tobytes()
         begins = [0, *(ends[:-1] + 4).tolist()]
