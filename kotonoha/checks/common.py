@@ -11,6 +11,22 @@ from kotonoha.operators.tokenize import tokenize
 from kotonoha.plans.layout import shared_scratch
 
 
+def registry():
+    """(queries, SQL, decorator) of a module of checks."""
+    queries, oracles = {}, {}
+
+    def check(name: str, sql: str | None = None):
+        def keep(query):
+            queries[name] = query
+            if sql:
+                oracles[name] = sql
+            return query
+
+        return keep
+
+    return queries, oracles, check
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kotonoha.checks.common import doc_tokens, documents, sql_tokens, table, with_tokens
+from kotonoha.checks.common import doc_tokens, documents, registry, sql_tokens, table, with_tokens
 from kotonoha.operators.filters import filter_tokens
 from kotonoha.operators.frequency import (
     cloud_weights,
@@ -25,17 +25,7 @@ from kotonoha.operators.ngram import (
 )
 from kotonoha.operators.tokenize import tokenize, tokenize_words
 
-QUERIES, ORACLES = {}, {}
-
-
-def check(name: str, sql: str | None = None):
-    def keep(query):
-        QUERIES[name] = query
-        if sql:
-            ORACLES[name] = sql
-        return query
-
-    return keep
+QUERIES, ORACLES, check = registry()
 
 
 # Whole-vocabulary results are compared as sets, so the queries skip the global

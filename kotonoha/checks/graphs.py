@@ -4,23 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kotonoha.checks.common import documents, with_tokens
+from kotonoha.checks.common import documents, registry, with_tokens
 from kotonoha.checks.counts import sql_counted
 from kotonoha.operators.graph import cooccurrence_graph, edges, merge_edges
 from kotonoha.operators.ngram import count_ngrams_of_lists
 from kotonoha.operators.tokenize import tokenize_words
 
-QUERIES, ORACLES = {}, {}
-
-
-def check(name: str, sql: str | None = None):
-    def keep(query):
-        QUERIES[name] = query
-        if sql:
-            ORACLES[name] = sql
-        return query
-
-    return keep
+QUERIES, ORACLES, check = registry()
 
 
 HEAD = 300

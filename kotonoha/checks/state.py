@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import re
+import time
 
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import functions as F
 
-from kotonoha.checks.common import documents, doc_tokens, scratch, sql_tokens, table, with_tokens
+from kotonoha.checks.common import doc_tokens, documents, registry, scratch, sql_tokens, table, with_tokens
 from kotonoha.operators.derived import token_problems
+from kotonoha.operators.lists import filter_lists
 from kotonoha.operators.packing import pack_documents
 from kotonoha.plans import status
 from kotonoha.plans.numbering import number_rows
@@ -17,17 +19,7 @@ from kotonoha.plans.store import CorpusStore
 from kotonoha.sources.content import read_csv
 from kotonoha.sources.files import decode_charset, decode_utf8
 
-QUERIES, ORACLES = {}, {}
-
-
-def check(name: str, sql: str | None = None):
-    def keep(query):
-        QUERIES[name] = query
-        if sql:
-            ORACLES[name] = sql
-        return query
-
-    return keep
+QUERIES, ORACLES, check = registry()
 
 
 # -- logs made of the events table: one user is one document -------------------
@@ -419,6 +411,17 @@ def _(spark, folder):
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 
+@check("store_derived_lists", ORACLES["store_derived"])
+def _(spark, folder):
+    """The same with a rule on the stored lists: no token is regrouped."""
+    store = CorpusStore(spark, scratch(spark, "store"))
+    store.register_content(documents(spark, folder), "doc_id", "text", order_col="doc_id")
+    store.tokenize()
+    derived = store.derive("words", lambda rows: filter_lists(rows, pos_keep="word"), lists=True)
+    words = derived.word_lists().select(F.explode("words").alias("word"))
+    return words.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+
+
 # -- files from end to end ------------------------------------------------------------
 
 
@@ -442,17 +445,30 @@ def _write_pages(spark, folder) -> str:
         F.concat(name, F.lit(".txt")).alias("name"), content.alias("content")
     )
 
-    def write(batches):
+    _on_files(files, top, _write_file)
+    return top
+
+
+def _write_file(system, path, content):
+    system.create_dir(path.rpartition("/")[0])
+    with system.open_output_stream(path) as stream:
+        stream.write(content)
+
+
+def _remove_file(system, path, content):
+    system.delete_file(path)
+
+
+def _on_files(files, top, act) -> None:
+    """One action per ``[name, content]`` row, on the workers."""
+
+    def run(batches):
         for batch in batches:
             for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                system, path = pafs.FileSystem.from_uri(re.sub("^file:/+", "file:///", f"{top}/{name}"))
-                system.create_dir(path.rpartition("/")[0])
-                with system.open_output_stream(path) as stream:
-                    stream.write(content)
+                act(*pafs.FileSystem.from_uri(re.sub("^file:/+", "file:///", f"{top}/{name}")), content)
             yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
 
-    files.mapInArrow(write, "n long").agg(F.sum("n")).collect()
-    return top
+    files.mapInArrow(run, "n long").agg(F.sum("n")).collect()
 
 
 _FILES = """SELECT (CASE page_id % 10 WHEN 0 THEN '_p' WHEN 1 THEN '.p' WHEN 2 THEN 'sub/_d/p' ELSE 'p' END) || page_id || '.txt' AS rel_path,
@@ -475,6 +491,36 @@ def _(spark, folder):
     return _files_read(store)
 
 
+@check(
+    "process_files",
+    """SELECT (CASE page_id % 10 WHEN 0 THEN '_p' WHEN 1 THEN '.p' WHEN 2 THEN 'sub/_d/p' ELSE 'p' END) || page_id || '.txt' AS rel_path,
+              CASE WHEN page_id % 10 IN (4, 7) THEN NULL WHEN page_id % 10 = 3 THEN ''
+                   WHEN page_id % 10 = 5 THEN 'changed ' || page_id ELSE html END AS text,
+              page_id % 10 IN (4, 7) AS failed, page_id % 10 NOT IN (4, 7) AS tokenized FROM pages""",
+)
+def _(spark, folder):
+    """Ingest and tokenize twice: files vanish before and after they are read, others change or are broken."""
+    top = _write_pages(spark, folder)
+    store = CorpusStore(spark, scratch(spark, "process-store"))
+    store.register_files(top)
+    number = F.col("page_id").cast("string")
+    page = table(spark, folder, "pages").select("page_id", F.concat(F.lit("p"), number, F.lit(".txt")).alias("name"))
+
+    def some(last):
+        text = F.concat(F.lit("changed "), number).cast("binary").alias("content")
+        return page.where(F.col("page_id") % 10 == last).select("name", text)
+
+    _on_files(some(7), top, _remove_file)
+    store.process()
+    time.sleep(1.5)  # a change counts from a second after the reading on
+    _on_files(some(5), top, _write_file)
+    _on_files(some(6), top, _remove_file)
+    store.process()
+    state = store.tokenize_status().select("doc_id", F.col("tokenize_ok").alias("tokenized"))
+    names = store.documents().select("doc_id", "rel_path").join(state, "doc_id")
+    return _files_read(store).join(names.drop("doc_id"), "rel_path")
+
+
 @check("redecode_store", _FILES.format("'caf' || chr(233)", "false"))
 def _(spark, folder):
     """The broken ones read again in their own charset; registering twice changes nothing."""

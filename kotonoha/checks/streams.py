@@ -4,22 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kotonoha.checks.common import documents, scratch, sql_tokens, table
+from kotonoha.checks.common import documents, registry, scratch, sql_tokens, table
 from kotonoha.operators.reader import tokens_to_text
 from kotonoha.plans.store import CorpusStore
 from kotonoha.streaming.streams import stream_content, stream_files, stream_tokens
 
-QUERIES, ORACLES = {}, {}
-
-
-def check(name: str, sql: str | None = None):
-    def keep(query):
-        QUERIES[name] = query
-        if sql:
-            ORACLES[name] = sql
-        return query
-
-    return keep
+QUERIES, ORACLES, check = registry()
 
 
 def finish(query) -> None:

@@ -12,6 +12,7 @@ from kotonoha.checks.common import (
     SQL_VARIANT_INPUT,
     doc_tokens,
     documents,
+    registry,
     scratch,
     sql_tokens,
     table,
@@ -44,17 +45,7 @@ from kotonoha.operators.variants import VARIANTS
 from kotonoha.schemas import TOKEN_LIST
 from kotonoha.sources.sinks import read_tokens, write_tokens
 
-QUERIES, ORACLES = {}, {}
-
-
-def check(name: str, sql: str | None = None):
-    def keep(query):
-        QUERIES[name] = query
-        if sql:
-            ORACLES[name] = sql
-        return query
-
-    return keep
+QUERIES, ORACLES, check = registry()
 
 
 PER_DOC_TEXT = "SELECT doc_id, string_agg(word, ' ' ORDER BY token_id) AS text FROM {} GROUP BY doc_id"
@@ -312,7 +303,7 @@ def _(spark, folder):
 
 _SURFACE_WORD = "coalesce(surface, word)"
 _NUM = "CASE WHEN regexp_matches({w}, '^\\p{{Nd}}+(\\.\\p{{Nd}}+)?$') THEN '[NUM]' ELSE {w} END"
-_VARIANT_SQL = {
+VARIANT_SQL = {
     "filtered": f"""SELECT * FROM (SELECT doc_id, token_id, {_NUM.format(w='word')} AS word
                     FROM v WHERE pos NOT IN ('空白', '補助記号', '記号'))
                     WHERE NOT regexp_matches(word, '^([!-/:-@\\[-`{{-~]+|[ぁ-ん])$')""",
@@ -327,7 +318,7 @@ _VARIANT_SQL = {
 def _variant_check(name: str) -> None:
     @check(
         f"variant_{name}",
-        f"WITH v AS ({SQL_VARIANT_INPUT}), d AS ({_VARIANT_SQL[name]}) {PER_DOC_TEXT.format('d')}",
+        f"WITH v AS ({SQL_VARIANT_INPUT}), d AS ({VARIANT_SQL[name]}) {PER_DOC_TEXT.format('d')}",
     )
     def _(spark, folder):
         return tokens_to_text(VARIANTS[name](variant_input(spark, folder)))
@@ -352,7 +343,7 @@ def _(spark, folder):
 
 @check(
     "variant_chain",
-    f"""WITH v AS ({SQL_VARIANT_INPUT}), s AS ({_VARIANT_SQL["surface"].replace("token_id,", "token_id, pos,")}),
+    f"""WITH v AS ({SQL_VARIANT_INPUT}), s AS ({VARIANT_SQL["surface"].replace("token_id,", "token_id, pos,")}),
              f AS (SELECT doc_id, token_id, word FROM s WHERE pos = '名詞')
         {PER_DOC_TEXT.format('f')}""",
 )
@@ -365,8 +356,8 @@ def _(spark, folder):
 # -- the same on token lists ------------------------------------------------------
 
 
-def _doc_lists(spark, folder):
-    return tokenize_lists(documents(spark, folder))
+def _doc_lists(spark, folder, with_info=False):
+    return tokenize_lists(documents(spark, folder), with_info=with_info)
 
 
 @check("filter_keep_lists", ORACLES["filter_keep"])
@@ -382,7 +373,7 @@ def _(spark, folder):
 
 @check("word_form_lists", ORACLES["word_form"])
 def _(spark, folder):
-    return text_of_lists(select_form_in_lists(_doc_lists(spark, folder), "norm"))
+    return text_of_lists(select_form_in_lists(_doc_lists(spark, folder, with_info=True), "norm"))
 
 
 def _variant_lists(spark, folder):
@@ -400,7 +391,7 @@ def _variant_lists(spark, folder):
             t["token_info"].alias("token_info"),
         )
 
-    return _doc_lists(spark, folder).withColumn("tokens", F.transform("tokens", token).cast(TOKEN_LIST))
+    return _doc_lists(spark, folder, with_info=True).withColumn("tokens", F.transform("tokens", token).cast(TOKEN_LIST))
 
 
 def _variant_lists_check(name):

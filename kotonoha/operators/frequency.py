@@ -126,8 +126,10 @@ def cloud_weights(
         else tokens
     )
     ranked = term_frequency(kept, word_col=word_col, top_k=top)
-    if strict and ranked.isEmpty():
-        raise ValueError("cloud_weights: no words left")
+    if strict:
+        ranked = cut_lineage(ranked)  # a few rows, counted once
+        if ranked.isEmpty():
+            raise ValueError("cloud_weights: no words left")
     largest = F.max("count").over(Window.partitionBy())
     return ranked.withColumn("weight", F.col("count") / largest)
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kotonoha.plans.layout import cut_lineage
+
 # Drawn width of an edge is count / max * 4 + 1.
 WIDTH_SCALE = 4
 WIDTH_BASE = 1
@@ -28,8 +30,10 @@ def edges(ngrams: DataFrame, *, head: int = 50, strict: bool = True) -> DataFram
         F.get(parts, F.lit(1)).alias("target"),
         "count",
     )
-    if strict and out.where(F.col("target").isNotNull()).isEmpty():
-        raise ValueError("edges: no n-gram has a second part")
+    if strict:
+        out = cut_lineage(out)  # at most ``head`` rows, counted once
+        if out.where(F.col("target").isNotNull()).isEmpty():
+            raise ValueError("edges: no n-gram has a second part")
     return out
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from kotonoha.functions import text as text_fn
 from kotonoha.functions.words import as_name_list, form_from_info
-from kotonoha.operators.filters import LITERAL_STOPWORDS, literal_stopwords
+from kotonoha.operators.filters import LITERAL_STOPWORDS, literal_stopwords, split_stopwords, stopword_table
 from kotonoha.operators.variants import FILTERED_DROP, HYBRID_DROP, HYBRID_KEEP_FORM, POS_BLANK
 from kotonoha.schemas import TOKEN_LIST, require_columns
 
@@ -43,15 +43,19 @@ def change_words(lists: DataFrame, rule: TokenRule) -> DataFrame:
 
 
 def filter_lists(lists: DataFrame, *, pos_keep=None, pos_exclude=None, stopwords=None) -> DataFrame:
-    """Keep, then exclude, then drop literal stopwords, as ``filter_tokens`` does.
+    """Keep, then exclude, then drop stopwords, as ``filter_tokens`` does.
 
     A NULL pos fails ``pos_keep`` but passes ``pos_exclude``; a NULL word is
-    never a stopword. A stopword table needs the long form's join.
+    never a stopword. Few literal stopwords are part of the expression; tables,
+    and more than ``LITERAL_STOPWORDS``, meet the different words of every
+    document in a join, and the lists are filtered by what was found there.
     """
     keep, drop = as_name_list(pos_keep), as_name_list(pos_exclude)
-    banned = sorted(literal_stopwords(stopwords))
-    if len(banned) > LITERAL_STOPWORDS:
-        raise ValueError(f"more than {LITERAL_STOPWORDS} literal stopwords; use filter_tokens")
+    tables, values = split_stopwords(stopwords)
+    banned = sorted(literal_stopwords(values))
+    if tables or len(banned) > LITERAL_STOPWORDS:
+        lists = _without_table(lists, stopword_table(lists.sparkSession, stopwords))
+        banned = []
 
     def among(value: Column, names: list[str]) -> Column:
         return F.coalesce(value.isin(names), F.lit(False))
@@ -65,6 +69,18 @@ def filter_lists(lists: DataFrame, *, pos_keep=None, pos_exclude=None, stopwords
     return keep_tokens(lists, rule) if keep or drop or banned else lists
 
 
+def _without_table(lists: DataFrame, banned: DataFrame) -> DataFrame:
+    """Lists without the words of a ``[word]`` table, by the different words of each document."""
+    words = lists.select("doc_id", F.explode(F.array_distinct(F.col("tokens")["word"])).alias("word"))
+    found = words.join(banned, "word", "left_semi").groupBy(F.col("doc_id").alias("_doc"))
+    found = found.agg(F.collect_set("word").alias("_found"))
+    joined = lists.join(found, F.col("doc_id").eqNullSafe(F.col("_doc")), "left")
+    kept = F.filter(
+        "tokens", lambda t: ~F.coalesce(F.array_contains(F.col("_found"), t["word"]), F.lit(False))
+    )
+    return joined.withColumn("tokens", kept).select(*lists.columns)
+
+
 def select_form_in_lists(lists: DataFrame, word_form: str) -> DataFrame:
     """Every word in another form kept in its token_info."""
     return change_words(lists, lambda t: form_from_info(t["token_info"], t["word"], word_form))

@@ -122,17 +122,18 @@ def write_corpus_text(
 
 
 def corpus_text(
-    tokens: DataFrame, *, sep: str = " ", max_chars: int = 10_000_000, id_col: str = "doc_id", **options
+    tokens: DataFrame, *, sep: str = " ", max_chars: int | None = None, id_col: str = "doc_id", **options
 ) -> str:
-    """The whole corpus as one string, refused beyond ``max_chars``.
+    """The whole corpus as one string, in memory of the driver.
 
-    The size is summed on the cluster first; larger corpora go through
-    ``write_corpus_text``.
+    A caller who wants a bound gives ``max_chars``, which is summed on the
+    cluster first; ``write_corpus_text`` needs no memory.
     """
     lines = tokens_to_text(tokens, sep=sep, id_col=id_col, **options)
-    total = lines.agg(F.sum(F.length("text") + len(sep))).first()[0] or 0
-    if total > max_chars:
-        raise ValueError(f"corpus has {total} characters; use write_corpus_text")
+    if max_chars is not None:
+        total = lines.agg(F.sum(F.length("text") + len(sep))).first()[0] or 0
+        if total > max_chars:
+            raise ValueError(f"corpus has {total} characters; use write_corpus_text")
     return sep.join(r["text"] for r in lines.orderBy(id_col).toLocalIterator())
 
 
@@ -147,7 +148,8 @@ class CorpusReader:
     """Re-iterable word lists per document, in id then position order.
 
     ``frame`` is the distributed form; iterating streams it partition by
-    partition to a notebook.
+    partition to a notebook. ``lists`` are ``[doc_id, words]`` rows that are
+    there already, in place of a long token table.
     """
 
     def __init__(
@@ -158,16 +160,15 @@ class CorpusReader:
         word_col: str = "word",
         token_id_col: str = "token_id",
         return_mode: str = "tokens",
+        lists: DataFrame | None = None,
     ):
         if return_mode not in RETURN_MODES:
             raise ValueError(f"return_mode must be one of {RETURN_MODES}")
         self.return_mode = return_mode
         self._id_col = id_col
-        self._lists = (
-            None
-            if tokens is None
-            else word_lists(tokens, id_col=id_col, order_col=token_id_col, word_col=word_col)
-        )
+        self._lists = lists
+        if tokens is not None:
+            self._lists = word_lists(tokens, id_col=id_col, order_col=token_id_col, word_col=word_col)
 
     @property
     def frame(self) -> DataFrame | None:

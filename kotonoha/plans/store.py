@@ -197,7 +197,8 @@ class CorpusStore:
         return lists.where(F.size("words") > 0)
 
     def reader(self, return_mode: str = "tokens") -> CorpusReader:
-        return CorpusReader(self.tokens(), return_mode=return_mode)
+        """Word lists per document, straight from the stored lists."""
+        return CorpusReader(None, return_mode=return_mode, lists=self.word_lists())
 
     def failed_documents(self) -> DataFrame:
         return status.failed_documents(self.documents(), self.fetch_status())
@@ -467,11 +468,14 @@ class CorpusStore:
         transform: Callable,
         *,
         pandas: bool = False,
+        lists: bool = False,
     ) -> CorpusStore:
         """A new work whose tokens are a transform of this work's tokens.
 
         A DataFrame transform stays a Spark plan; with ``pandas`` the function
-        gets token frames of whole documents, where they are read. Every document with a text is
+        gets token frames of whole documents, where they are read. With
+        ``lists`` it is a rule on ``[doc_id, tokens]`` rows such as
+        ``filtered_lists``, and no token is regrouped or shuffled. Every document with a text is
         marked done unless its output breaks the token rules. Rows of no or of an
         unknown document are in ``problems`` of the returned store.
         """
@@ -480,11 +484,20 @@ class CorpusStore:
         target = self._work(name)
         run_id = self.with_work(name).next_work_run()
         versions = self.fetch_status().where("fetch_ok").select("doc_id", "text_version")
-        if pandas:
-            lists = self._live_lists()
-            rows = derive_lists(lists, transform, carry=("text_version",))
+        if pandas or lists:
+            live = self._live_lists()
+            if pandas:
+                rows = derive_lists(live, transform, carry=("text_version",))
+            else:
+                error = F.concat_ws(", ", *list_problems(F.col("tokens")))
+                rows = transform(live).select(
+                    "doc_id",
+                    F.coalesce("tokens", F.array().cast(TOKEN_LIST)).alias("tokens"),
+                    F.nullif(error, F.lit("")).alias("error"),
+                    "text_version",
+                )
             # Texts never tokenized here have nothing to transform and are done.
-            blank = versions.join(lists.select("doc_id"), "doc_id", "left_anti").select(
+            blank = versions.join(live.select("doc_id"), "doc_id", "left_anti").select(
                 "doc_id",
                 F.array().cast(TOKEN_LIST).alias("tokens"),
                 F.lit(None).cast("string").alias("error"),

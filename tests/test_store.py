@@ -332,3 +332,20 @@ def test_process_wrapper(store, corpus):
     assert words(store)["b.txt"] == ["second\nline"]
     ids = rows_of(store.tokens().select("token_id").distinct())
     assert ids == [(1,)]
+
+
+def test_derived_by_a_rule_on_lists(spark, store):
+    from kotonoha.operators.lists import change_words, filtered_lists
+
+    store.register_content(pairs(spark, [("x", "one 2 three", 1), ("y", "!", 2)]), "id", "text", order_col="seq")
+    store.tokenize()
+    plain, by_list = store.derive("plain", k.filtered_variant), store.derive("lists", filtered_lists, lists=True)
+    assert words(by_list) == words(plain)
+    assert by_list.pending().count() == 0 and by_list.problems.count() == 0
+    assert rows_of(by_list.tokens(), "doc_id", "token_id") == rows_of(plain.tokens(), "doc_id", "token_id")
+    # A list that breaks a rule is its document's error.
+    blank = store.derive("blank", lambda r: change_words(r, lambda t: F.when(t["word"] != "one", t["word"])), lists=True)
+    errors = {r["doc_id"]: r["error_message"] for r in blank.tokenize_status().collect()}
+    assert errors == {1: "null_word", 2: None}
+    plan = store.reader().frame._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan  # lists are read as they are stored

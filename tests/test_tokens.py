@@ -323,3 +323,20 @@ def test_no_hidden_renumbering(spark):
     kept = k.filter_tokens(table, pos_keep="word")
     assert [r[1] for r in rows_of(kept, "token_id")] == [0, 2, 4]
     assert re.match("a", rows_of(kept, "token_id")[0][2])
+
+
+def test_stopwords_of_lists_in_any_number(spark, tokens, monkeypatch):
+    """Few literals, many literals and tables give the rows of the long form."""
+    from kotonoha.operators import lists as list_module
+    from kotonoha.operators.reader import collect_tokens
+
+    table = tokens([(d, i, w, "x") for d in (1, 2, None) for i, w in enumerate(["a", "b", None, "c", "a"])])
+    rows = collect_tokens(table.withColumn("token_info", F.lit(None).cast("string")))
+    frequent = spark.createDataFrame([("c", 3)], "word string, count long")
+    for stopwords in (["a"], ["a", "c"], frequent, ["a", frequent]):
+        want = rows_of(k.tokens_to_text(table, stopwords=stopwords, strict=False).where("doc_id IS NOT NULL"), "doc_id")
+        for limit in (100, 0):
+            monkeypatch.setattr(list_module, "LITERAL_STOPWORDS", limit)
+            kept = list_module.filter_lists(rows, stopwords=stopwords)
+            assert kept.columns == rows.columns and kept.count() == 3
+            assert rows_of(list_module.text_of_lists(kept).where("doc_id IS NOT NULL"), "doc_id") == want
