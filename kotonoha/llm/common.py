@@ -9,8 +9,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kotonoha.plans.layout import cut_lineage
+
 # Rows and characters that are Python objects at one time inside a task.
 SLICE_ROWS = 256
+# Classes of a draw whose rates are sent to all tasks.
+BROADCAST_CLASSES = 100_000
 
 # Byte tables. Words of `[^\x20\x09-\x0D]+` are what bytes.split() gives; words of
 # `[^\x00-\x2F\x3A-\x60\x7B-\x7F]+` are what it gives after WORD_BYTES.
@@ -98,19 +102,19 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def drawn_rows(rows: DataFrame, class_col: str, draw_col: str, per_class: int, classes: int) -> DataFrame:
+def drawn_rows(rows: DataFrame, class_col: str, draw_col: str, per_class: int) -> DataFrame:
     """A repeatable draw of about ``per_class`` distinct draw values of each class.
 
     A class's rate follows from a sketch of its distinct values, so no class is
     gathered or ranked; values are hashes, and equal rows are drawn or left
-    together. At most ``classes`` of the most frequent classes take part.
+    together. All classes take part; their rates are sent to all tasks while
+    they are few, and joined beyond.
     """
-    rates = (
-        rows.groupBy(class_col)
-        .agg(F.approx_count_distinct(draw_col).alias("_n"))
-        .orderBy(F.desc("_n"), class_col)
-        .limit(classes)
-        .select(class_col, (F.lit(float(per_class)) / F.greatest(F.col("_n"), F.lit(1))).alias("_rate"))
+    counts = rows.groupBy(class_col).agg(F.approx_count_distinct(draw_col).alias("_n"))
+    rates = cut_lineage(
+        counts.select(class_col, (F.lit(float(per_class)) / F.greatest(F.col("_n"), F.lit(1))).alias("_rate"))
     )
+    few = rates.limit(BROADCAST_CLASSES + 1).count() <= BROADCAST_CLASSES
     share = F.pmod(F.col(draw_col), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return rows.join(F.broadcast(rates), class_col).where(share < F.col("_rate")).drop("_rate")
+    joined = rows.join(F.broadcast(rates) if few else rates, class_col)
+    return joined.where(share < F.col("_rate")).drop("_rate")

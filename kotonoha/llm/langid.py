@@ -28,7 +28,6 @@ GRAMS = SYMBOLS + SYMBOLS**2 + SYMBOLS**3
 # Labelled texts per language, landmarks in all, languages, ridge.
 PER_LANGUAGE = 256
 LANDMARKS = 96
-MAX_LANGUAGES = 256
 RIDGE = 1e-3
 # Code points that are turned into n-grams at one time.
 CHUNK = 1 << 20
@@ -155,7 +154,7 @@ def labelled_spectra(
         F.col(lang_col).cast("string").alias("_lang"), F.col(text_col).alias("_text"),
         F.xxhash64(text_col).alias("_draw"),
     )
-    drawn = drawn_rows(picked, "_lang", "_draw", per_language, MAX_LANGUAGES)
+    drawn = drawn_rows(picked, "_lang", "_draw", per_language)
     texts = drawn.dropDuplicates(["_lang", "_draw"])
 
     def run(batches):
@@ -181,7 +180,7 @@ def labelled_spectra(
 def train(labelled: DataFrame, *, per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS, **columns) -> KernelModel | None:
     """A model of the labelled texts; None if there is no labelled text with a letter.
 
-    It knows the 256 languages (MAX_LANGUAGES) with the most labelled texts; others are never predicted.
+    It knows all languages of the labelled texts; the model grows with their number.
     """
     rows = labelled_spectra(labelled, per_language=per_language, **columns)
     if not rows:

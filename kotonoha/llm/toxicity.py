@@ -18,6 +18,7 @@ model with three inputs, fitted on the same labelled texts.
 from __future__ import annotations
 
 import math
+import uuid
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -36,6 +37,9 @@ MIN_TEXTS = 5
 MIN_ODDS = 2.5
 STEMS = range(3, 8)
 WINDOW = 6
+# Words whose verdict an automaton remembers, and states it keeps, before it starts anew.
+VERDICTS = 500_000
+STATES = 50_000
 
 _EDGE = ".,;:!?\"'()[]{}<>#*$%&|~_-+=/\\“”„«»‘’…¡¿"
 _QUOTES = frozenset("\"“”„«»‘’")
@@ -74,14 +78,8 @@ class TermAutomaton:
                     node = self.children[node][letter]
                 self.edits_below[node] = max(self.edits_below[node], edits)
                 ends[node] = (term, weight, edits)
-        self.sets: list[frozenset] = []
-        self.numbers: dict[frozenset, int] = {}
-        self.moves: list[dict[str, int]] = []
-        self.found: list[tuple | None] = []
-        self.stem: list[tuple | None] = []
-        self.start = self._state(self._closed({(0, 0)}))
-        # State after the first letters of a word.
-        self.heads: dict[str, int] = {}
+        # States are made on demand; ``heads`` has those after the first letters of a word.
+        self._forget()
 
     def _closed(self, states: set) -> frozenset:
         """With letters of the term left out of the text; hopeless states dropped."""
@@ -124,7 +122,25 @@ class TermAutomaton:
         return after
 
     def match(self, word: str) -> tuple | None:
-        """(term, weight, misspelled) of a lower-case word, or None."""
+        """(term, weight, misspelled) of a lower-case word, or None; remembered per word."""
+        if (found := self.verdicts.get(word, 0)) == 0:
+            if len(self.verdicts) >= VERDICTS or len(self.sets) >= STATES:
+                self._forget()
+            found = self.verdicts[word] = self._match(word)
+        return found
+
+    def _forget(self) -> None:
+        """Verdicts and states go, so that memory stays bounded on any text."""
+        self.verdicts: dict[str, tuple | None] = {}
+        self.heads: dict[str, int] = {}
+        self.sets: list[frozenset] = []
+        self.numbers: dict[frozenset, int] = {}
+        self.moves: list[dict[str, int]] = []
+        self.found: list[tuple | None] = []
+        self.stem: list[tuple | None] = []
+        self.start = self._state(self._closed({(0, 0)}))
+
+    def _match(self, word: str) -> tuple | None:
         head = word[:3]
         state = self.heads.get(head, -2)
         if state == -2:
@@ -204,7 +220,7 @@ def term_counts(texts: DataFrame) -> DataFrame:
                 for word in set((text or "").lower().split()):
                     bare = word.strip(_EDGE)
                     if len(bare) > 2:
-                        terms.add("=" + bare[:64])
+                        terms.add("=" + bare)
                         terms.update("^" + bare[:n] for n in STEMS if n < len(bare))
                 counts.update((t, toxic) for t in terms)
             if counts:
@@ -288,12 +304,12 @@ def train(
     known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_toxic"), F.xxhash64(id_col).alias("_draw")
     )
-    drawn = cut_lineage(drawn_rows(known, "_toxic", "_draw", per_class, 2).select("_id", "_toxic").distinct())
+    drawn = cut_lineage(drawn_rows(known, "_toxic", "_draw", per_class).select("_id", "_toxic").distinct())
     total = {r["_toxic"]: r["_n"] for r in known.groupBy("_toxic").agg(F.count("*").alias("_n")).collect()}
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
     labelled = cut_lineage(texts.join(F.broadcast(drawn), "_id").select("_toxic", "_text", F.xxhash64("_text").alias("_draw")))
     # Ids may have any number of rows: equal texts count once, and a second draw by hash of the text bounds the others.
-    sample = cut_lineage(drawn_rows(labelled, "_toxic", "_draw", per_class, 2).select("_toxic", "_text").distinct())
+    sample = cut_lineage(drawn_rows(labelled, "_toxic", "_draw", per_class).select("_toxic", "_text").distinct())
     size = {r["_toxic"]: r["_n"] for r in sample.groupBy("_toxic").agg(F.count("*").alias("_n")).collect()}
     if len(size) < 2:
         return ToxicityModel()
@@ -347,6 +363,18 @@ def train(
     return ToxicityModel(words, stems, harmless, fit_logistic(x, y, weight))
 
 
+# The automaton of a worker's last model: its states are worth keeping between tasks.
+_AUTOMATA: dict[str, TermAutomaton] = {}
+
+
+def _automaton(name: str, model: ToxicityModel) -> TermAutomaton:
+    """Automaton of a model, told apart by a name that no other model ever has."""
+    if name not in _AUTOMATA:
+        _AUTOMATA.clear()
+        _AUTOMATA[name] = TermAutomaton(model.words, model.stems)
+    return _AUTOMATA[name]
+
+
 def score_toxicity(
     docs: DataFrame, model: ToxicityModel, *, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -357,8 +385,10 @@ def score_toxicity(
     without hits. Rows may repeat, ids may be missing, other columns are not read.
     """
 
+    name = uuid.uuid4().hex
+
     def build():
-        automaton = TermAutomaton(model.words, model.stems)
+        automaton = _automaton(name, model)
 
         def score(texts: list) -> dict:
             scores, terms = [], []

@@ -34,6 +34,26 @@ def test_automaton_equals_edit_distance():
             assert found[2] is (min(within) > 0)
 
 
+def test_forgetting_changes_nothing(monkeypatch):
+    terms = {t: 1.0 for t in ("idiot", "moron", "worthless")}
+    words = [f"{a}{b}" for a in ("idiot", "mor0n", "worthles", "fine", "idiom") for b in ("", "s", "x", "ed")] * 2
+    plain = toxicity.TermAutomaton(terms, {})
+    want = [plain.match(w) for w in words]
+    assert plain.match("x" * 500) is None and plain.match("x" * 500) is None
+    monkeypatch.setattr(toxicity, "VERDICTS", 3)
+    monkeypatch.setattr(toxicity, "STATES", 5)
+    bounded = toxicity.TermAutomaton(terms, {})
+    assert [bounded.match(w) for w in words] == want
+    assert len(bounded.verdicts) <= 3
+
+
+def test_a_long_word_is_learned_whole(spark):
+    rows = [(i, ("q" * 100 if i % 2 else "fine") + " and so on", i % 2) for i in range(40)]
+    both = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.train(both.select("doc_id", "text"), both.select("doc_id", "toxic"))
+    assert "q" * 100 in model.words
+
+
 def test_stems():
     automaton = toxicity.TermAutomaton({"clown": 1.0}, {"lowei": 0.5, "ab": 0.2})
     assert automaton.match("loweixyz")[:2] == ("lowei", 0.5)
