@@ -48,7 +48,7 @@ def test_forgetting_changes_nothing(monkeypatch):
 
 
 def test_a_long_word_is_learned_whole(spark):
-    rows = [(i, ("q" * 100 if i % 2 else "fine") + " and so on", i % 2) for i in range(40)]
+    rows = [(i, ("q" * 100 if i % 2 else "fine") + f" and so on {i}", i % 2) for i in range(40)]
     both = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
     model = toxicity.train(both.select("doc_id", "text"), both.select("doc_id", "toxic"))
     assert "q" * 100 in model.words
