@@ -1,89 +1,35 @@
-"""Pairs of similar vectors above a threshold, through candidates that miss none.
-
-A bounded number of vectors serve as centres; every unit vector has its nearest
-centre as home. Two unit vectors of cosine t are r = sqrt(2 - 2t) apart, and if
-y is within r of x, the triangle inequality gives for y's home c
-
-    distance(x, c) <= distance(x, home of x) + 2 r
-
-so x is sent to all centres within that bound, and every similar pair meets at
-the home of each of its vectors. Candidates are scored exactly. This beats
-comparing all blocks when the threshold is high and the vectors are clustered;
-with a low threshold every vector visits every centre.
-"""
+"""Pairs of similar vectors above a threshold, written out for every pair of ids."""
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kotonoha.operators.similarity import DIGITS, dot
-from kotonoha.schemas import require_columns
-
-CENTRES = 256
-# Vectors whose distances to all centres are in memory at one time.
-AT_ONCE = 1024
-
-
-def _unit(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """Row numbers and unit vectors of the rows with a vector that is not zero."""
-    rows = [(i, v) for i, v in enumerate(batch.column(1).to_pylist()) if v and None not in v and any(v)]
-    if not rows:
-        return np.zeros(0, np.int64), np.zeros((0, 0))
-    values = np.array([v for _, v in rows], np.float64)
-    return np.array([i for i, _ in rows]), values / np.linalg.norm(values, axis=1, keepdims=True)
+from kotonoha.operators.nearest import PIVOTS, similar_classes
 
 
 def similar_pairs(
     vectors: DataFrame,
     threshold: float,
     *,
-    centres: int = CENTRES,
+    centres: int = PIVOTS,
     id_col: str = "id",
     vector_col: str = "vector",
 ) -> DataFrame:
     """``[a, b, score]`` with a < b of all pairs with a cosine of at least ``threshold``.
 
-    Missing and zero vectors have no partner; ids are expected once. The centres
-    are at most ``centres`` vectors, drawn by a hash of the id.
+    ``similar_classes`` finds them between different vectors; here every pair of
+    ids is a row, so n copies of a vector give n (n - 1) / 2 rows. Take the
+    classes where there may be many.
     """
-    require_columns(vectors, [id_col, vector_col], "similar_pairs")
-    source = vectors.select(F.col(id_col).alias("_id"), F.col(vector_col).cast("array<double>").alias("_v"))
-    drawn = source.where(F.size("_v") > 0).orderBy(F.xxhash64("_id")).limit(centres).toArrow()
-    _, middle = _unit(drawn.combine_chunks().to_batches()[0]) if drawn.num_rows else (None, np.zeros((0, 0)))
-    id_type = source.schema["_id"].dataType.simpleString()
-    # The rounding of scores may lift a pair over the threshold.
-    reach = 2 * math.sqrt(max(0.0, 2 - 2 * (threshold - 10.0**-DIGITS))) + 1e-9
-
-    def visit(batches):
-        for whole in batches:
-            for start in range(0, whole.num_rows, AT_ONCE):
-                batch = whole.slice(start, AT_ONCE)
-                rows, units = _unit(batch)
-                if not len(rows):
-                    continue
-                apart = np.sqrt(np.maximum(0, 2 - 2 * units @ middle.T))
-                home = apart.argmin(axis=1)
-                near = apart <= apart.min(axis=1, keepdims=True) + reach
-                at, cell = np.nonzero(near)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(cell, pa.int32()),
-                        batch.column(0).take(pa.array(rows[at])),
-                        pa.array(list(units[at]), pa.list_(pa.float64())),
-                        pa.array(home[at] == cell),
-                    ],
-                    names=["_cell", "_id", "_v", "_home"],
-                )
-
-    placed = source.mapInArrow(visit, f"_cell int, _id {id_type}, _v array<double>, _home boolean")
-    at_home = placed.where("_home").select("_cell", F.col("_id").alias("b"), F.col("_v").alias("_w"))
-    guests = placed.select("_cell", F.col("_id").alias("a"), "_v")
-    # A pair meets at both homes; it is kept where the larger id is at home.
-    met = guests.join(at_home, "_cell").where("a < b")
-    score = F.round(dot(F.col("_v"), F.col("_w")), DIGITS)
-    return met.select("a", "b", score.alias("score")).where(F.col("score") >= threshold)
+    found = similar_classes(vectors, threshold, pivots=centres, id_col=id_col, vector_col=vector_col)
+    inside = found.members.select("class").distinct().select(
+        F.col("class").alias("a"), F.col("class").alias("b"), F.lit(1.0).alias("score")
+    )
+    pairs = found.pairs.unionByName(inside) if threshold <= 1.0 else found.pairs
+    left = found.members.select(F.col("class").alias("a"), F.col("id").alias("_x"))
+    right = found.members.select(F.col("class").alias("b"), F.col("id").alias("_y"))
+    joined = pairs.join(left, "a").join(right, "b").where((F.col("a") != F.col("b")) | (F.col("_x") < F.col("_y")))
+    return joined.select(
+        F.least("_x", "_y").alias("a"), F.greatest("_x", "_y").alias("b"), "score"
+    )
