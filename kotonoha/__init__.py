@@ -53,6 +53,7 @@ from kotonoha.operators.reader import (
     write_corpus_text,
 )
 from kotonoha.operators.tokenize import (
+    ArrowTokenizer,
     FrameTokenizer,
     TextTokenizer,
     select_word_form,

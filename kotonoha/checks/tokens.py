@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import re
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from kotonoha.checks.common import (
@@ -34,11 +38,13 @@ from kotonoha.operators.reader import (
     write_corpus_text,
 )
 from kotonoha.operators.tokenize import (
+    ArrowTokenizer,
     FrameTokenizer,
     explode_lists,
     select_word_form,
     split_text,
     tokenize,
+    text_tokenizer,
     tokenize_lists,
 )
 from kotonoha.operators.variants import VARIANTS
@@ -74,7 +80,10 @@ SPLIT_TOKENS = """
 )
 def _(spark, folder):
     """A caller's Python tokenizer, run in Arrow batches."""
-    tokens = tokenize(documents(spark, folder), tokenizer=split_on_space)
+    return _spans(tokenize(documents(spark, folder), tokenizer=split_on_space))
+
+
+def _spans(tokens):
     return tokens.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_tokens"),
         F.max(F.col("token_id").cast("long")).alias("last_id"),
@@ -83,6 +92,46 @@ def _(spark, folder):
     )
 
 
+def arrow_split_on_space(texts: pa.Array) -> pa.Array:
+    """The same tokens from whole columns."""
+    lists = pc.split_pattern_regex(texts, "[ \n]+")
+    words = lists.flatten()
+    some = pc.not_equal(words, "")
+    before = np.concatenate([[0], np.cumsum(some.to_numpy(zero_copy_only=False))])
+    offsets = before[lists.offsets.to_numpy() - lists.offsets[0].as_py()].astype(np.int32)
+    kept = words.filter(some)
+    runs = pa.array(np.full(len(kept), "run", object), pa.string())
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays([kept, runs], ["word", "pos"]))
+
+
+@check("tokenize_arrow", ORACLES["tokenize_function"])
+def _(spark, folder):
+    """A caller's tokenizer on Arrow columns."""
+    tokenizer = ArrowTokenizer(lambda: arrow_split_on_space)
+    return _spans(tokenize(documents(spark, folder), tokenizer=tokenizer))
+
+
+def split_or_die(text: str):
+    if len(text) > 40_000:
+        os._exit(1)
+    return split_on_space(text)
+
+
+@check(
+    "tokenize_isolated",
+    f"""SELECT d.doc_id, any_value(length(text)) > 40000 AS failed,
+               CASE WHEN any_value(length(text)) > 40000 THEN NULL ELSE count(word) END AS n_tokens
+        FROM (SELECT doc_id, regexp_replace(text, '^[{SPACES}]+|[{SPACES}]+$', '', 'g') AS text FROM documents) d
+        LEFT JOIN ({SPLIT_TOKENS}) t ON t.doc_id = d.doc_id GROUP BY d.doc_id""",
+)
+def _(spark, folder):
+    """A tokenizer that kills its process on long texts: these documents get an error."""
+    lists = tokenize_lists(documents(spark, folder), text_tokenizer(split_or_die, time_limit=60))
+    return lists.select(
+        "doc_id", F.col("error").isNotNull().alias("failed"), F.size("tokens").cast("long").alias("n_tokens")
+    )
+
+
 def frame_or_fail(frame: pd.DataFrame) -> pd.DataFrame:
     """A frame tokenizer without token_id that refuses texts with an at sign."""
     if frame["text"].str.contains("@", regex=False).any():

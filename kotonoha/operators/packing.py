@@ -5,13 +5,15 @@ when the next one would push the open group over its character or document
 limit. What a slice of the walk does depends only on the group that is open
 when the walk arrives, and that group meets at most ``max_docs`` documents of
 the slice. So every slice reports, for each place where the arriving group may
-end, what is open at the slice's end; a short fold over these reports gives each
-slice its true arrival, and the slices then number their documents in parallel.
+end, what is open at the slice's end. Reports of neighbouring stretches compose
+to the report of both, so a tree of reports gives each slice its true arrival,
+and the slices then number their documents in parallel.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -24,14 +26,16 @@ from kotonoha.schemas import require_columns
 
 MAX_CHARS = 200_000
 MAX_DOCS = 500
+# Reports that one task composes or walks.
+BLOCK_REPORTS = 64
 
 _REPORT = (
-    "key string, slice long, n long, sums array<long>, closed array<long>, "
+    "key string, slice long, n long, total long, sums array<long>, closed array<long>, "
     "open_docs array<long>, open_chars array<long>"
 )
 
 
-_REPORT_COLUMNS = ["key", "slice", "n", "sums", "closed", "open_docs", "open_chars"]
+_REPORT_COLUMNS = ["key", "slice", "n", "total", "sums", "closed", "open_docs", "open_chars"]
 
 
 def _plain_keys(keys) -> pd.Series:
@@ -55,19 +59,40 @@ def _arrival(sums: np.ndarray, docs: int, chars: int, max_chars: int, max_docs:
     return min(max(by_chars, 0), max_docs - docs, len(sums) - 1)
 
 
+def _chains(following: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For every row the start of the last group that follows from it, and how many come between."""
+    n = len(following)
+    step = np.where(following < n, following, np.arange(n))
+    groups = (following < n).astype(np.int64)
+    # Jumps of doubled length, until all have arrived.
+    while (groups[step] > 0).any():
+        groups += groups[step]
+        step = step[step]
+    return step, groups
+
+
+def _reached(following: np.ndarray, place: int) -> np.ndarray:
+    """Marks of the rows that start a group when one starts at ``place``."""
+    n = len(following)
+    marks = np.zeros(n + 1, np.int64)
+    found = np.array([place])
+    jump = np.append(following, n)
+    while len(found) and found[-1] < n:
+        # All starts up to 2^k jumps away, then as many again.
+        found = np.unique(np.concatenate([found, jump[found]]))
+        jump = jump[jump]
+    marks[found] = 1
+    return marks[:n]
+
+
 def _report(sizes: np.ndarray, max_chars: int, max_docs: int) -> dict:
     n = len(sizes)
     sums = np.concatenate([[0], np.cumsum(sizes)])
-    following = _next_starts(sums, max_chars, max_docs)
-    last = np.arange(n + 1)
-    closed = np.zeros(n + 1, dtype=np.int64)
-    for i in range(n - 1, -1, -1):
-        j = following[i]
-        if j < n:
-            last[i], closed[i] = last[j], closed[j] + 1
+    last, closed = _chains(_next_starts(sums, max_chars, max_docs))
     seen = min(n, max_docs + 1)
     return {
         "n": n,
+        "total": int(sums[n]),
         "sums": sums[: seen + 1],
         "closed": closed[:seen],
         "open_docs": n - last[:seen],
@@ -75,21 +100,104 @@ def _report(sizes: np.ndarray, max_chars: int, max_docs: int) -> dict:
     }
 
 
-def _fold(reports: pd.DataFrame, max_chars: int, max_docs: int) -> pd.DataFrame:
-    """Open group on arrival at every slice of one key."""
-    docs = chars = groups = 0
-    rows = []
-    for r in reports.sort_values("slice").itertuples(index=False):
-        rows.append((r.key, r.slice, docs, chars, groups))
-        sums = np.asarray(r.sums)
-        p = _arrival(sums, docs, chars, max_chars, max_docs)
-        if p >= r.n:
-            docs, chars = docs + r.n, chars + int(sums[r.n])
+def _arrays(row) -> dict:
+    """A report from its row, with arrays."""
+    arrays = {c: np.asarray(row[c], np.int64) for c in ("sums", "closed", "open_docs", "open_chars")}
+    return {"n": int(row["n"]), "total": int(row["total"]), **arrays}
+
+
+def _step(report: dict, docs: int, chars: int, groups: int, max_chars: int, max_docs: int) -> tuple[int, int, int]:
+    """(open documents, open characters, closed groups) behind a report, from those before it."""
+    p = _arrival(report["sums"], docs, chars, max_chars, max_docs)
+    if p >= report["n"]:
+        return docs + report["n"], chars + report["total"], groups
+    closed = groups + int(report["closed"][p]) + (1 if docs else 0)
+    return int(report["open_docs"][p]), int(report["open_chars"][p]), closed
+
+
+def _composed(first: dict, second: dict, max_chars: int, max_docs: int) -> dict:
+    """The report of two neighbouring stretches: the second after the first.
+
+    A group that starts in the first stretch leaves an open one, which arrives
+    at the second; one that starts in the second is as reported there.
+    """
+    docs, chars = first["open_docs"], first["open_chars"]
+    by_chars = np.searchsorted(second["sums"], max_chars - chars, side="right") - 1
+    p = np.minimum(np.minimum(np.maximum(by_chars, 0), max_docs - docs), len(second["sums"]) - 1)
+    whole = p >= second["n"]
+    at = np.minimum(p, max(0, len(second["closed"]) - 1))
+    seen = min(first["n"] + second["n"], max_docs + 1)
+
+    def joined(kept, left: str, extra=0):
+        inside = np.where(whole, kept, second[left][at] + extra)
+        return np.concatenate([inside, second[left]])[:seen]
+
+    return {
+        "n": first["n"] + second["n"],
+        "total": first["total"] + second["total"],
+        "sums": np.concatenate([first["sums"], first["total"] + second["sums"][1:]])[: seen + 1],
+        "closed": joined(first["closed"], "closed", first["closed"] + 1),
+        "open_docs": joined(docs + second["n"], "open_docs"),
+        "open_chars": joined(chars + second["total"], "open_chars"),
+    }
+
+
+def _compose_block(part: pd.DataFrame, max_chars: int, max_docs: int) -> pd.DataFrame:
+    """One report for the reports of a block, in order."""
+    rows = part.sort_values("slice").to_dict("records")
+    whole = reduce(lambda a, b: _composed(a, b, max_chars, max_docs), map(_arrays, rows))
+    out = pd.DataFrame([{"slice": rows[0]["block"], **whole}])
+    return out.assign(key=_plain_keys([rows[0]["key"]]))[_REPORT_COLUMNS]
+
+
+def _walk_block(part: pd.DataFrame, max_chars: int, max_docs: int) -> pd.DataFrame:
+    """What is open on arrival at every report of a block, from what is on arrival at the block."""
+    rows = part.sort_values("slice").to_dict("records")
+    state = tuple(int(rows[0][c]) for c in ("docs_in", "chars_in", "groups_in"))
+    found = []
+    for row in rows:
+        found.append((row["slice"], *state))
+        state = _step(_arrays(row), *state, max_chars, max_docs)
+    out = pd.DataFrame(found, columns=["slice", "docs", "chars", "groups"])
+    return out.assign(key=_plain_keys([r["key"] for r in rows]))[["key", "slice", "docs", "chars", "groups"]]
+
+
+_ARRIVAL = "key string, slice long, docs long, chars long, groups long"
+
+
+def _arrivals(reports: DataFrame, max_chars: int, max_docs: int) -> DataFrame:
+    """``[key, slice, docs, chars, groups]`` on arrival at every slice.
+
+    Reports are composed in blocks, the blocks' reports again, until a key has
+    one block; the arrivals come down the same way. No task sees more than
+    ``BLOCK_REPORTS`` reports of a key, whatever its number of slices.
+    """
+    levels = [cut_lineage(reports)]
+    while True:
+        top = levels[-1].withColumn("block", F.floor(F.col("slice") / BLOCK_REPORTS))
+        if top.groupBy("key").agg(F.countDistinct("block").alias("_n")).where("_n > 1").isEmpty():
+            break
+        composed = top.groupBy("key", "block").applyInPandas(
+            lambda part: _compose_block(part, max_chars, max_docs), _REPORT
+        )
+        levels.append(cut_lineage(composed))
+    # A block is named by its number, so a slice of one level is a block of the level below.
+    above = None
+    for level in reversed(levels):
+        placed = level.withColumn("block", F.floor(F.col("slice") / BLOCK_REPORTS))
+        if above is None:
+            zero = F.lit(0).cast("long")
+            placed = placed.withColumn("docs_in", zero).withColumn("chars_in", zero).withColumn("groups_in", zero)
         else:
-            groups += int(r.closed[p]) + (1 if docs else 0)
-            docs, chars = int(r.open_docs[p]), int(r.open_chars[p])
-    out = pd.DataFrame(rows, columns=["key", "slice", "docs", "chars", "groups"])
-    return out.assign(key=_plain_keys(out["key"]))
+            into = above.select(
+                F.col("key").alias("_k"), F.col("slice").alias("_b"),
+                *[F.col(c).alias(f"{c}_in") for c in ("docs", "chars", "groups")],
+            )
+            placed = placed.join(into, F.col("key").eqNullSafe(F.col("_k")) & (F.col("block") == F.col("_b"))).drop("_k", "_b")
+        above = cut_lineage(
+            placed.groupBy("key", "block").applyInPandas(lambda part: _walk_block(part, max_chars, max_docs), _ARRIVAL)
+        )
+    return above
 
 
 def pack_documents(
@@ -104,8 +212,8 @@ def pack_documents(
     """``[key?, doc_id, char_count, group_id]``; group_id counts from 0 per key.
 
     An oversize document is alone in its group; no document is split. Only
-    (key, id, size) rows take part. A slice is one range partition, and the
-    fold sees one report of at most ``max_docs`` entries per slice.
+    (key, id, size) rows take part. A slice is one range partition; its report
+    has at most ``max_docs`` entries, as has that of any number of slices together.
     """
     require_columns(docs, [id_col, size_col, *([key_col] if key_col else [])], "pack_documents")
     if max_docs < 1:
@@ -125,10 +233,7 @@ def pack_documents(
             yield row.assign(key=_plain_keys([key_value]))[_REPORT_COLUMNS]
 
     reports = sliced.mapInPandas(report, _REPORT)
-    arrivals = reports.groupBy("key").applyInPandas(
-        lambda part: _fold(part, max_chars, max_docs),
-        "key string, slice long, docs long, chars long, groups long",
-    )
+    arrivals = _arrivals(reports, max_chars, max_docs)
     # A key's first slice starts empty; only continuing slices need a row, at
     # most one per partition.
     carried = cut_lineage(arrivals.where(F.col("docs") > 0)).select(
@@ -150,10 +255,7 @@ def pack_documents(
             docs_in, chars_in, groups_in = (int(part[c].iat[0]) for c in ("docs", "chars", "groups"))
             place = _arrival(sums, docs_in, chars_in, max_chars, max_docs)
             following = _next_starts(sums, max_chars, max_docs)
-            begins = np.zeros(n, dtype=np.int64)
-            while place < n:
-                begins[place] = 1
-                place = following[place]
+            begins = _reached(following, place) if place < n else np.zeros(n, dtype=np.int64)
             # With nothing open on arrival, the first start is group 0.
             group = groups_in + np.cumsum(begins) - (0 if docs_in else 1)
             rows = part[["key", "id", "size"]].assign(group_id=group)
