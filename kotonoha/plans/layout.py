@@ -54,6 +54,12 @@ def shared_scratch(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this session wrote, with all below it."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: a lost executor re-reads the rows, never re-ranks them."""
     shared_scratch(df.sparkSession)

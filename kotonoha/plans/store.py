@@ -25,7 +25,7 @@ from kotonoha.operators.derived import derive_lists, fit_schema, list_problems,
 from kotonoha.operators.reader import CorpusReader, collect_tokens
 from kotonoha.operators.tokenize import explode_lists, tokenize_lists
 from kotonoha.plans import status
-from kotonoha.plans.layout import cut_lineage
+from kotonoha.plans.layout import cut_lineage, remove_folder
 from kotonoha.plans.numbering import number_rows
 from kotonoha.schemas import DOCUMENTS, FETCH_LOG, TOKEN_LIST, TOKENIZE_LOG
 from kotonoha.sources import files as file_source
@@ -122,8 +122,7 @@ class LogTable:
         clustered.write.partitionBy("run_id").mode("overwrite").parquet(target)
 
     def remove(self, path: str) -> None:
-        place = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+        remove_folder(self.spark, path)
 
     def drop_older(self) -> None:
         """Remove the generations before the current one; no reader may still use them."""
