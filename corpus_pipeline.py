@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from kotonoha.llm import decontaminate, langid, lines, packing, simhash
 from kotonoha.llm.common import fold, table
-from kotonoha.plans.layout import shared_scratch
+from kotonoha.plans.layout import remove_folder, shared_scratch
 from kotonoha.session import ship_package
 
 # A text is rejected when no language claims it, not even weakly.
@@ -65,10 +65,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each result is written as Parquet and read again."""
+    """All stages over documents; each result is written as Parquet and read again.
+
+    A stage's files go once the next stage is written; the last one's stay.
+    """
     folder = f"{shared_scratch(spark)}/pipeline-{uuid.uuid4().hex}"
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            remove_folder(spark, before)
+        before = f"{folder}/{name}"
     return docs
