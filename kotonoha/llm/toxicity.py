@@ -37,9 +37,10 @@ MIN_TEXTS = 5
 MIN_ODDS = 2.5
 STEMS = range(3, 8)
 WINDOW = 6
-# Words whose verdict an automaton remembers, and states it keeps, before it starts anew.
+# Words whose verdict an automaton remembers, and places in its states (their number
+# times their size), before it starts anew.
 VERDICTS = 500_000
-STATES = 50_000
+PLACES = 3_000_000
 
 _EDGE = ".,;:!?\"'()[]{}<>#*$%&|~_-+=/\\“”„«»‘’…¡¿"
 _QUOTES = frozenset("\"“”„«»‘’")
@@ -98,6 +99,7 @@ class TermAutomaton:
         if states not in self.numbers:
             self.numbers[states] = len(self.sets)
             self.sets.append(states)
+            self.places += len(states)
             self.moves.append({})
             ends = [(e, *self.word_at[n]) for n, e in states if n in self.word_at and e <= self.word_at[n][2]]
             best = min(ends, key=lambda t: (t[0], -t[2], t[1])) if ends else None
@@ -124,7 +126,7 @@ class TermAutomaton:
     def match(self, word: str) -> tuple | None:
         """(term, weight, misspelled) of a lower-case word, or None; remembered per word."""
         if (found := self.verdicts.get(word, 0)) == 0:
-            if len(self.verdicts) >= VERDICTS or len(self.sets) >= STATES:
+            if len(self.verdicts) >= VERDICTS or self.places >= PLACES:
                 self._forget()
             found = self.verdicts[word] = self._match(word)
         return found
@@ -138,6 +140,7 @@ class TermAutomaton:
         self.moves: list[dict[str, int]] = []
         self.found: list[tuple | None] = []
         self.stem: list[tuple | None] = []
+        self.places = 0
         self.start = self._state(self._closed({(0, 0)}))
 
     def _match(self, word: str) -> tuple | None:

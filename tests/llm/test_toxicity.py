@@ -41,7 +41,7 @@ def test_forgetting_changes_nothing(monkeypatch):
     want = [plain.match(w) for w in words]
     assert plain.match("x" * 500) is None and plain.match("x" * 500) is None
     monkeypatch.setattr(toxicity, "VERDICTS", 3)
-    monkeypatch.setattr(toxicity, "STATES", 5)
+    monkeypatch.setattr(toxicity, "PLACES", 9)
     bounded = toxicity.TermAutomaton(terms, {})
     assert [bounded.match(w) for w in words] == want
     assert len(bounded.verdicts) <= 3
