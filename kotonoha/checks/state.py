@@ -90,7 +90,7 @@ _RUNS = """ts AS (
     FROM fs LEFT JOIN f e ON e.doc_id = fs.doc_id AND e.run_id = fs.last_error""",
 )
 def _(spark, folder):
-    return status.fetch_status(_fetch_log(spark, folder)).drop("updated_at")
+    return status.fetch_status(status.fetch_state(_fetch_log(spark, folder))).drop("updated_at")
 
 
 @check(
@@ -111,7 +111,7 @@ def _(spark, folder):
     registry = table(spark, folder, "customer").select(
         F.col("c_custkey").alias("doc_id"), F.col("c_name").alias("abs_path")
     )
-    return status.failed_documents(registry, status.fetch_status(log))
+    return status.failed_documents(registry, status.fetch_status(status.fetch_state(log)))
 
 
 _DONE = "(last_done > last_reset AND done_version = fs.text_version)"
@@ -124,8 +124,8 @@ _DONE = "(last_done > last_reset AND done_version = fs.text_version)"
     WHERE last_fetched IS NOT NULL AND NOT coalesce({_DONE}, false)""",
 )
 def _(spark, folder):
-    fetched = status.fetch_status(_version_log(spark, folder))
-    return status.pending_documents(_tokenize_log(spark, folder), fetched)
+    fetched = status.fetch_status(status.fetch_state(_version_log(spark, folder)))
+    return status.pending_documents(status.work_state(_tokenize_log(spark, folder)), fetched)
 
 
 @check(
@@ -139,8 +139,8 @@ def _(spark, folder):
     FROM fs LEFT JOIN ts USING (doc_id) LEFT JOIN n ON n.doc_id = fs.doc_id""",
 )
 def _(spark, folder):
-    fetched = status.fetch_status(_version_log(spark, folder))
-    return status.tokenize_status(_tokenize_log(spark, folder), fetched)
+    fetched = status.fetch_status(status.fetch_state(_version_log(spark, folder)))
+    return status.tokenize_status(status.work_state(_tokenize_log(spark, folder)), fetched)
 
 
 @check(
@@ -149,7 +149,7 @@ def _(spark, folder):
 )
 def _(spark, folder):
     """The run whose tokens a reader sees after replacements and resets."""
-    return status.visible_runs(_tokenize_log(spark, folder))
+    return status.visible_runs(status.work_state(_tokenize_log(spark, folder)))
 
 
 @check(
@@ -159,7 +159,7 @@ def _(spark, folder):
 )
 def _(spark, folder):
     wanted = table(spark, folder, "labels").where("quality = 1")
-    return status.reset_rows(_tokenize_log(spark, folder), wanted)
+    return status.reset_rows(status.work_state(_tokenize_log(spark, folder)), wanted)
 
 
 @check("sync", "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
@@ -255,7 +255,7 @@ def _(spark, folder):
     files = mtimes.join(registry, "doc_id").select(
         F.col("abs_path").alias("path"), "modificationTime"
     )
-    fetched = status.fetch_status(_fetch_log(spark, folder))
+    fetched = status.fetch_status(status.fetch_state(_fetch_log(spark, folder)))
     return status.select_updates(registry, fetched, files)
 
 
@@ -395,6 +395,37 @@ def _(spark, folder):
     )
 
 
+@check(
+    "status_snapshot",
+    """WITH gone AS (SELECT doc_id FROM labels WHERE toxic = 1 AND quality <> 1)
+    SELECT CAST(doc_id AS VARCHAR) AS original_id, doc_id NOT IN (FROM gone) AS readable,
+           doc_id NOT IN (FROM gone) AND doc_id % 10 <> 0 AS tokenize_ok
+    FROM documents WHERE text IS NOT NULL""",
+)
+def _(spark, folder):
+    """Views from a folded state and newer runs: resets, runs on listed documents, changed texts."""
+    store = CorpusStore(spark, scratch(spark, "snapshot-store"))
+    source = documents(spark, folder)
+    store.register_content(source, "doc_id", "text", order_col="doc_id")
+    store.tokenize()
+    store.snapshot()
+    names = store.documents().select("doc_id", F.col("rel_path").alias("original_id"))
+    toxic = table(spark, folder, "labels").where("toxic = 1").select(
+        F.col("doc_id").cast("string").alias("original_id"), "quality"
+    )
+    hit = names.join(toxic, "original_id")
+    store.reset_tokens(hit)
+    store.tokenize(doc_ids=hit.where("quality = 1"))
+    store.snapshot()
+    changed = source.where("doc_id % 10 = 0").withColumn("text", F.concat("text", F.lit(" more")))
+    store.register_content(changed, "doc_id", "text", order_col="doc_id")
+    read = store.token_lists().select("doc_id", F.lit(True).alias("readable"))
+    state = store.tokenize_status().select("doc_id", "tokenize_ok").join(read, "doc_id", "left")
+    return state.join(names, "doc_id").select(
+        "original_id", F.coalesce("readable", F.lit(False)).alias("readable"), "tokenize_ok"
+    )
+
+
 @check(
     "store_derived",
     with_tokens("SELECT word, count(*) AS count FROM tok WHERE pos = 'word' GROUP BY word"),

@@ -1,8 +1,10 @@
 """State of a corpus as views over append-only logs.
 
 Every stage appends rows stamped with a growing ``run_id`` and never changes
-old ones. All views are one aggregate per document, so a document with a third
-of all log rows meets as partial aggregates.
+old ones. A log row is the state of its document after that one event; states
+fold to one row per document, and folded ones fold on, so the state up to a run
+can be kept and only newer rows are added. A document with a third of all log
+rows meets as partial aggregates. The views read states.
 """
 
 from __future__ import annotations
@@ -14,111 +16,161 @@ from pyspark.sql import functions as F
 MTIME_MARGIN_SECONDS = 1.0
 
 
-def _last_run(event: str) -> Column:
-    return F.max(F.when(F.col("event") == event, F.col("run_id")))
 
+def _state_of_event(log: DataFrame, kinds: dict[str, tuple[str, ...]], columns: dict[str, tuple[str, str]]) -> DataFrame:
+    """Log rows as states: each column is a log column where the event is of a kind."""
+    return log.select(
+        "doc_id",
+        *[
+            F.when(F.col("event").isin(*kinds[kind]), F.col(source)).alias(name)
+            for name, (kind, source) in columns.items()
+        ],
+    )
+
+
+def fetch_events(log: DataFrame) -> DataFrame:
+    """A fetch log as states, one per row."""
+    return _state_of_event(
+        log,
+        {"fetched": ("fetched",), "attempt": ("fetched", "error")},
+        {
+            "fetched_run": ("fetched", "run_id"),
+            "fetched_at": ("fetched", "at"),
+            "attempt_run": ("attempt", "run_id"),
+            "attempt_at": ("attempt", "at"),
+            "attempt_error": ("attempt", "error"),
+        },
+    )
+
+
+def fold_fetch(states: DataFrame) -> DataFrame:
+    """States of fetching to one per document; only the newest attempt's error stays."""
+    return states.groupBy("doc_id").agg(
+        F.max("fetched_run").alias("fetched_run"),
+        F.max_by("fetched_at", "fetched_run").alias("fetched_at"),
+        F.max("attempt_run").alias("attempt_run"),
+        F.max("attempt_at").alias("attempt_at"),
+        F.max_by("attempt_error", "attempt_run").alias("attempt_error"),
+    )
+
+
+def work_events(log: DataFrame) -> DataFrame:
+    """A tokenize log as states, one per row."""
+    return _state_of_event(
+        log,
+        {
+            "done": ("done",),
+            "reset": ("reset",),
+            "tried": ("done", "error"),
+            "shown": ("done", "error", "reset"),
+        },
+        {
+            "done_run": ("done", "run_id"),
+            "done_version": ("done", "text_version"),
+            "reset_run": ("reset", "run_id"),
+            "tried_run": ("tried", "run_id"),
+            "shown_run": ("shown", "run_id"),
+            "shown_at": ("shown", "at"),
+            "shown_error": ("shown", "error"),
+            "shown_version": ("shown", "text_version"),
+        },
+    )
 
-def fetch_status(log: DataFrame) -> DataFrame:
+
+def fold_work(states: DataFrame) -> DataFrame:
+    """States of tokenizing to one per document."""
+    return states.groupBy("doc_id").agg(
+        F.max("done_run").alias("done_run"),
+        F.max_by("done_version", "done_run").alias("done_version"),
+        F.max("reset_run").alias("reset_run"),
+        F.max("tried_run").alias("tried_run"),
+        F.max("shown_run").alias("shown_run"),
+        F.max("shown_at").alias("shown_at"),
+        F.max_by("shown_error", "shown_run").alias("shown_error"),
+        F.max_by("shown_version", "shown_run").alias("shown_version"),
+    )
+
+
+def fetch_state(log: DataFrame) -> DataFrame:
+    return fold_fetch(fetch_events(log))
+
+
+def work_state(log: DataFrame) -> DataFrame:
+    return fold_work(work_events(log))
+
+
+def fetch_status(state: DataFrame) -> DataFrame:
     """``[doc_id, fetch_ok, text_version, fetched_at, error_message, updated_at]``.
 
     fetch_ok stays true after a later failed attempt; the error shows as long
     as the latest attempt failed.
     """
-    fetched = F.col("event") == "fetched"
-    attempt = F.col("event").isin("fetched", "error")
-    per_doc = log.groupBy("doc_id").agg(
-        _last_run("fetched").alias("text_version"),
-        F.max_by(F.when(fetched, F.col("at")), F.when(fetched, F.col("run_id"))).alias("fetched_at"),
-        F.max(F.when(attempt, F.col("at"))).alias("updated_at"),
-        # Only the error text of the newest attempt is kept.
-        F.max_by(F.when(attempt, F.col("error")), F.when(attempt, F.col("run_id"))).alias(
-            "error_message"
-        ),
-    )
-    return per_doc.select(
+    return state.select(
         "doc_id",
-        F.col("text_version").isNotNull().alias("fetch_ok"),
-        "text_version",
+        F.col("fetched_run").isNotNull().alias("fetch_ok"),
+        F.col("fetched_run").alias("text_version"),
         "fetched_at",
-        "error_message",
-        "updated_at",
+        F.col("attempt_error").alias("error_message"),
+        F.col("attempt_at").alias("updated_at"),
     )
 
 
-def tokenize_runs(log: DataFrame) -> DataFrame:
-    """``[doc_id, last_done, last_reset, done_version]``; an absent event is -1."""
-    done = F.col("event") == "done"
-    return log.groupBy("doc_id").agg(
-        F.coalesce(_last_run("done"), F.lit(-1)).alias("last_done"),
-        F.coalesce(_last_run("reset"), F.lit(-1)).alias("last_reset"),
-        F.max_by(F.when(done, F.col("text_version")), F.when(done, F.col("run_id"))).alias(
-            "done_version"
-        ),
-    )
+def _has_tokens() -> Column:
+    """Tokenized, and not reset later."""
+    return F.coalesce(F.col("done_run") > F.coalesce("reset_run", F.lit(-1)), F.lit(False))
 
 
 def _is_done(version: Column) -> Column:
-    current = (F.col("last_done") > F.col("last_reset")) & (F.col("done_version") == version)
-    return F.coalesce(current, F.lit(False))
+    return F.coalesce(_has_tokens() & (F.col("done_version") == version), F.lit(False))
 
 
-def tokenize_status(log: DataFrame, fetched: DataFrame) -> DataFrame:
+def tokenize_status(state: DataFrame, fetched: DataFrame) -> DataFrame:
     """``[doc_id, tokenize_ok, error_message, updated_at]`` against the current text.
 
     A changed text clears tokenize_ok and an old error. Documents known to the
     fetch view appear even before their first tokenize row.
     """
-    shown = F.col("event").isin("done", "error", "reset")
-    newest = log.groupBy("doc_id").agg(
-        F.max(F.when(shown, F.col("at"))).alias("updated_at"),
-        F.max_by(
-            F.when(shown, F.struct("error", "text_version")), F.when(shown, F.col("run_id"))
-        ).alias("_newest"),
-    )
     versions = fetched.select("doc_id", F.col("text_version").alias("_version"))
-    known = tokenize_runs(log).join(newest, "doc_id")
-    joined = versions.join(known, "doc_id", "left")
-    error = F.when(F.col("_newest.text_version") == F.col("_version"), F.col("_newest.error"))
+    joined = versions.join(state, "doc_id", "left")
+    error = F.when(F.col("shown_version") == F.col("_version"), F.col("shown_error"))
     return joined.select(
         "doc_id",
         _is_done(F.col("_version")).alias("tokenize_ok"),
         error.alias("error_message"),
-        "updated_at",
+        F.col("shown_at").alias("updated_at"),
     )
 
 
-def pending_documents(log: DataFrame, fetched: DataFrame) -> DataFrame:
+def pending_documents(state: DataFrame, fetched: DataFrame) -> DataFrame:
     """``[doc_id, text_version]`` fetched but not tokenized at this text version."""
-    runs = tokenize_runs(log)
     ready = fetched.where("fetch_ok").select("doc_id", "text_version")
     return (
-        ready.join(runs, "doc_id", "left")
+        ready.join(state, "doc_id", "left")
         .where(~_is_done(F.col("text_version")))
         .select("doc_id", "text_version")
     )
 
 
-def visible_runs(log: DataFrame) -> DataFrame:
+def visible_runs(state: DataFrame) -> DataFrame:
     """``[doc_id, run_id]`` of the tokens a reader sees: newest done run, unless reset later.
 
     A changed text does not hide the old tokens; only a reset does.
     """
-    runs = tokenize_runs(log).where(F.col("last_done") > F.col("last_reset"))
-    return runs.select("doc_id", F.col("last_done").alias("run_id"))
+    return state.where(_has_tokens()).select("doc_id", F.col("done_run").alias("run_id"))
 
 
-def reset_rows(log: DataFrame, doc_ids: DataFrame | None = None) -> DataFrame:
+def reset_rows(state: DataFrame, doc_ids: DataFrame | None = None) -> DataFrame:
     """``[doc_id]`` that a reset has to touch: documents with tokens or with an error.
 
     ``doc_ids`` limits it to those documents.
     """
-    tried = log.where(F.col("event").isin("done", "error")).select("doc_id").distinct()
+    tried = state.where(F.col("tried_run").isNotNull()).select("doc_id")
     return tried if doc_ids is None else tried.join(doc_ids.select("doc_id"), "doc_id", "left_semi")
 
 
-def missing_status(log: DataFrame, fetch_log: DataFrame) -> DataFrame:
-    """``[doc_id]`` known to the master but not yet to this work."""
-    return fetch_log.select("doc_id").distinct().join(log, "doc_id", "left_anti")
+def missing_status(state: DataFrame, fetched: DataFrame) -> DataFrame:
+    """``[doc_id]`` known to the master but not yet to this work; any tables with ids will do."""
+    return fetched.select("doc_id").distinct().join(state, "doc_id", "left_anti")
 
 
 def failed_documents(documents: DataFrame, fetched: DataFrame) -> DataFrame:

@@ -8,7 +8,8 @@ Layout::
 
 A run writes its own directory in one job and overwrites it when repeated, so a
 crashed run leaves nothing visible and can be run again. Many works share one
-set of documents and texts. Each table has one writer at a time.
+set of documents and texts. Each table has one writer at a time. Views of the
+fetch and tokenize logs start from the newest snapshot, see ``snapshots``.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import types as T
 from kotonoha.operators.derived import derive_lists, fit_schema, list_problems, token_problems
 from kotonoha.operators.reader import CorpusReader, collect_tokens
 from kotonoha.operators.tokenize import explode_lists, tokenize_lists
-from kotonoha.plans import status
+from kotonoha.plans import snapshots, status
 from kotonoha.plans.layout import cut_lineage, remove_folder
 from kotonoha.plans.numbering import number_rows
 from kotonoha.schemas import DOCUMENTS, FETCH_LOG, TOKEN_LIST, TOKENIZE_LOG
@@ -35,6 +36,8 @@ from kotonoha.sources.content import content_pairs
 NAMED_FILES = 50_000
 # Up to this many (doc_id, run_id) keys are broadcast to leave rows out or in.
 BROADCAST_KEYS = 500_000
+# ``process`` folds the state when this many runs have come since the last time.
+SNAPSHOT_RUNS = 32
 
 _GLOB_CHARACTERS = re.compile(r"([\[\]{}*?\\])")
 
@@ -70,7 +73,7 @@ class LogTable:
 
     # -- directory listing ------------------------------------------------
 
-    def _names(self, path: str, prefix: str) -> list[int]:
+    def names(self, path: str, prefix: str) -> list[int]:
         jvm = self.spark.sparkContext._jvm
         folder = jvm.org.apache.hadoop.fs.Path(path)
         fs = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
@@ -79,15 +82,20 @@ class LogTable:
         names = [s.getPath().getName() for s in fs.listStatus(folder)]
         return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix))
 
-    def _exists(self, path: str) -> bool:
+    def exists(self, path: str) -> bool:
         jvm = self.spark.sparkContext._jvm
         place = jvm.org.apache.hadoop.fs.Path(path)
         return place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
 
+    def touch(self, path: str) -> None:
+        """An empty file as a mark."""
+        place = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).create(place, True).close()
+
     def generation(self) -> int:
         """Newest generation whose compaction finished; 0 needs no marker."""
-        found = [g for g in self._names(self.path, "gen=") if g]
-        finished = [g for g in found if self._exists(f"{self.path}/gen={g}/_SUCCESS")]
+        found = [g for g in self.names(self.path, "gen=") if g]
+        finished = [g for g in found if self.exists(f"{self.path}/gen={g}/_SUCCESS")]
         return max(finished, default=0)
 
     @property
@@ -95,20 +103,23 @@ class LogTable:
         return f"{self.path}/gen={self.generation()}"
 
     def runs(self) -> list[int]:
-        return self._names(self.folder, "run_id=")
+        return self.names(self.folder, "run_id=")
 
     # -- rows ---------------------------------------------------------------
 
-    def read(self, without: int | None = None) -> DataFrame:
-        """All rows, or those of all runs but the given one, which is being written."""
+    def read(self, without: int | None = None, after: int | None = None) -> DataFrame:
+        """All rows, those of the runs after one, or of all runs but one, which is being written."""
         folder = self.folder
-        if not self._names(folder, "run_id="):
+        runs = [r for r in self.names(folder, "run_id=") if after is None or r > after]
+        if not runs:
             return self.spark.createDataFrame([], self.schema)
-        rows = self.spark.read.schema(self.schema).option("basePath", folder).parquet(folder)
+        places = [folder] if after is None else [f"{folder}/run_id={r}" for r in runs]
+        rows = self.spark.read.schema(self.schema).option("basePath", folder).parquet(*places)
         return rows if without is None else rows.where(F.col("run_id") != without)
 
     def append(self, rows: DataFrame, run_id: int) -> None:
         names = [f.name for f in self.schema if f.name != "run_id"]
+        snapshots.mark_stale(self, run_id)
         rows.select(*names).write.mode("overwrite").parquet(f"{self.folder}/run_id={run_id}")
 
     def compact(self, rows: DataFrame) -> None:
@@ -116,7 +127,7 @@ class LogTable:
 
         Rows are clustered by run first, so that a run becomes few files.
         """
-        target = f"{self.path}/gen={max(self._names(self.path, 'gen='), default=0) + 1}"
+        target = f"{self.path}/gen={max(self.names(self.path, 'gen='), default=0) + 1}"
         names = [f.name for f in self.schema]
         clustered = rows.select(*names).repartitionByRange("run_id", "doc_id")
         clustered.write.partitionBy("run_id").mode("overwrite").parquet(target)
@@ -126,7 +137,7 @@ class LogTable:
 
     def drop_older(self) -> None:
         """Remove the generations before the current one; no reader may still use them."""
-        for old in self._names(self.path, "gen="):
+        for old in self.names(self.path, "gen="):
             if old < self.generation():
                 self.remove(f"{self.path}/gen={old}")
 
@@ -155,11 +166,17 @@ class CorpusStore:
     def documents(self) -> DataFrame:
         return self.documents_table.read().drop("run_id")
 
+    def _fetch_state(self) -> DataFrame:
+        return snapshots.read_state(self.fetch_table, snapshots.FETCH_RULE)
+
+    def _work_state(self) -> DataFrame:
+        return snapshots.read_state(self.work_table, snapshots.WORK_RULE)
+
     def fetch_status(self) -> DataFrame:
-        return status.fetch_status(self.fetch_table.read())
+        return status.fetch_status(self._fetch_state())
 
     def tokenize_status(self) -> DataFrame:
-        return status.tokenize_status(self.work_table.read(), self.fetch_status())
+        return status.tokenize_status(self._work_state(), self.fetch_status())
 
     def texts(self, wanted: DataFrame | None = None) -> DataFrame:
         """``[doc_id, char_count, text, text_version]`` of every fetched document.
@@ -173,13 +190,13 @@ class CorpusStore:
         return rows.select("doc_id", "char_count", "text", F.col("run_id").alias("text_version"))
 
     def pending(self) -> DataFrame:
-        return status.pending_documents(self.work_table.read(), self.fetch_status())
+        return status.pending_documents(self._work_state(), self.fetch_status())
 
     def _live_lists(self) -> DataFrame:
         """``[doc_id, tokens, text_version]`` of the rows a reader sees."""
-        log = self.work_table.read()
-        done = log.where("event = 'done'").select("doc_id", "run_id", "tokens", "text_version")
-        return pick_rows(done, status.visible_runs(log)).drop("run_id")
+        done = self.work_table.read().where("event = 'done'")
+        rows = done.select("doc_id", "run_id", "tokens", "text_version")
+        return pick_rows(rows, status.visible_runs(self._work_state())).drop("run_id")
 
     def token_lists(self) -> DataFrame:
         """``[doc_id, tokens]`` a reader sees, one row per tokenized document."""
@@ -207,7 +224,7 @@ class CorpusStore:
     def _noted_run(self) -> int:
         """Largest run that a stream has noted for a batch, written or not."""
         notes = LogTable(self.spark, f"{self.root}/streams", FETCH_LOG)
-        if not notes._exists(notes.path):
+        if not notes.exists(notes.path):
             return 0
         noted = self.spark.read.schema("run long").option("recursiveFileLookup", "true")
         return noted.parquet(notes.path).agg(F.max("run")).first()[0] or 0
@@ -399,10 +416,12 @@ class CorpusStore:
         table.append(rows, run_id)
 
     def process(self, tokenizer=None, *, fetch_only: bool = False, check_updates: bool = True) -> None:
-        """Ingest, then tokenize unless ``fetch_only``."""
+        """Ingest, then tokenize unless ``fetch_only``; now and then the state is folded."""
         self.ingest(check_updates=check_updates)
         if not fetch_only:
             self.tokenize(tokenizer)
+        if max(map(snapshots.runs_since, (self.fetch_table, self.work_table))) >= SNAPSHOT_RUNS:
+            self.snapshot()
 
     def _id_table(self, doc_ids) -> DataFrame | None:
         if isinstance(doc_ids, DataFrame):
@@ -451,12 +470,12 @@ class CorpusStore:
             wanted = self._id_table(doc_ids)
             if wanted is None:
                 return
-        rows = status.reset_rows(self.work_table.read(), wanted)
+        rows = status.reset_rows(self._work_state(), wanted)
         self.work_table.append(self._status_rows(rows, "reset"), self.next_work_run())
 
     def sync_status(self) -> None:
         """Add master documents this work has not seen; existing rows stay."""
-        rows = status.missing_status(self.work_table.read(), self.fetch_table.read())
+        rows = status.missing_status(self._work_state(), self._fetch_state())
         self.work_table.append(self._status_rows(rows, "registered"), self.next_work_run())
 
     # -- derived works ----------------------------------------------------------------
@@ -542,11 +561,19 @@ class CorpusStore:
 
     # -- maintenance ------------------------------------------------------------------
 
+    def snapshot(self) -> None:
+        """Fold the state of every document up to the newest run of its log and keep it.
+
+        Later views read it and the rows of newer runs only. A writer's action.
+        """
+        snapshots.write_snapshot(self.fetch_table, snapshots.FETCH_RULE)
+        snapshots.write_snapshot(self.work_table, snapshots.WORK_RULE)
+
     def compact(self, *, drop_older: bool = False) -> None:
         """Rewrite the logs of documents, fetches and this work without rows no view needs.
 
         Wide rows are picked by thin keys and moved once, to cluster them by
-        run. ``drop_older`` then frees the space of earlier generations; leave it
+        run, and the state is folded anew. ``drop_older`` then frees the space of earlier generations; leave it
         off while another session reads them.
         """
         log, fetched = self.work_table.read(), self.fetch_table.read()
@@ -555,6 +582,7 @@ class CorpusStore:
         self.work_table.compact(pick_rows(log, _needed_runs(log, done)))
         self.fetch_table.compact(pick_rows(fetched, _needed_runs(fetched, read)))
         self.documents_table.compact(self.documents_table.read())
+        self.snapshot()
         if drop_older:
             for table in (self.work_table, self.fetch_table, self.documents_table):
                 table.drop_older()

@@ -57,6 +57,31 @@ TOKENIZE_LOG = T.StructType(
     ]
 )
 
+# What a fetch log says of a document up to a run, and what a tokenize log does.
+FETCH_STATE = T.StructType(
+    [
+        T.StructField("doc_id", T.LongType()),
+        T.StructField("fetched_run", T.LongType()),
+        T.StructField("fetched_at", T.TimestampType()),
+        T.StructField("attempt_run", T.LongType()),
+        T.StructField("attempt_at", T.TimestampType()),
+        T.StructField("attempt_error", T.StringType()),
+    ]
+)
+WORK_STATE = T.StructType(
+    [
+        T.StructField("doc_id", T.LongType()),
+        T.StructField("done_run", T.LongType()),
+        T.StructField("done_version", T.LongType()),
+        T.StructField("reset_run", T.LongType()),
+        T.StructField("tried_run", T.LongType()),
+        T.StructField("shown_run", T.LongType()),
+        T.StructField("shown_at", T.TimestampType()),
+        T.StructField("shown_error", T.StringType()),
+        T.StructField("shown_version", T.LongType()),
+    ]
+)
+
 
 def require_columns(df: DataFrame, columns: list[str], where: str) -> None:
     """KeyError naming the missing columns, raised before any job starts."""

@@ -35,11 +35,11 @@ def _run_of_batch(store: CorpusStore, stream: str, batch_id: int, allocate: Call
     folder = f"{store.root}/streams/{stream}"
     path = f"{folder}/batch={batch_id}"
     notes = LogTable(spark, folder, FETCH_LOG)
-    if not notes._exists(f"{path}/_SUCCESS"):
+    if not notes.exists(f"{path}/_SUCCESS"):
         spark.createDataFrame([(allocate(),)], "run long").coalesce(1).write.mode(
             "overwrite"
         ).parquet(path)
-        for older in notes._names(folder, "batch="):
+        for older in notes.names(folder, "batch="):
             if older < batch_id:
                 notes.remove(f"{folder}/batch={older}")
     return spark.read.schema("run long").parquet(path).first()["run"]
@@ -81,7 +81,7 @@ def stream_files(
         files = known.select(F.col("abs_path").alias("path"), "modificationTime")
         # Documents of this batch's own run count as not read yet.
         unread = known.select("doc_id").join(log, "doc_id", "left_anti")
-        state = status.fetch_status(log).unionByName(
+        state = status.fetch_status(status.fetch_state(log)).unionByName(
             unread.withColumn("fetch_ok", F.lit(False)), allowMissingColumns=True
         )
         wanted = cut_lineage(status.select_updates(known, state, files))
