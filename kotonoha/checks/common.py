@@ -69,8 +69,8 @@ def with_tokens(body: str, source: str = "documents", id_col: str = "doc_id") ->
 
 # Part-of-speech names of the derived variants, given to script tokens so that
 # every branch of the variants is taken.
-def variant_input(spark: SparkSession, folder: str) -> DataFrame:
-    tokens = doc_tokens(spark, folder)
+def variant_input(spark: SparkSession, folder: str, **options) -> DataFrame:
+    tokens = doc_tokens(spark, folder, **options)
     word = F.col("word")
     pos = (
         F.when(F.col("pos") == "symbol", F.when(word == "-", F.lit("感動詞")).otherwise(F.lit("補助記号")))

@@ -174,6 +174,18 @@ def _(spark, folder):
     return pos_distribution(tokens)
 
 
+@check("word_form_typed", ORACLES["word_form"])
+def _(spark, folder):
+    """The form read by path from a token_info that is VARIANT: no JSON on the way."""
+    return tokens_to_text(select_word_form(doc_tokens(spark, folder, variant_info=True), "norm"))
+
+
+@check("coarse_pos_typed", ORACLES["coarse_pos"])
+def _(spark, folder):
+    tokens = doc_tokens(spark, folder, variant_info=True)
+    return pos_distribution(tokens.withColumn("pos", coarse_pos_from_info(F.col("token_info"), variant=True)))
+
+
 # One recursion step per piece; the last delimiter is found from the tail that
 # has none.
 _WINDOW = f"substr(rest, {int(SPLIT_MAX_LENGTH * 0.9) + 1}, {SPLIT_MAX_LENGTH - int(SPLIT_MAX_LENGTH * 0.9)})"
@@ -372,6 +384,11 @@ def _variant_check(name: str) -> None:
     def _(spark, folder):
         return tokens_to_text(VARIANTS[name](variant_input(spark, folder)))
 
+    @check(f"variant_{name}_typed", ORACLES[f"variant_{name}"])
+    def _(spark, folder):
+        """The same with a token_info that is VARIANT."""
+        return tokens_to_text(VARIANTS[name](variant_input(spark, folder, variant_info=True)))
+
 
 for _name in VARIANTS:
     _variant_check(_name)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import VariantType
 
 # Fixed values of the built-in script tokenizer. A token is a run of letters of
 # one script (Han, hiragana, katakana, everything else), a number, or a single
@@ -83,10 +84,31 @@ def script_info(surface: Column, pos: Column) -> Column:
     return F.when(pos == POS_SYMBOL, escaped).otherwise(F.concat(*parts))
 
 
-def form_from_info(info: Column, word: Column, word_form: str) -> Column:
+def script_info_variant(surface: Column, pos: Column) -> Column:
+    """token_info as VARIANT: no JSON is written, and none parsed when it is read."""
+    return F.to_variant_object(
+        F.struct(
+            surface.alias("surface"),
+            surface.alias("dictionary_form"),
+            F.lower(surface).alias("normalized_form"),
+            F.array(pos).alias("pos_detail"),
+        )
+    )
+
+
+def is_variant(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, VariantType)
+
+
+def read_info(info: Column, path: str, variant: bool = False) -> Column:
+    """A value of token_info as text, from JSON text or from a VARIANT; NULL where there is none."""
+    return F.try_variant_get(info, path, "string") if variant else F.get_json_object(info, path)
+
+
+def form_from_info(info: Column, word: Column, word_form: str, variant: bool = False) -> Column:
     """Re-select the word form from token_info; unreadable info keeps the word."""
     keys = FORM_KEYS[resolve_form(word_form)]
-    return F.coalesce(*[F.get_json_object(info, f"$.{k}") for k in keys], word)
+    return F.coalesce(*[read_info(info, f"$.{k}", variant) for k in keys], word)
 
 
 def coarse_pos(detail: Column) -> Column:
@@ -94,8 +116,8 @@ def coarse_pos(detail: Column) -> Column:
     return F.split(detail, ",", 2)[0]
 
 
-def coarse_pos_from_info(info: Column) -> Column:
-    return F.get_json_object(info, "$.pos_detail[0]")
+def coarse_pos_from_info(info: Column, variant: bool = False) -> Column:
+    return read_info(info, "$.pos_detail[0]", variant)
 
 
 def as_name_list(names: str | Iterable[str] | None) -> list[str]:

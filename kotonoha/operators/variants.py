@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kotonoha.functions import text as text_fn
-from kotonoha.functions.words import form_from_info
+from kotonoha.functions.words import form_from_info, is_variant
 from kotonoha.operators.filters import filter_tokens
 
 # Parts of speech named by the three variants.
@@ -29,20 +29,21 @@ def filtered_variant(tokens: DataFrame) -> DataFrame:
     return kept.where(~text_fn.is_noise(F.col("word")))
 
 
-def _surface():
-    return form_from_info(F.col("token_info"), F.col("word"), "surface")
+def _surface(tokens: DataFrame):
+    variant = is_variant(tokens, "token_info")
+    return form_from_info(F.col("token_info"), F.col("word"), "surface", variant)
 
 
 def surface_variant(tokens: DataFrame) -> DataFrame:
     """Words as written; only blanks dropped."""
-    return filter_tokens(tokens.withColumn("word", _surface()), pos_exclude=POS_BLANK, strict=False)
+    return filter_tokens(tokens.withColumn("word", _surface(tokens)), pos_exclude=POS_BLANK, strict=False)
 
 
 def hybrid_variant(tokens: DataFrame) -> DataFrame:
     """Content words keep their form, all others go back to the surface; numbers masked."""
     kept = filter_tokens(tokens, pos_exclude=HYBRID_DROP, strict=False)
     content = F.coalesce(F.col("pos").isin(*HYBRID_KEEP_FORM), F.lit(False))
-    word = F.when(content, F.col("word")).otherwise(_surface())
+    word = F.when(content, F.col("word")).otherwise(_surface(tokens))
     return mask_number_words(kept.withColumn("word", word))
 
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from kotonoha.functions.words import is_variant
 from kotonoha.operators.derived import fit_schema
 
 
@@ -11,9 +13,12 @@ def write_tokens(tokens: DataFrame, path: str, *, mode: str = "overwrite") -> No
     """ZSTD Parquet, range-partitioned and sorted by (doc_id, token_id).
 
     The sort gives each row group a narrow doc_id range, which is what range
-    reads prune by; a long document may span files.
+    reads prune by; a long document may span files. token_info is stored as
+    JSON text, also where it is a VARIANT.
     """
     keys = ["doc_id", "token_id"]
+    if "token_info" in tokens.columns and is_variant(tokens, "token_info"):
+        tokens = tokens.withColumn("token_info", F.to_json("token_info"))
     fit_schema(tokens).repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode(
         mode
     ).option("compression", "zstd").parquet(path)
