@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kotonoha.operators.filters import filter_tokens
 from kotonoha.operators.pruning import prune_rare
 from kotonoha.plans.numbering import number_rows
-from kotonoha.plans.layout import cut_lineage
+from kotonoha.plans.layout import cut_lineage, fix_wide
 from kotonoha.schemas import require_columns
 
 
@@ -145,9 +145,11 @@ def tf_idf(matrix: DataFrame, *, id_col: str = "doc_id", word_col: str = "word")
     """``[doc_id, word, count, tfidf]`` with idf = ln((1 + N) / (1 + df)) + 1.
 
     Document count and document frequencies come from the matrix itself, whose
-    rows are already one per (document, word). A word found in every document
-    is a hot key of the join, which adaptive execution splits.
+    rows are already one per (document, word). It is read twice, so it is fixed
+    first and whatever makes it, such as tokenizing, runs once. A word found in
+    every document is a hot key of the join, which adaptive execution splits.
     """
+    matrix = fix_wide(matrix.select(id_col, word_col, "count"))
     # Counting by the count column keeps all three reads of the matrix the same
     # plan, so its shuffle is computed once and reused.
     cells = F.count_if(F.col("count") > 0)
@@ -156,7 +158,8 @@ def tf_idf(matrix: DataFrame, *, id_col: str = "doc_id", word_col: str = "word")
     idf = per_word.select(
         word_col, (F.log((n_docs.scalar() + 1) / (F.col("_df") + 1)) + 1).alias("_idf")
     )
-    # Fixed first, so that both sides are shuffled for the join alone.
-    return matrix.join(cut_lineage(idf), word_col).select(
+    # Fixed first, so that both sides are shuffled for the join alone; the large side
+    # is not sorted for it.
+    return matrix.join(cut_lineage(idf).hint("shuffle_hash"), word_col).select(
         id_col, word_col, "count", (F.col("count") * F.col("_idf")).alias("tfidf")
     )

@@ -137,3 +137,16 @@ def test_edge_errors(spark):
     with pytest.raises(ValueError):
         merge_edges(edges(grams(spark, [("a b", 1)])), merge="other")
     assert rows_of(edges(grams(spark, [("a", 2), ("a b", 1)])).select(F.count("target")))[0][0] == 1
+
+
+def test_tf_idf_makes_its_matrix_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def word(n):
+        made.add(1)
+        return f"w{n % 5}"
+
+    cells = spark.range(40).select((F.col("id") % 8).alias("doc_id"), word("id").alias("word"), F.lit(1).alias("count"))
+    assert len(k.tf_idf(cells).collect()) == 40
+    assert made.value == 40
