@@ -10,12 +10,13 @@ from pyspark.sql.types import VariantType
 
 # Fixed values of the built-in script tokenizer. A token is a run of letters of
 # one script (Han, hiragana, katakana, everything else), a number, or a single
-# other character; whitespace is never a token.
+# other character; whitespace is never a token. The ranges decide ASCII first,
+# since a script is looked up by a search in a table.
 SCRIPT_PATTERN = (
-    r"[\p{L}\p{M}&&[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}ー]]+"
-    r"|\p{IsHan}+"
-    r"|\p{IsHiragana}+"
-    r"|[\p{IsKatakana}ー]+"
+    r"[A-Za-z[[\x{80}-\x{10ffff}]&&[\p{L}\p{M}]&&[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}ー]]]+"
+    r"|[[\x{80}-\x{10ffff}]&&\p{IsHan}]+"
+    r"|[[\x{80}-\x{10ffff}]&&\p{IsHiragana}]+"
+    r"|[[\x{80}-\x{10ffff}]&&[\p{IsKatakana}ー]]+"
     r"|\p{Nd}+(?:\.\p{Nd}+)?"
     r"|[^\p{L}\p{M}\p{Nd}\p{IsWhite_Space}\x1c-\x1f]"
 )
@@ -33,6 +34,10 @@ FORM_KEYS = {
     "surface": ("surface",),
     "normalized": ("normalized_form",),
 }
+# token_info as ``script_info`` writes it, nothing escaped: its forms are read
+# without parsing JSON. The form asked for becomes the group.
+PLAIN_KEYS = ("surface", "dictionary_form", "normalized_form")
+PLAIN_CHARS = r'[^"\\\x00-\x1f]'
 
 
 def resolve_form(word_form: str | None, use_base_form: bool = True) -> str:
@@ -53,10 +58,13 @@ def script_words(text: Column) -> Column:
 
 
 def script_pos(surface: Column) -> Column:
-    """Word class of a script token, decided by its first character."""
+    """Word class of a script token, decided by its first character; ASCII by comparison alone."""
     first = F.substring(surface, 1, 1)
     return (
-        F.when(first.rlike(r"[\p{L}\p{M}]"), F.lit(POS_WORD))
+        F.when(first.between("a", "z") | first.between("A", "Z"), F.lit(POS_WORD))
+        .when(first.between("0", "9"), F.lit(POS_NUMBER))
+        .when(first < "\x80", F.lit(POS_SYMBOL))
+        .when(first.rlike(r"[\p{L}\p{M}]"), F.lit(POS_WORD))
         .when(first.rlike(r"\p{Nd}"), F.lit(POS_NUMBER))
         .otherwise(F.lit(POS_SYMBOL))
     )
@@ -108,7 +116,18 @@ def read_info(info: Column, path: str, variant: bool = False) -> Column:
 def form_from_info(info: Column, word: Column, word_form: str, variant: bool = False) -> Column:
     """Re-select the word form from token_info; unreadable info keeps the word."""
     keys = FORM_KEYS[resolve_form(word_form)]
-    return F.coalesce(*[read_info(info, f"$.{k}", variant) for k in keys], word)
+    found = [read_info(info, f"$.{k}", variant) for k in keys]
+    if not variant:
+        plain = F.regexp_extract_all(info, F.lit(plain_pattern(keys[0])), F.lit(1))
+        found = [F.get(plain, F.lit(0)), *found]
+    return F.coalesce(*found, word)
+
+
+def plain_pattern(key: str) -> str:
+    """Matches only a whole token_info of the layout above whose value of ``key`` is not empty."""
+    values = [f"({PLAIN_CHARS}+)" if k == key else f"{PLAIN_CHARS}*" for k in PLAIN_KEYS]
+    pairs = ",".join(f'"{k}":"{v}"' for k, v in zip(PLAIN_KEYS, values))
+    return rf'^\{{{pairs},"pos_detail":\["{PLAIN_CHARS}*"\]\}}\z'
 
 
 def coarse_pos(detail: Column) -> Column:

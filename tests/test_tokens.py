@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import kotonoha as k
 from kotonoha.functions.text import cut_points, has_content, is_noise, mask_numbers, strip_text
+from kotonoha.functions.words import plain_pattern, script_words
 from kotonoha.operators import filters as filter_module
 from tests.conftest import rows_of
 
@@ -340,3 +341,47 @@ def test_stopwords_of_lists_in_any_number(spark, tokens, monkeypatch):
             kept = list_module.filter_lists(rows, stopwords=stopwords)
             assert kept.columns == rows.columns and kept.count() == 3
             assert rows_of(list_module.text_of_lists(kept).where("doc_id IS NOT NULL"), "doc_id") == want
+
+
+ODD_INFOS = [
+    '{"surface":"A","dictionary_form":"b","normalized_form":"c","pos_detail":["word"]}',
+    '{"surface":"A","dictionary_form":"b","normalized_form":"","pos_detail":["word"]}',
+    '{"surface":"A","dictionary_form":"b","normalized_form":"c","pos_detail":["word"]',
+    '{"surface":"A","dictionary_form":"b","normalized_form":"c","pos_detail":["word"]}\n',
+    '{"surface":"\\"","dictionary_form":"\\"","normalized_form":"\\"","pos_detail":["symbol"]}',
+    '{"surface":"x","sub":{"normalized_form":"no"}}',
+    '{"base_form":"b","surface":"s"}',
+    "no JSON",
+    None,
+]
+
+
+@pytest.mark.parametrize("form, key", [("surface", "surface"), ("norm", "normalized_form"), ("dict", "dictionary_form")])
+def test_forms_read_without_parsing_are_those_of_the_json(spark, form, key):
+    tokens = spark.createDataFrame([(i, "w", t) for i, t in enumerate(ODD_INFOS)], "n int, word string, token_info string")
+    parsed = [F.get_json_object("token_info", f"$.{x}") for x in (key, *(["base_form"] if form == "dict" else []))]
+    want = rows_of(tokens.select("n", F.coalesce(*parsed, "word")), "n")
+    assert rows_of(k.select_word_form(tokens, form).select("n", "word"), "n") == want
+
+
+def test_plain_info_is_not_parsed(spark):
+    """Every token but an escaped one is read by the pattern, which must follow ``script_info``."""
+    info = k.tokenize(docs_of(spark, "Das Été 漢字 かな 12.5 , é"))
+    plain = F.regexp_extract_all("token_info", F.lit(plain_pattern("normalized_form")), F.lit(1))
+    found = rows_of(info.select("token_id", F.get(plain, F.lit(0))), "token_id")
+    assert [r[1] for r in found] == ["das", "été", "漢字", "かな", "12.5", ",", "é"]
+
+
+def test_script_pattern_is_that_of_the_classes(spark):
+    """Every code point between tokens of all kinds, against the classes without ranges."""
+    plain = (
+        r"[\p{L}\p{M}&&[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}ー]]+|\p{IsHan}+|\p{IsHiragana}+|[\p{IsKatakana}ー]+"
+        r"|\p{Nd}+(?:\.\p{Nd}+)?|[^\p{L}\p{M}\p{Nd}\p{IsWhite_Space}\x1c-\x1f]"
+    )
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(f"a{c}漢{c}ひ{c}カ{c}1{c}{c}.{c}2" for c in points[i : i + 500]) for i in range(0, len(points), 500)]
+    docs = docs_of(spark, *texts)
+    assert docs.where(F.regexp_extract_all("text", F.lit(plain), F.lit(0)) != script_words(F.col("text"))).count() == 0
+    first = F.substring("word", 1, 1)
+    pos = F.when(first.rlike(r"[\p{L}\p{M}]"), "word").when(first.rlike(r"\p{Nd}"), "number").otherwise("symbol")
+    assert k.tokenize(docs).where(F.col("pos") != pos).count() == 0
