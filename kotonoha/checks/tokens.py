@@ -49,7 +49,7 @@ from kotonoha.operators.tokenize import (
 )
 from kotonoha.operators.variants import VARIANTS
 from kotonoha.schemas import TOKEN_LIST
-from kotonoha.sources.sinks import read_tokens, write_tokens
+from kotonoha.sources.sinks import read_tokens, write_document_tokens
 
 QUERIES, ORACLES, check = registry()
 
@@ -290,7 +290,7 @@ def _(spark, folder):
 def _(spark, folder):
     """ZSTD Parquet copy of the token table, read back."""
     path = scratch(spark, "tokens")
-    write_tokens(doc_tokens(spark, folder), path)
+    write_document_tokens(documents(spark, folder), path)
     return read_tokens(spark, path).drop("token_info")
 
 

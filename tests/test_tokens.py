@@ -2,6 +2,7 @@ import json
 import re
 
 import pandas as pd
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,6 +13,10 @@ from kotonoha.operators import filters as filter_module
 from tests.conftest import rows_of
 
 
+def _split(text):
+    return [(word, "word", None) for word in text.split()]
+
+
 def docs_of(spark, *texts):
     return spark.createDataFrame(list(enumerate(texts, 1)), "doc_id long, text string")
 
@@ -311,6 +316,37 @@ def test_pandas_transform_isolates_failures(spark):
     assert found[3]["tokens"] == [] and found[4]["tokens"] == []
 
 
+def test_document_tokens_are_stored_without_a_shuffle_of_tokens(spark, tmp_path, monkeypatch):
+    """The token table of the documents, files sorted; what meets in the shuffle are texts."""
+    from kotonoha.sources import sinks
+
+    written = []
+    write = sinks._write
+    monkeypatch.setattr(sinks, "_write", lambda rows, *rest: (written.append(rows), write(rows, *rest)))
+    texts = [(i * 7 % 60, f"text {i} - of 1.5 words " * (i % 5)) for i in range(60)]
+    texts += [(3, "again"), (3, "and again"), (None, "no id"), (None, "none"), (61, None), (62, "")]
+    docs = spark.createDataFrame(texts, "key long, body string").repartition(7)
+    columns = dict(id_col="key", text_col="body")
+    for name, options in (("script", {}), ("typed", {"variant_info": True}), ("called", {"tokenizer": _split})):
+        path = str(tmp_path / name)
+        sinks.write_document_tokens(docs, path, **columns, **options)
+        plain = {k: v for k, v in options.items() if k != "variant_info"}
+        expected = k.tokenize(docs, **columns, **plain).withColumnRenamed("key", "doc_id")
+        stored = sinks.read_tokens(spark, path)
+        assert sorted(map(str, rows_of(stored.drop("token_info")))) == sorted(map(str, rows_of(expected.drop("token_info"))))
+        for file in (tmp_path / name).glob("*.parquet"):
+            keys = [(r["doc_id"], r["token_id"]) for r in pq.read_table(file).to_pylist()]
+            known = [x for x in keys if x[0] not in (None, 3)]
+            assert known == sorted(known)
+            assert [x[0] or -1 for x in keys] == sorted(x[0] or -1 for x in keys)
+    for rows in written:
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Sort [") == 1
+        # The lower a step, the later it is named: tokens are made above the exchange of texts.
+        assert plan.index("token_id") < plan.index("RepartitionByExpression")
+        assert "token_id" not in plan[plan.index("RepartitionByExpression") :]
+
+
 def test_token_sink_round_trip(spark, tmp_path):
     from kotonoha.sources.sinks import read_tokens, write_tokens
 
