@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from kotonoha.operators.tokenize import tokenize_lists
 from kotonoha.plans import status
 from kotonoha.plans.layout import cut_lineage
 from kotonoha.plans.store import CorpusStore, LogTable, pick_rows
@@ -145,7 +144,6 @@ def stream_tokens(
         fetched = store.fetch_table.read().where(new).where("event = 'fetched'")
         newest = fetched.groupBy("doc_id").agg(F.max("run_id").alias("run_id"))
         texts = pick_rows(fetched, newest).withColumnRenamed("run_id", "text_version")
-        lists = tokenize_lists(texts, tokenizer, word_form=word_form, carry=("text_version",))
-        store._append_lists(lists, store.work_table, run_id)
+        store._tokenize_texts(texts, tokenizer, word_form, run_id)
 
     return _start(windows, each_batch, checkpoint, available_now)

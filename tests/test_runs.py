@@ -50,3 +50,20 @@ def test_rows_in_any_order_with_nulls_and_copies(spark):
     assert found == blocks
     words = {r["doc_id"]: r["words"] for r in k.word_lists(tokens.where("token_id IS NOT NULL"), block_size=16).collect()}
     assert words == {d: [t[1] for t in ts if t[0] is not None and t[1] is not None] for d, ts in wanted.items()}
+
+
+def test_items_with_any_characters_come_back(spark):
+    odd = ["", "\x01", "\x02", "\x03", "\x03a", "\x03c\x01", "a\x01b", "\x02\x02", None, "plain", "\x00"]
+    rows = [(1, i, w, odd[-1 - i], odd[(i * 3) % len(odd)]) for i, w in enumerate(odd)]
+    found = collect_tokens(spark.createDataFrame(rows, SCHEMA).coalesce(1)).first()["tokens"]
+    assert [tuple(t) for t in found] == [r[1:] for r in rows]
+
+
+def test_long_runs_are_cut(spark):
+    """Item numbers take two bytes; a run with more rows becomes several."""
+    tokens = spark.range(70_000).coalesce(1).select(
+        F.lit(1).cast("long").alias("doc_id"), F.lit(0).alias("token_id"), F.col("id").cast("string").alias("word"),
+        F.lit("word").alias("pos"), F.lit(None).cast("string").alias("token_info"),
+    )
+    words = collect_tokens(tokens).first()["tokens"]
+    assert sorted(int(t["word"]) for t in words) == list(range(70_000))
