@@ -1,6 +1,7 @@
 """token_info as VARIANT gives what JSON text gives."""
 
 import json
+import os
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,3 +47,37 @@ def test_odd_infos_of_other_tokenizers(spark):
     found, wanted = (k.select_word_form(t, "surface").select(*KEYS, "word") for t in (typed, text))
     assert [r[2] for r in rows_of(found, *KEYS)] == ["X", "w1", "w2", "7", "w4", "w5", "w6"]
     assert rows_of(found, *KEYS) == rows_of(wanted, *KEYS)
+
+
+def test_variants_read_no_more_than_the_surface(spark):
+    from kotonoha.operators.variants import VARIANTS, surface_only
+
+    infos = [None, "", "no json", '{"surface":"Über"}', '{"surface":""}', '{"surface":null}', '{"base_form":"x"}',
+             '{"surface":"a\\"b","dictionary_form":"x","normalized_form":"y","pos_detail":["word"]}',
+             '{"surface":"w","dictionary_form":"w","normalized_form":"w","pos_detail":["word"]}']
+    rows = [
+        (i, j, word, pos, info)
+        for i, info in enumerate(infos)
+        for j, (word, pos) in enumerate([("w", "名詞"), ("3.5", "動詞"), (None, "動詞"), ("über", None), ("-", "補助記号")])
+    ]
+    tokens = spark.createDataFrame(rows, "doc_id long, token_id int, word string, pos string, token_info string")
+    names = ["doc_id", "token_id", "word", "pos"]
+    for variant in VARIANTS.values():
+        found = variant(surface_only(tokens)).select(*names)
+        assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, variant(tokens).select(*names).collect()), key=str)
+    same = surface_only(tokens).where("doc_id = 8 AND word = 'w'").first()
+    assert same["token_info"] is None
+    typed = surface_only(tokens.withColumn("token_info", F.try_parse_json("token_info")))
+    assert sorted(map(tuple, typed.collect()), key=str) == sorted(map(tuple, surface_only(tokens).collect()), key=str)
+
+
+def test_training_variants_leaves_no_copies(spark, tmp_path, monkeypatch):
+    from kotonoha.operators import models
+
+    made = []
+    monkeypatch.setattr(models, "wide_folder", lambda spark: made.append(str(tmp_path / f"wide-{len(made)}")) or made[-1])
+    rows = [(d, i, "ab"[i % 2], "名詞", None) for d in range(4) for i in range(20)]
+    tokens = spark.createDataFrame(rows, "doc_id long, token_id int, word string, pos string, token_info string")
+    trained = models.train_variants(tokens, vector_size=4, epochs=1, partitions=2)
+    assert {n: sorted(r[0] for r in t.vectors.collect()) for n, t in trained.items()} == dict.fromkeys(trained, ["a", "b"])
+    assert len(made) == 2 and not any(map(os.path.exists, made))
